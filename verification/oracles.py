@@ -227,14 +227,14 @@ VIEWS = {
   SELECT *, shipment_status = 'DELIVERED' AS done,
     shipment_status = 'DELIVERED' AND sla_breached = false AS on_time FROM fact""",
     "kpis": f"""
-  SELECT count(shipment_id) AS total_shipments, count_if(done) AS delivered_count,
-    count_if(on_time) AS on_time_count, {pct("count_if(on_time)", "count_if(done)")} AS on_time_pct,
-    {rnd("avg(delay_minutes)", 1)} AS avg_delay_min, count_if(sla_breached) AS sla_breach_count,
-    {pct("count_if(sla_breached)", "count_if(done)")} AS sla_breach_pct FROM outcome""",
+  SELECT count(shipment_id) AS total_shipments, count(CASE WHEN done THEN 1 END) AS delivered_count,
+    count(CASE WHEN on_time THEN 1 END) AS on_time_count, {pct("count(CASE WHEN on_time THEN 1 END)", "count(CASE WHEN done THEN 1 END)")} AS on_time_pct,
+    {rnd("avg(delay_minutes)", 1)} AS avg_delay_min, count(CASE WHEN sla_breached THEN 1 END) AS sla_breach_count,
+    {pct("count(CASE WHEN sla_breached THEN 1 END)", "count(CASE WHEN done THEN 1 END)")} AS sla_breach_pct FROM outcome""",
     "monthly": f"""
   SELECT c.year, c.month, c.month_name, count(shipment_id) AS shipment_volume,
-    count_if(done) AS delivered_count, count_if(on_time) AS on_time_count,
-    {pct("count_if(on_time)", "count_if(done)")} AS on_time_pct,
+    count(CASE WHEN done THEN 1 END) AS delivered_count, count(CASE WHEN on_time THEN 1 END) AS on_time_count,
+    {pct("count(CASE WHEN on_time THEN 1 END)", "count(CASE WHEN done THEN 1 END)")} AS on_time_pct,
     {rnd("avg(delay_minutes)", 1)} AS avg_delay_min
   FROM outcome LEFT JOIN calendar c USING (date_key) GROUP BY 1, 2, 3""",
     "cost": f"""
