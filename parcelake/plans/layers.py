@@ -15,6 +15,7 @@ from parcelake.schemas import Entity
 from parcelake.sources import raw
 from parcelake.sources.tables import Table
 
+
 def row_count() -> Column:
     return F.count(F.lit(1)).alias("rows")
 
@@ -30,8 +31,8 @@ def ingest_batch(spark: SparkSession, log, entity: Entity, layout: Layout,
 
 def bronze(spark: SparkSession, entity: Entity, layout: Layout, run_ts: Column,
            since: str | None = None) -> dict:
-    """Parse raw into bronze. Rows that do not parse go to the quarantined partition of the
-    same table, so raw is read and parsed once."""
+    """Parse raw into bronze. Rows that do not parse stay in the same table, marked as
+    quarantined, so raw is read and parsed once."""
     seen = Observation(f"bronze {entity.name}")
     rows = (
         parse_payload(raw.read(spark, layout.raw(entity.kind, entity.name), since), entity.payload)
@@ -39,16 +40,17 @@ def bronze(spark: SparkSession, entity: Entity, layout: Layout, run_ts: Column,
         .withColumn("bronze_processed_at", run_ts)
         .observe(seen, row_count(), F.count_if("quarantined").alias("quarantined"))
     )
-    Table(spark, layout.bronze(entity.kind, entity.name)).overwrite(rows, ["quarantined"])
+    Table(spark, layout.bronze(entity.kind, entity.name)).overwrite(rows)
     return seen.get
 
 
 def accepted(table: Table) -> DataFrame:
-    """Rows of a bronze or silver table that passed; the others' files are pruned."""
+    """Rows of a bronze or silver table that passed."""
     return table.read().where("NOT quarantined").drop("quarantined", "json_payload")
 
 
 def quarantined(table: Table) -> DataFrame:
+    """The others. Parquet statistics skip row groups that hold none."""
     return table.read().where("quarantined").drop("quarantined")
 
 
@@ -60,5 +62,5 @@ def silver(spark: SparkSession, entity: Entity, layout: Layout, run_ts: Column)
         .withColumn("silver_processed_at", run_ts)
         .observe(seen, row_count(), F.count_if("quarantined").alias("quarantined"))
     )
-    Table(spark, layout.silver(entity.kind, entity.name)).overwrite(rows, ["quarantined"])
+    Table(spark, layout.silver(entity.kind, entity.name)).overwrite(rows)
     return seen.get
