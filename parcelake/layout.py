@@ -27,6 +27,9 @@ class Layout:
     def serving(self, table: str) -> str:
         return self._at("serving", table)
 
+    def quality(self, table: str) -> str:
+        return self._at("quality", table)
+
     def live(self) -> str:
         return self._at("live", "shipment_live")
 

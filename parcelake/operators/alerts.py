@@ -22,10 +22,12 @@ def _limit_minutes(table: Mapping[str, int]) -> Column:
     return by_code(kind, table, domain.OTHER_TYPE_ALERT_MINUTES)
 
 
-def _as_alerts(hits: DataFrame, alert_type: str, subject: str, detail: Column) -> DataFrame:
+def _as_alerts(hits: DataFrame, alert_type: Column | str, subject: str,
+               detail: Column) -> DataFrame:
+    kind = F.lit(alert_type)
     return hits.select(
-        F.concat_ws(":", F.col(subject), F.lit(alert_type)).alias("alert_key"),
-        F.lit(alert_type).alias("alert_type"),
+        F.concat_ws(":", F.col(subject), kind).alias("alert_key"),
+        kind.alias("alert_type"),
         F.col(subject).alias("subject_id"),
         detail.alias("detail"),
     )
@@ -77,25 +79,35 @@ def eta_change(events: DataFrame, stored: DataFrame) -> DataFrame:
         " ", F.lit("eta +"), F.round("_minutes").cast("long").cast("string")))
 
 
-def _backlog(live: DataFrame, stages: tuple[str, ...], limit: int, alert_type: str) -> DataFrame:
-    counts = (
-        live.where(F.col("shipment_status").isin(*stages))
-        .groupBy("facility_id").agg(F.count("*").alias("backlog"))
+def backlogs(live: DataFrame) -> DataFrame:
+    """Facilities over the limit, of both kinds, from one aggregation of the live table."""
+    status = F.col("shipment_status")
+    kinds = [(FC_BACKLOG, domain.FC_BACKLOG_STAGES, domain.FC_BACKLOG_LIMIT),
+             (DS_BACKLOG, domain.DS_BACKLOG_STAGES, domain.DS_BACKLOG_LIMIT)]
+    kind = F.when(status.isin(*kinds[0][1]), kinds[0][0]).when(
+        status.isin(*kinds[1][1]), kinds[1][0])
+    limit = by_code("_kind", {name: limit for name, _, limit in kinds})
+    over = (
+        live.where(status.isin(*kinds[0][1], *kinds[1][1]))
+        .groupBy("facility_id", kind.alias("_kind")).agg(F.count("*").alias("backlog"))
         .where(F.col("backlog") > limit)
     )
-    return _as_alerts(counts, alert_type, "facility_id", F.col("backlog").cast("string"))
+    return _as_alerts(over, F.col("_kind"), "facility_id", F.col("backlog").cast("string"))
 
 
 def fc_backlog(live: DataFrame) -> DataFrame:
-    return _backlog(live, domain.FC_BACKLOG_STAGES, domain.FC_BACKLOG_LIMIT, FC_BACKLOG)
+    return backlogs(live.where(F.col("shipment_status").isin(*domain.FC_BACKLOG_STAGES)))
 
 
 def ds_backlog(live: DataFrame) -> DataFrame:
-    return _backlog(live, domain.DS_BACKLOG_STAGES, domain.DS_BACKLOG_LIMIT, DS_BACKLOG)
+    return backlogs(live.where(F.col("shipment_status").isin(*domain.DS_BACKLOG_STAGES)))
 
 
 def stale(live: DataFrame, as_of: Column) -> DataFrame:
-    both = live.where(is_stale(domain.FC, as_of) | is_stale(domain.DS, as_of))
+    both = (
+        live.where(F.col("shipment_status") != domain.DELIVERED)    # implied; prunes partitions
+        .where(is_stale(domain.FC, as_of) | is_stale(domain.DS, as_of))
+    )
     return _as_alerts(both, STALE, "shipment_id", F.concat_ws(
         " ", F.col("facility_id"), F.col("shipment_status")))
 
@@ -107,7 +119,7 @@ def batch_alerts(events: DataFrame, stored: DataFrame) -> DataFrame:
 
 def table_alerts(live: DataFrame, as_of: Column) -> DataFrame:
     """Alerts of the whole live table."""
-    return fc_backlog(live).unionByName(ds_backlog(live)).unionByName(stale(live, as_of))
+    return backlogs(live).unionByName(stale(live, as_of))
 
 
 def unsent(found: DataFrame, log: DataFrame, now: Column,

@@ -29,13 +29,16 @@ def parse_payload(raw: DataFrame, payload: T.StructType, column: str = "json_pay
     Only NULL or empty text gives a null struct; other malformed text and values of a wrong
     type give a struct of nulls. Asking the parser for the corrupt record catches all of them.
     The text itself is kept for quarantined rows only.
+
+    The struct goes through a one-element `explode`. Without it, Catalyst pushes every later
+    filter on a payload column below the parse, and each such filter parses the text again.
     """
     schema = T.StructType([*payload.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     others = [c for c in raw.columns if c != column]
     bad = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull()
     return (
-        raw.select(*others, column, F.from_json(column, schema, options).alias("_p"))
+        raw.select(*others, column, F.explode(F.array(F.from_json(column, schema, options))).alias("_p"))
         .select(
             *[F.col(f"_p.{f.name}").alias(f.name) for f in payload.fields],
             *others,

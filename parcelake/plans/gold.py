@@ -10,13 +10,13 @@ from parcelake.operators import scd2
 from parcelake.operators.calendar import dim_date
 from parcelake.operators.fact import fact_shipment
 from parcelake.operators.keyed import latest_per_key
-from parcelake.plans.layers import accepted, row_count
+from parcelake.plans.layers import accepted, row_count, silver_table
 from parcelake.schemas import ENTITIES
 from parcelake.sources.tables import Table
 
 
 def silver_rows(spark: SparkSession, layout: Layout, topic: str) -> DataFrame:
-    return accepted(Table(spark, layout.silver(ENTITIES[topic].kind, topic)))
+    return accepted(silver_table(spark, ENTITIES[topic], layout).read())
 
 
 def customers(orders: DataFrame) -> DataFrame:

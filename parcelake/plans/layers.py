@@ -12,7 +12,7 @@ from parcelake.layout import Layout
 from parcelake.operators.clean import to_silver
 from parcelake.operators.parse import parse_payload, to_envelope
 from parcelake.schemas import Entity
-from parcelake.sources import raw
+from parcelake.sources import fs, raw
 from parcelake.sources.tables import Table
 
 
@@ -31,36 +31,54 @@ def ingest_batch(spark: SparkSession, log, entity: Entity, layout: Layout,
 
 def bronze(spark: SparkSession, entity: Entity, layout: Layout, run_ts: Column,
            since: str | None = None) -> dict:
-    """Parse raw into bronze. Rows that do not parse stay in the same table, marked as
-    quarantined, so raw is read and parsed once."""
+    """Parse raw into bronze, all ingest dates or those from `since` on.
+
+    Bronze has the ingest-date partitions of raw, and a run replaces the partitions it read; so
+    a daily run costs a day, and repeating it changes nothing. Rows that do not parse stay in
+    the table, marked as quarantined: raw is read and parsed once for both kinds.
+    """
     seen = Observation(f"bronze {entity.name}")
     rows = (
         parse_payload(raw.read(spark, layout.raw(entity.kind, entity.name), since), entity.payload)
-        .drop("kafka_topic")
         .withColumn("bronze_processed_at", run_ts)
+        .select(*entity.bronze.fieldNames())
         .observe(seen, row_count(), F.count_if("quarantined").alias("quarantined"))
     )
-    Table(spark, layout.bronze(entity.kind, entity.name)).overwrite(rows)
+    (
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("ingested_at").parquet(layout.bronze(entity.kind, entity.name))
+    )
     return seen.get
 
 
-def accepted(table: Table) -> DataFrame:
-    """Rows of a bronze or silver table that passed."""
-    return table.read().where("NOT quarantined").drop("quarantined", "json_payload")
+def bronze_rows(spark: SparkSession, entity: Entity, layout: Layout) -> DataFrame:
+    path = layout.bronze(entity.kind, entity.name)
+    if not fs.exists(spark, path):
+        return spark.createDataFrame([], entity.bronze)
+    return spark.read.schema(entity.bronze).parquet(path)
+
 
+def accepted(rows: DataFrame) -> DataFrame:
+    """Rows of bronze or silver that passed."""
+    return rows.where("NOT quarantined").drop("quarantined", "json_payload")
 
-def quarantined(table: Table) -> DataFrame:
+
+def quarantined(rows: DataFrame) -> DataFrame:
     """The others. Parquet statistics skip row groups that hold none."""
-    return table.read().where("quarantined").drop("quarantined")
+    return rows.where("quarantined").drop("quarantined")
+
+
+def silver_table(spark: SparkSession, entity: Entity, layout: Layout) -> Table:
+    return Table(spark, layout.silver(entity.kind, entity.name))
 
 
 def silver(spark: SparkSession, entity: Entity, layout: Layout, run_ts: Column) -> dict:
     """Clean, deduplicate and type bronze; rows with unreadable times are quarantined."""
     seen = Observation(f"silver {entity.name}")
     rows = (
-        to_silver(accepted(Table(spark, layout.bronze(entity.kind, entity.name))), entity)
+        to_silver(accepted(bronze_rows(spark, entity, layout)), entity)
         .withColumn("silver_processed_at", run_ts)
         .observe(seen, row_count(), F.count_if("quarantined").alias("quarantined"))
     )
-    Table(spark, layout.silver(entity.kind, entity.name)).overwrite(rows)
+    silver_table(spark, entity, layout).overwrite(rows)
     return seen.get

@@ -60,9 +60,11 @@ ENVELOPE = flat(
     "json_payload string, kafka_topic string, kafka_partition int, kafka_offset bigint, "
     "kafka_timestamp timestamp, ingested_at date"
 )
-LINEAGE_COLUMNS = (
-    "kafka_timestamp", "kafka_offset", "kafka_partition", "ingested_at", "bronze_processed_at",
+LINEAGE = flat(
+    "kafka_timestamp timestamp, kafka_offset bigint, kafka_partition int, ingested_at date, "
+    "bronze_processed_at timestamp"
 )
+LINEAGE_COLUMNS = tuple(LINEAGE.fieldNames())
 
 # --- served tables -----------------------------------------------------------------------
 SHIPMENT_LIVE = flat(
@@ -119,6 +121,12 @@ class Entity:
     allowed: tuple[tuple[str, tuple[str, ...]], ...] = ()
     times: tuple[str, ...] = ()     # ISO text columns that become timestamps
 
+    @property
+    def bronze(self) -> T.StructType:
+        """Payload, lineage, and what marks a row that did not parse."""
+        marks = flat("json_payload string, quarantined boolean")
+        return T.StructType([*self.payload.fields, *LINEAGE.fields, *marks.fields])
+
 
 ENTITIES = {
     e.name: e

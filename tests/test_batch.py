@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelake.layout import Layout
-from parcelake.plans import gold, layers
+from parcelake.plans import gold, layers, quality
 from parcelake.plans.batch import run_batch
 from parcelake.schemas import BI_TABLES, ENTITIES
 from parcelake.sources.log import ReplayLog
@@ -43,7 +43,7 @@ def test_batch_from_log_to_bi(spark, rows, tmp_path):
         "rows": 2, "current": 2, "opened": 2}
     assert audit["gold fact_shipment"] == {"rows": 2}
 
-    bad = layers.quarantined(Table(spark, layout.bronze("events", "orders")))
+    bad = layers.quarantined(layers.bronze_rows(spark, ENTITIES["orders"], layout))
     assert [r["json_payload"] for r in rows(bad)] == ["not json"]
     fact = rows(Table(spark, layout.gold("fact_shipment")).read(), "shipment_id")
     assert fact["S1"]["refund_amount"] == 150.0 and fact["S2"]["order_value"] is None
@@ -54,6 +54,14 @@ def test_batch_from_log_to_bi(spark, rows, tmp_path):
     (kpis,) = rows(serving.read("bi_logistics_kpis"))
     assert (kpis["total_shipments"], kpis["delivered_count"], kpis["sla_breach_pct"]) == (2, 1, 100.0)
 
+    network = spark.createDataFrame(
+        [("FC_DELHI", "DS_DELHI_NORTH")], "fulfillment_center_id string, delivery_station_id string")
+    quality.run_checks(spark, layout, network)
+    report = rows(Table(spark, layout.quality("lifecycle")).read(), "shipment_id")
+    assert report["S1"]["conforms"] and report["S2"]["events"] == 1
+    assert rows(Table(spark, layout.quality("vehicle_conflicts")).read()) == []
+    assert [r["order_id"] for r in rows(Table(spark, layout.quality("network")).read())] == ["O-S1"]
+
     # The whole log again (a repeated ingest), then the same day again: nothing changes.
     ingest_all(spark, log, layout, "2026-07-02")
     again = run_batch(spark, layout, serving, F.lit("2026-07-02"), at("2026-07-02 02:00:00"))
@@ -74,6 +82,19 @@ def test_batch_from_log_to_bi(spark, rows, tmp_path):
     assert rows(serving.read("bi_warehouse_performance"))[0]["fc_id"] == "FC_DELHI"
 
 
+def test_bronze_of_one_day_replaces_that_day_only(spark, rows, tmp_path):
+    replay, layout = Replay(tmp_path / "log"), Layout(str(tmp_path / "lake"))
+    log, entity = ReplayLog(str(tmp_path / "log")), ENTITIES["orders"]
+    replay.add("orders", [order_payload()])
+    for day in ("2026-07-01", "2026-07-02"):
+        layers.ingest_batch(spark, log, entity, layout, at(f"{day} 00:00:00"))
+        layers.bronze(spark, entity, layout, at(f"{day} 01:00:00"), since=day)
+    layers.bronze(spark, entity, layout, at("2026-07-03 01:00:00"), since="2026-07-02")
+    df = layers.bronze_rows(spark, entity, layout)
+    assert sorted((str(r["ingested_at"]), str(r["bronze_processed_at"])) for r in rows(df)) == [
+        ("2026-07-01", "2026-07-01 01:00:00"), ("2026-07-02", "2026-07-03 01:00:00")]
+
+
 def test_empty_layers_run(spark, tmp_path):
     layout = Layout(str(tmp_path / "lake"))
     entity = ENTITIES["orders"]

@@ -169,6 +169,29 @@ def test_repeating_a_batch_after_its_compaction_gives_the_same_state(spark, make
     assert content() == before
 
 
+def test_open_stage_rules_skip_delivered_files(spark, make, tmp_path):
+    from parcelake.operators import alerts
+
+    state = live_table(spark, str(tmp_path), compact_every=1)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SHIPMENT_LIVE)
+    row = lambda s, status: tuple(
+        {"shipment_id": s, "shipment_status": status, "facility_id": "F",
+         "facility_type": "FULFILLMENT_CENTER", "stage_entered_at": "2026-07-01 00:00:00"}.get(f)
+        for f in SHIPMENT_LIVE.fieldNames())
+    state.write_changes(0, make(columns, row("a", "DELIVERED"), row("b", "PICKED_AND_PACKED"),
+                                row("c", None)))
+    assert state.compact(0)
+    assert sorted(state.read().columns) == sorted(SHIPMENT_LIVE.fieldNames())
+    assert {r["shipment_id"]: r["shipment_status"] for r in state.read().collect()} == {
+        "a": "DELIVERED", "b": "PICKED_AND_PACKED", "c": None}
+    now = F.lit("2026-07-02 00:00:00").cast("timestamp")
+    for found in (alerts.backlogs(state.read()), alerts.stale(state.read(), now)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+        assert "shipment_status" in filters
+    assert [r["subject_id"] for r in alerts.stale(state.read(), now).collect()] == ["b"]
+
+
 def test_stream_static_enrichment_equals_batch(spark, lake, rows):
     replay, layout, log = lake
     replay.add("shipment_events", [event_payload(n) for n in range(1, 8)])
