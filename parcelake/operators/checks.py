@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelake import domain
 from parcelake.functions import by_code, stage_number
@@ -112,8 +112,6 @@ def vehicle_conflicts(legs: DataFrame) -> DataFrame:
     hours of a vehicle, whose number is bounded by the calendar; the two are then combined.
     Legs that start in the same second count as conflicting with each other.
     """
-    from pyspark.sql import Window
-
     open_end = F.lit("9999-12-31 00:00:00").cast("timestamp")
     starts = (
         legs
@@ -159,13 +157,16 @@ def off_site_events(events: DataFrame, places: DataFrame, stations_of: DataFrame
     """Events farther than `tolerance` degrees from where they should be.
 
     `places`: facility_id, latitude, longitude. Events of the stages without a facility belong
-    to the delivery station of the order; `stations_of` gives shipment_id, delivery_station_id.
+    to the delivery station of the order; `stations_of` (shipment_id, delivery_station_id) has one
+    row per shipment.
     Events of unknown places are left out.
     """
+    # Only events without a facility have to look their station up.
     station = stations_of.select(
-        "shipment_id", F.col("delivery_station_id").alias("_station"))
+        F.col("shipment_id").alias("_carried"), F.col("delivery_station_id").alias("_station"))
+    carried = F.when(F.col("facility_id").isNull(), F.col("shipment_id"))
     sited = (
-        lookup(events, station, "shipment_id", spread_by="event_id")
+        lookup(events.withColumn("_carried", carried), station, "_carried", spread_by="event_id")
         .withColumn("_place", F.coalesce("facility_id", "_station"))
     )
     located = lookup(

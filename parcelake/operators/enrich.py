@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from parcelake import domain
-from parcelake.operators.keyed import BROADCAST_BYTES, fits_broadcast, lookup
+from parcelake.operators.keyed import fits_broadcast, lookup
 
 
 def facility_lookup(centers: DataFrame, stations: DataFrame) -> DataFrame:
@@ -37,7 +37,7 @@ def enrich(events: DataFrame, centers: DataFrame, stations: DataFrame,
     if events.isStreaming:
         # Stream-static left joins; a table of unknown or large size is left to the planner.
         for key, table in (("_at", facilities), ("vehicle_id", types)):
-            side = F.broadcast(table) if fits_broadcast(table, BROADCAST_BYTES) else table
+            side = F.broadcast(table) if fits_broadcast(table) else table
             rows = rows.join(side, key, "left")
     else:
         rows = lookup(rows, facilities, "_at", spread_by="event_id")

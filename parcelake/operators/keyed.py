@@ -35,15 +35,18 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return estimated_bytes(df) <= limit
+def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+    return estimated_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than `share` of the rows: at most 1/share of them."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    bound = counts.agg((F.sum("_rows") * F.lit(share)).alias("_bound")).scalar()
-    return counts.where(F.col("_rows") > bound).select(key)
+    """Keys that hold more than `share` of the rows with a key: fewer than 1/share of them."""
+    keys = df.where(F.col(key).isNotNull()).select(key)
+    bound = keys.agg((F.count("*") * F.lit(share)).alias("_bound")).scalar()
+    return (
+        keys.groupBy(key).agg(F.count("*").alias("_rows"))
+        .where(F.col("_rows") > bound).select(key)
+    )
 
 
 def lookup(
@@ -52,7 +55,7 @@ def lookup(
     key: str,
     *,
     spread_by: str,
-    limit: int = BROADCAST_BYTES,
+    limit: int | None = None,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left join `rows` with `table` on `key`, where `table` holds a key at most once.
