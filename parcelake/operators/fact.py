@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelake import domain
 from parcelake.functions import by_code, elapsed, round_to, stage_number
-from parcelake.operators.keyed import greatest_row, hot_keys, latest_per_key, lookup
+from parcelake.operators.keyed import greatest_row, latest_per_key, lookup
 from parcelake.operators.scd2 import current
 
 # output column: (first or last time the stage was seen, stage)
@@ -155,7 +155,7 @@ def fact_shipment(
     shipments = shipment_states(events).join(by_shipment, "shipment_id", "left")
 
     def add(rows: DataFrame, table: DataFrame, key: str, seen: DataFrame) -> DataFrame:
-        return lookup(rows, table, key, spread_by="shipment_id", hot=hot_keys(seen, key))
+        return lookup(rows, table, key, spread_by="shipment_id", seen=seen)
 
     facility = events.select(
         F.when(F.col("facility_type") == domain.FC, F.col("facility_id")).alias("fc_id"),

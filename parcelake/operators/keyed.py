@@ -56,21 +56,20 @@ def lookup(
     *,
     spread_by: str,
     limit: int | None = None,
-    hot: DataFrame | None = None,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Left join `rows` with `table` on `key`, where `table` holds a key at most once.
 
     A table of checked size is broadcast. A larger one is joined by shuffle; then the hot
     keys are answered from a broadcast of their few table rows, and rows whose key is hot
     or null are dealt out over the shuffle by `spread_by` instead of meeting in one task.
-    `hot` may name the hot keys if the caller can find them more cheaply.
+    Hot keys are counted on `seen` (default: `rows`), if the caller has cheaper rows to count.
     """
     if fits_broadcast(table, limit):
         return rows.join(F.broadcast(table), key, "left")
 
     added = [c for c in table.columns if c != key]
-    if hot is None:
-        hot = hot_keys(rows.select(key), key)
+    hot = hot_keys(rows if seen is None else seen, key)
     hot_rows = (
         table.join(F.broadcast(hot), key, "left_semi")
         .select(key, F.struct(*added).alias("_hot"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -31,8 +32,12 @@ def _plain(df: DataFrame) -> DataFrame:
         for f in df.schema.fields])
 
 
+# The input definitions (lazy plans, no data) are built once per session and directory.
+sample_of = lru_cache(maxsize=4)(Sample)
+
+
 def runnable(query: Query) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: _plain(query(Sample(spark, sf_dir)))
+    return lambda spark, sf_dir: _plain(query(sample_of(spark, sf_dir)))
 
 
 # --- parse and clean ----------------------------------------------------------------------
