@@ -35,7 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     source.add_argument("--replay", help="path of replay files")
     parser.add_argument("--jdbc-url")
     parser.add_argument("--as-of", help="business date of the run (default: today, UTC)")
-    parser.add_argument("--since", help="bronze: first ingest date to parse (default: all)")
+    parser.add_argument("--since", help="first ingest date that is new (default: all)")
     parser.add_argument("--network", help="checks: parquet of the served pairs")
     parser.add_argument("--once", action="store_true", help="streams: stop when caught up")
     return parser
@@ -85,13 +85,13 @@ def _bronze(run: _Run) -> None:
 
 def _silver(run: _Run) -> None:
     for entity in ENTITIES.values():
-        layers.silver(run.spark, entity, run.layout, run.run_ts)
+        layers.silver(run.spark, entity, run.layout, run.run_ts, run.args.since)
 
 
 def _gold(run: _Run) -> None:
     gold.build_calendar(run.spark, run.layout)
     gold.build_dimensions(run.spark, run.layout, run.as_of)
-    gold.build_fact(run.spark, run.layout, run.as_of, run.run_ts)
+    gold.build_fact(run.spark, run.layout, run.as_of, run.run_ts, run.args.since)
 
 
 def _bi(run: _Run) -> None:

@@ -29,6 +29,7 @@ def to_silver(bronze: DataFrame, entity: Entity) -> DataFrame:
     Times are checked before the newest copy is chosen, so an unreadable copy can never push
     out a good one. Quarantined copies all stay: they are told apart by log position. Both
     kinds leave in one pass over bronze with one shuffle (none for append-only entities).
+    Lineage columns are still there; `drop_lineage` takes them off.
     """
     rows = bronze.where(valid_rows(entity))
     if entity.times:
@@ -42,4 +43,4 @@ def to_silver(bronze: DataFrame, entity: Entity) -> DataFrame:
             [entity.key, "_bad_at"],
             [entity.newest_by, "kafka_offset"],
         ).drop("_bad_at")
-    return drop_lineage(rows)
+    return rows

@@ -71,14 +71,27 @@ def latest_state(events: DataFrame) -> DataFrame:
 
 
 def shipment_states(events: DataFrame) -> DataFrame:
-    """stage_pivot and the newest state together: one scan and one shuffle of the events."""
+    """stage_pivot and the newest state together: one scan and one shuffle of the events.
+
+    `newest` holds what ranks an event and the state columns. All columns are minima or maxima,
+    so states of two sets of events can be merged (`merge_states`).
+    """
     newest = greatest_row(NEWEST_EVENT, [*NEWEST_EVENT, *STATE_COLUMNS])
-    stages = _stage_aggregates()
-    names = [*STAGE_TIMES, *STAGE_FACILITIES]
-    return (
-        with_stage(events).groupBy("shipment_id").agg(newest.alias("_newest"), *stages)
-        .select("shipment_id", *[f"_newest.{c}" for c in STATE_COLUMNS], *names)
-    )
+    return with_stage(events).groupBy("shipment_id").agg(
+        newest.alias("newest"), *_stage_aggregates())
+
+
+def merge_states(states: DataFrame, more: DataFrame) -> DataFrame:
+    """States over the events of both. Events counted twice make no difference."""
+    picks = [pick(name).alias(name) for name, (pick, _) in STAGE_TIMES.items()]
+    picks += [F.max(name).alias(name) for name in STAGE_FACILITIES]
+    return states.unionByName(more).groupBy("shipment_id").agg(
+        F.max("newest").alias("newest"), *picks)
+
+
+def _flat_states(states: DataFrame) -> DataFrame:
+    return states.select(
+        "shipment_id", *[f"newest.{c}" for c in STATE_COLUMNS], *STAGE_TIMES, *STAGE_FACILITIES)
 
 
 def order_per_shipment(orders: DataFrame) -> DataFrame:
@@ -136,7 +149,7 @@ def _surrogate(dim: DataFrame, natural: str, row_key: str, alias: str) -> DataFr
 
 
 def fact_shipment(
-    events: DataFrame,
+    states: DataFrame,
     orders: DataFrame,
     vehicles: DataFrame,
     dim_fc: DataFrame,
@@ -146,29 +159,25 @@ def fact_shipment(
     calendar: DataFrame,
     as_of: Column,
 ) -> DataFrame:
-    """All of the above, with the surrogate keys of the current dimension versions.
+    """The fact from `shipment_states`, with the keys of the current dimension versions.
 
     A dimension that is too large to broadcast is looked up by shuffle; its hot keys are then
-    counted on the input tables (one column each), not on the half-built fact.
+    counted on the states or the orders, so these should be tables, not unfinished plans.
     """
-    by_shipment = order_per_shipment(orders)
-    shipments = shipment_states(events).join(by_shipment, "shipment_id", "left")
+    flat = _flat_states(states)
+    shipments = flat.join(order_per_shipment(orders), "shipment_id", "left")
 
     def add(rows: DataFrame, table: DataFrame, key: str, seen: DataFrame) -> DataFrame:
         return lookup(rows, table, key, spread_by="shipment_id", seen=seen)
 
-    facility = events.select(
-        F.when(F.col("facility_type") == domain.FC, F.col("facility_id")).alias("fc_id"),
-        F.when(F.col("facility_type") == domain.DS, F.col("facility_id")).alias("ds_id"))
-
-    shipments = add(shipments, vehicles.select("vehicle_id", "vehicle_type"), "vehicle_id", events)
+    shipments = add(shipments, vehicles.select("vehicle_id", "vehicle_type"), "vehicle_id", flat)
     shipments = with_measures(shipments)
     shipments = add(shipments, _surrogate(
-        dim_fc, "fulfillment_center_id", "fc_id", "fc_sk"), "fc_id", facility)
+        dim_fc, "fulfillment_center_id", "fc_id", "fc_sk"), "fc_id", flat)
     shipments = add(shipments, _surrogate(
-        dim_ds, "delivery_station_id", "ds_id", "ds_sk"), "ds_id", facility)
+        dim_ds, "delivery_station_id", "ds_id", "ds_sk"), "ds_id", flat)
     shipments = add(shipments, _surrogate(
-        dim_vehicle, "vehicle_id", "vehicle_id", "vehicle_sk"), "vehicle_id", events)
+        dim_vehicle, "vehicle_id", "vehicle_id", "vehicle_sk"), "vehicle_id", flat)
     shipments = add(shipments, _surrogate(
         dim_customer, "customer_id", "customer_id", "customer_sk"), "customer_id", orders)
     return with_date_key(shipments, calendar, as_of).select(*FACT_COLUMNS)

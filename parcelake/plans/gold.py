@@ -8,15 +8,16 @@ from parcelake import domain
 from parcelake.layout import Layout
 from parcelake.operators import scd2
 from parcelake.operators.calendar import dim_date
-from parcelake.operators.fact import fact_shipment
+from parcelake.operators.fact import fact_shipment, merge_states, shipment_states
 from parcelake.operators.keyed import latest_per_key
-from parcelake.plans.layers import accepted, row_count, silver_table
+from parcelake.plans.layers import row_count, silver_rows
 from parcelake.schemas import ENTITIES
 from parcelake.sources.tables import Table
 
 
-def silver_rows(spark: SparkSession, layout: Layout, topic: str) -> DataFrame:
-    return accepted(silver_table(spark, ENTITIES[topic], layout).read())
+def silver_of(spark: SparkSession, layout: Layout, topic: str,
+              since: str | None = None) -> DataFrame:
+    return silver_rows(spark, ENTITIES[topic], layout, since)
 
 
 def customers(orders: DataFrame) -> DataFrame:
@@ -45,10 +46,10 @@ def build_dimension(spark: SparkSession, layout: Layout, dim: scd2.Dimension,
 
 def build_dimensions(spark: SparkSession, layout: Layout, as_of: Column) -> dict[str, dict]:
     incoming = {
-        scd2.DIM_FULFILLMENT_CENTER: silver_rows(spark, layout, domain.TOPIC_FULFILLMENT_CENTERS),
-        scd2.DIM_DELIVERY_STATION: silver_rows(spark, layout, domain.TOPIC_DELIVERY_STATIONS),
-        scd2.DIM_VEHICLE: silver_rows(spark, layout, domain.TOPIC_VEHICLES),
-        scd2.DIM_CUSTOMER: customers(silver_rows(spark, layout, domain.TOPIC_ORDERS)),
+        scd2.DIM_FULFILLMENT_CENTER: silver_of(spark, layout, domain.TOPIC_FULFILLMENT_CENTERS),
+        scd2.DIM_DELIVERY_STATION: silver_of(spark, layout, domain.TOPIC_DELIVERY_STATIONS),
+        scd2.DIM_VEHICLE: silver_of(spark, layout, domain.TOPIC_VEHICLES),
+        scd2.DIM_CUSTOMER: customers(silver_of(spark, layout, domain.TOPIC_ORDERS)),
     }
     return {dim.name: build_dimension(spark, layout, dim, rows, as_of)
             for dim, rows in incoming.items()}
@@ -58,15 +59,31 @@ def build_calendar(spark: SparkSession, layout: Layout) -> None:
     Table(spark, layout.gold("dim_date")).overwrite(dim_date(spark))
 
 
-def build_fact(spark: SparkSession, layout: Layout, as_of: Column, run_ts: Column) -> dict:
-    """Rebuild the fact from silver."""
+def build_states(spark: SparkSession, layout: Layout, since: str | None = None) -> Table:
+    """Stage times and newest state per shipment, kept as a table.
+
+    With `since`, only events ingested from that date on are read and merged into the table, so
+    a daily run costs a day of events and one pass over the (far smaller) states. Merging a day
+    again changes nothing. Without it, or on the first run, it is built from all events.
+    """
+    table = Table(spark, layout.gold("shipment_states"))
+    partly = since is not None and table.exists()
+    states = shipment_states(
+        silver_of(spark, layout, domain.TOPIC_SHIPMENT_EVENTS, since if partly else None))
+    table.overwrite(merge_states(table.read(), states) if partly else states)
+    return table
+
+
+def build_fact(spark: SparkSession, layout: Layout, as_of: Column, run_ts: Column,
+               since: str | None = None) -> dict:
+    """Write the fact anew from shipment states, orders and dimensions."""
     def gold(name: str) -> DataFrame:
         return Table(spark, layout.gold(name)).read()
 
     fact = fact_shipment(
-        silver_rows(spark, layout, domain.TOPIC_SHIPMENT_EVENTS),
-        silver_rows(spark, layout, domain.TOPIC_ORDERS),
-        silver_rows(spark, layout, domain.TOPIC_VEHICLES),
+        build_states(spark, layout, since).read(),
+        silver_of(spark, layout, domain.TOPIC_ORDERS),
+        silver_of(spark, layout, domain.TOPIC_VEHICLES),
         gold("dim_fulfillment_center"), gold("dim_delivery_station"), gold("dim_vehicle"),
         gold("dim_customer"), gold("dim_date"), as_of)
     seen = Observation("gold fact_shipment")

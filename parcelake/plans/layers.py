@@ -6,7 +6,7 @@ scanned again to be counted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from parcelake.layout import Layout
 from parcelake.operators.clean import to_silver
@@ -29,6 +29,14 @@ def ingest_batch(spark: SparkSession, log, entity: Entity, layout: Layout,
     return seen.get
 
 
+def _replace_dates(rows: DataFrame, path: str) -> None:
+    """Replace the ingest dates that occur in `rows`; the other dates of the table stay."""
+    (
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("ingested_at").parquet(path)
+    )
+
+
 def bronze(spark: SparkSession, entity: Entity, layout: Layout, run_ts: Column,
            since: str | None = None) -> dict:
     """Parse raw into bronze, all ingest dates or those from `since` on.
@@ -44,10 +52,7 @@ def bronze(spark: SparkSession, entity: Entity, layout: Layout, run_ts: Column,
         .select(*entity.bronze.fieldNames())
         .observe(seen, row_count(), F.count_if("quarantined").alias("quarantined"))
     )
-    (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingested_at").parquet(layout.bronze(entity.kind, entity.name))
-    )
+    _replace_dates(rows, layout.bronze(entity.kind, entity.name))
     return seen.get
 
 
@@ -68,17 +73,42 @@ def quarantined(rows: DataFrame) -> DataFrame:
     return rows.where("quarantined").drop("quarantined")
 
 
-def silver_table(spark: SparkSession, entity: Entity, layout: Layout) -> Table:
-    return Table(spark, layout.silver(entity.kind, entity.name))
-
+def silver(spark: SparkSession, entity: Entity, layout: Layout, run_ts: Column,
+           since: str | None = None) -> dict:
+    """Clean, deduplicate and type bronze; rows with unreadable times are quarantined.
 
-def silver(spark: SparkSession, entity: Entity, layout: Layout, run_ts: Column) -> dict:
-    """Clean, deduplicate and type bronze; rows with unreadable times are quarantined."""
+    Events are only appended, never replaced, so their silver keeps the ingest-date partitions
+    and `since` limits the run as it does for bronze. Entities of which the newest copy counts
+    are rebuilt from all of bronze.
+    """
     seen = Observation(f"silver {entity.name}")
+    source = bronze_rows(spark, entity, layout)
+    if entity.append_only and since is not None:
+        source = source.where(F.col("ingested_at") >= F.lit(since).cast("date"))
     rows = (
-        to_silver(accepted(bronze_rows(spark, entity, layout)), entity)
+        to_silver(accepted(source), entity)
         .withColumn("silver_processed_at", run_ts)
         .observe(seen, row_count(), F.count_if("quarantined").alias("quarantined"))
     )
-    silver_table(spark, entity, layout).overwrite(rows)
+    columns = entity.silver.fieldNames()
+    path = layout.silver(entity.kind, entity.name)
+    if entity.append_only:
+        _replace_dates(rows.select(*columns, "ingested_at"), path)
+    else:
+        Table(spark, path).overwrite(rows.select(*columns))
     return seen.get
+
+
+def silver_rows(spark: SparkSession, entity: Entity, layout: Layout,
+                since: str | None = None) -> DataFrame:
+    """Accepted silver rows; of append-only entities optionally those ingested from `since` on."""
+    path = layout.silver(entity.kind, entity.name)
+    if not entity.append_only:
+        return accepted(Table(spark, path).read())
+    if not fs.exists(spark, path):
+        return accepted(spark.createDataFrame([], entity.silver))
+    dated = T.StructType([*entity.silver.fields, T.StructField("ingested_at", T.DateType())])
+    rows = spark.read.schema(dated).parquet(path)
+    if since is not None:
+        rows = rows.where(F.col("ingested_at") >= F.lit(since).cast("date"))
+    return accepted(rows.drop("ingested_at"))

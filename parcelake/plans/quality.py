@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parcelake import domain
 from parcelake.layout import Layout
 from parcelake.operators import checks
-from parcelake.plans.gold import silver_rows
+from parcelake.plans.gold import silver_of
 from parcelake.sources.tables import Table
 
 
 def places(spark: SparkSession, layout: Layout) -> DataFrame:
     """Positions of all facilities."""
     def of(topic: str, key: str) -> DataFrame:
-        return silver_rows(spark, layout, topic).select(
+        return silver_of(spark, layout, topic).select(
             F.col(key).alias("facility_id"), "latitude", "longitude")
 
     return of(domain.TOPIC_FULFILLMENT_CENTERS, "fulfillment_center_id").unionByName(
@@ -23,9 +23,9 @@ def places(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def run_checks(spark: SparkSession, layout: Layout, network: DataFrame) -> None:
     """`network`: the served pairs (fulfillment_center_id, delivery_station_id)."""
-    events = silver_rows(spark, layout, domain.TOPIC_SHIPMENT_EVENTS)
-    orders = silver_rows(spark, layout, domain.TOPIC_ORDERS)
-    vehicles = silver_rows(spark, layout, domain.TOPIC_VEHICLES)
+    events = silver_of(spark, layout, domain.TOPIC_SHIPMENT_EVENTS)
+    orders = silver_of(spark, layout, domain.TOPIC_ORDERS)
+    vehicles = silver_of(spark, layout, domain.TOPIC_VEHICLES)
 
     # Read several times by the overlap check, and far smaller than the events: written first.
     legs = Table(spark, layout.quality("assignments"))

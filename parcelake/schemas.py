@@ -127,6 +127,19 @@ class Entity:
         marks = flat("json_payload string, quarantined boolean")
         return T.StructType([*self.payload.fields, *LINEAGE.fields, *marks.fields])
 
+    @property
+    def silver(self) -> T.StructType:
+        """Payload with typed times, and the same mark. Lineage is gone."""
+        typed = [
+            T.StructField(f.name, T.TimestampType()) if f.name in self.times else f
+            for f in self.payload.fields]
+        return T.StructType([*typed, *flat(
+            "quarantined boolean, silver_processed_at timestamp").fields])
+
+    @property
+    def append_only(self) -> bool:
+        return self.newest_by is None
+
 
 ENTITIES = {
     e.name: e

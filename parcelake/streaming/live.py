@@ -15,7 +15,7 @@ from parcelake.operators import alerts
 from parcelake.operators.enrich import add_flags, enrich
 from parcelake.operators.live import STORED_COLUMNS, changed_rows, to_live_rows
 from parcelake.operators.parse import cast_times, parse_payload
-from parcelake.plans.gold import silver_rows
+from parcelake.plans.gold import silver_of
 from parcelake.schemas import ENTITIES
 from parcelake.streaming.state import AlertLog, KeyedState, live_table
 
@@ -49,9 +49,9 @@ def parse_events(log_rows: DataFrame) -> DataFrame:
 def silver_lookups(spark: SparkSession, layout: Layout) -> Lookups:
     """Centers, stations and vehicles of the newest silver version, looked up per batch."""
     return lambda: (
-        silver_rows(spark, layout, domain.TOPIC_FULFILLMENT_CENTERS),
-        silver_rows(spark, layout, domain.TOPIC_DELIVERY_STATIONS),
-        silver_rows(spark, layout, domain.TOPIC_VEHICLES),
+        silver_of(spark, layout, domain.TOPIC_FULFILLMENT_CENTERS),
+        silver_of(spark, layout, domain.TOPIC_DELIVERY_STATIONS),
+        silver_of(spark, layout, domain.TOPIC_VEHICLES),
     )
 
 

@@ -95,6 +95,39 @@ def test_bronze_of_one_day_replaces_that_day_only(spark, rows, tmp_path):
         ("2026-07-01", "2026-07-01 01:00:00"), ("2026-07-02", "2026-07-03 01:00:00")]
 
 
+def test_a_run_of_new_dates_equals_a_full_run(spark, rows, tmp_path):
+    replay, layout = Replay(tmp_path / "log"), Layout(str(tmp_path / "lake"))
+    serving = ParquetServing(spark, str(tmp_path / "serving"))
+    replay.add_master()
+    replay.add("orders", [order_payload(s) for s in ("S1", "S2")])
+    ingest_all(spark, ReplayLog(str(tmp_path / "log")), layout, "2026-07-01")
+
+    def events_of(day, *payloads):
+        part = Replay(tmp_path / f"log-{day}")
+        part.add("shipment_events", payloads)
+        layers.ingest_batch(spark, ReplayLog(str(part.path)), ENTITIES["shipment_events"], layout,
+                            at(f"{day} 00:00:00"))
+
+    def fact():
+        table = Table(spark, layout.gold("fact_shipment")).read().drop("gold_processed_at")
+        return sorted(map(str, rows(table)))
+
+    def run(day, since=None):
+        run_batch(spark, layout, serving, F.lit("2026-07-05"), at(f"{day} 01:00:00"), since)
+
+    events_of("2026-07-01", *[event_payload(n) for n in (1, 2, 4)], event_payload(3, "S2"))
+    run("2026-07-01")
+    events_of("2026-07-02", event_payload(3), event_payload(7), event_payload(1, "S2"), "broken")
+    run("2026-07-02", since="2026-07-02")
+    partly = fact()
+    run("2026-07-02", since="2026-07-02")
+    assert fact() == partly
+    run("2026-07-03")
+    assert fact() == partly and len(partly) == 2
+    events = layers.silver_rows(spark, ENTITIES["shipment_events"], layout)
+    assert events.count() == 7 and "ingested_at" not in events.columns
+
+
 def test_empty_layers_run(spark, tmp_path):
     layout = Layout(str(tmp_path / "lake"))
     entity = ENTITIES["orders"]

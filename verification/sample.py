@@ -19,7 +19,7 @@ from parcelake.operators.calendar import dim_date
 from parcelake.operators.checks import expected_arrival, promised_time
 from parcelake.operators.clean import valid_rows
 from parcelake.operators.enrich import add_flags, enrich
-from parcelake.operators.fact import fact_shipment
+from parcelake.operators.fact import fact_shipment, shipment_states
 from parcelake.operators.live import changed_rows, to_live_rows
 from parcelake.plans.gold import customers
 from parcelake.schemas import ENTITIES, SHIPMENT_LIVE
@@ -216,7 +216,7 @@ class Sample:
     @cached_property
     def fact(self) -> DataFrame:
         return fact_shipment(
-            self.events, self.orders, self.vehicles, self.dim_fc, self.dim_ds,
+            shipment_states(self.events), self.orders, self.vehicles, self.dim_fc, self.dim_ds,
             self.dim_vehicle, self.dim_customer, self.calendar, as_of())
 
     # --- type-2 sample: customer tiers as known in April 1998 and at the end -------------
