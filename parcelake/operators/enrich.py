@@ -24,26 +24,33 @@ def facility_lookup(centers: DataFrame, stations: DataFrame) -> DataFrame:
     return of(domain.FC, centers, "fc").unionByName(of(domain.DS, stations, "ds"))
 
 
-def enrich(events: DataFrame, centers: DataFrame, stations: DataFrame,
-           vehicles: DataFrame) -> DataFrame:
-    """Left-join facility names and regions, and the vehicle type.
+def _left(events: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    if events.isStreaming:
+        # Stream-static left join; a table of unknown or large size is left to the planner.
+        side = F.broadcast(table) if fits_broadcast(table) else table
+        return events.join(side, key, "left")
+    return lookup(events, table, key, spread_by="event_id")
+
+
+def with_facilities(events: DataFrame, centers: DataFrame, stations: DataFrame) -> DataFrame:
+    """Left-join the facility's name and region, into the columns of its type.
 
     An event is at one facility of one type, so both facility tables answer through one join.
     """
-    facilities = facility_lookup(centers, stations)
-    types = vehicles.select("vehicle_id", "vehicle_type")
     at = F.struct(F.col("facility_type").alias("type"), F.col("facility_id").alias("id"))
     rows = events.withColumn("_at", F.when(F.col("facility_id").isNotNull(), at))
-    if events.isStreaming:
-        # Stream-static left joins; a table of unknown or large size is left to the planner.
-        for key, table in (("_at", facilities), ("vehicle_id", types)):
-            side = F.broadcast(table) if fits_broadcast(table) else table
-            rows = rows.join(side, key, "left")
-    else:
-        rows = lookup(rows, facilities, "_at", spread_by="event_id")
-        rows = lookup(rows, types, "vehicle_id", spread_by="event_id")
-    return rows.select(
-        *events.columns, "fc_name", "fc_region", "ds_name", "ds_region", "vehicle_type")
+    return _left(rows, facility_lookup(centers, stations), "_at").select(
+        *events.columns, "fc_name", "fc_region", "ds_name", "ds_region")
+
+
+def with_vehicle_type(events: DataFrame, vehicles: DataFrame) -> DataFrame:
+    return _left(events, vehicles.select("vehicle_id", "vehicle_type"), "vehicle_id").select(
+        *events.columns, "vehicle_type")
+
+
+def enrich(events: DataFrame, centers: DataFrame, stations: DataFrame,
+           vehicles: DataFrame) -> DataFrame:
+    return with_vehicle_type(with_facilities(events, centers, stations), vehicles)
 
 
 def add_flags(events: DataFrame) -> DataFrame:

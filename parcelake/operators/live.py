@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelake import domain
 from parcelake.functions import round_to, stage_number
+from parcelake.operators.enrich import add_flags, with_facilities
 from parcelake.operators.fact import latest_state
 from parcelake.schemas import SHIPMENT_LIVE
 
@@ -16,12 +17,21 @@ STORED_COLUMNS = (
 )
 
 
-def to_live_rows(enriched: DataFrame) -> DataFrame:
-    """Newest event per shipment in the columns of the live table, before the upsert."""
-    stamped = ("stage_entered_at", "last_updated")
-    return latest_state(enriched).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name)
-          for f in SHIPMENT_LIVE.fields if f.name not in stamped])
+_ADDED = ("fc_name", "ds_name", "fc_region", "ds_region", "is_sla_at_risk", "is_priority",
+          "stage_entered_at", "last_updated")
+
+
+def to_live_rows(events: DataFrame, centers: DataFrame, stations: DataFrame) -> DataFrame:
+    """Newest event per shipment in the columns of the live table, before the upsert.
+
+    Names and flags are added to the newest events only, after the others are gone.
+    """
+    carried = [c for c in SHIPMENT_LIVE.fieldNames() if c not in _ADDED]
+    newest = latest_state(events.select("event_id", *carried))
+    full = add_flags(with_facilities(newest, centers, stations))
+    return full.select(*[
+        F.col(f.name).cast(f.dataType).alias(f.name)
+        for f in SHIPMENT_LIVE.fields if f.name in full.columns])
 
 
 def _later_or_same(new: str, old: str) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from parcelake import domain
 from parcelake.layout import Layout
 from parcelake.operators import alerts
-from parcelake.operators.enrich import add_flags, enrich
+from parcelake.operators.enrich import add_flags
 from parcelake.operators.live import STORED_COLUMNS, changed_rows, to_live_rows
 from parcelake.operators.parse import cast_times, parse_payload
 from parcelake.plans.gold import silver_of
@@ -25,7 +25,7 @@ EVENTS = ENTITIES[domain.TOPIC_SHIPMENT_EVENTS]
 # (ids are short: well under 100 MB); beyond it the filter is a shuffle join.
 BROADCAST_EVENTS = 1_000_000
 
-Lookups = Callable[[], tuple[DataFrame, DataFrame, DataFrame]]
+Lookups = Callable[[], tuple[DataFrame, DataFrame]]
 
 
 def wall_clock(batch_id: int) -> datetime:
@@ -47,11 +47,10 @@ def parse_events(log_rows: DataFrame) -> DataFrame:
 
 
 def silver_lookups(spark: SparkSession, layout: Layout) -> Lookups:
-    """Centers, stations and vehicles of the newest silver version, looked up per batch."""
+    """Centers and stations of the newest silver version, looked up per batch."""
     return lambda: (
         silver_of(spark, layout, domain.TOPIC_FULFILLMENT_CENTERS),
         silver_of(spark, layout, domain.TOPIC_DELIVERY_STATIONS),
-        silver_of(spark, layout, domain.TOPIC_VEHICLES),
     )
 
 
@@ -71,7 +70,7 @@ class LiveBatch:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # Used by the upsert and by every alert rule. A lost cached piece is computed again
         # from the message log.
-        events = add_flags(enrich(batch, *self.lookups())).persist()
+        events = add_flags(batch).persist()
         try:
             size = events.count()
             if size:
@@ -86,7 +85,8 @@ class LiveBatch:
             touched = F.broadcast(touched)
         stored = self.live.read(before=batch_id, columns=STORED_COLUMNS, only=touched).persist()
         try:
-            self.live.write_changes(batch_id, changed_rows(to_live_rows(events), stored, now))
+            newest = to_live_rows(events, *self.lookups())
+            self.live.write_changes(batch_id, changed_rows(newest, stored, now))
             found = alerts.batch_alerts(events, stored).unionByName(
                 alerts.table_alerts(self.live.read(before=batch_id + 1), now))
             sent = self.log.sent.read(before=batch_id)

@@ -19,13 +19,21 @@ def enriched(make):
 
 
 @pytest.fixture(scope="module")
-def table(spark, enriched):
+def live_rows(make):
+    def build(*events):
+        return live.to_live_rows(
+            make(EVENTS, *events), make(CENTERS, *CENTER_ROWS), make(STATIONS, *STATION_ROWS))
+    return build
+
+
+@pytest.fixture(scope="module")
+def table(spark, live_rows):
     """Live table after applying batches of events in turn, each with its own clock."""
     def build(*batches, now=True):
         state = spark.createDataFrame([], SHIPMENT_LIVE)
         for hour, batch in batches:
             clock = F.lit(f"2026-07-02 {hour:02d}:00:00").cast("timestamp") if now else None
-            state = live.upsert(state, live.to_live_rows(enriched(*batch)), clock)
+            state = live.upsert(state, live_rows(*batch), clock)
         return state
     return build
 
@@ -74,9 +82,9 @@ def test_stage_clock_is_kept_unless_the_status_changes(table, rows, before, afte
     assert str(row["last_updated"]).endswith("02:00:00")
 
 
-def test_changed_rows_need_only_the_stored_columns(table, enriched, rows):
+def test_changed_rows_need_only_the_stored_columns(table, live_rows, rows):
     stored = table((1, [event(1, "a"), event(5, "b")])).select(*live.STORED_COLUMNS)
-    incoming = live.to_live_rows(enriched(event(2, "a"), event(2, "b"), event(1, "c")))
+    incoming = live_rows(event(2, "a"), event(2, "b"), event(1, "c"))
     out = rows(live.changed_rows(incoming, stored, None), "shipment_id")
     assert set(out) == {"a", "c"} and len(out["a"]) == len(SHIPMENT_LIVE.fields)
 

@@ -195,7 +195,8 @@ def test_open_stage_rules_skip_delivered_files(spark, make, tmp_path):
 def test_stream_static_enrichment_equals_batch(spark, lake, rows):
     replay, layout, log = lake
     replay.add("shipment_events", [event_payload(n) for n in range(1, 8)])
-    tables = _lookups(spark, layout)()
+    tables = [layers.silver_rows(spark, ENTITIES[t], layout)
+              for t in ("fulfillment_centers", "delivery_stations", "vehicles")]
     stream = add_flags(enrich(parse_events(log.stream(spark, "shipment_events")), *tables))
     query = (stream.writeStream.format("memory").queryName("enriched")
              .trigger(availableNow=True).start())

@@ -119,7 +119,7 @@ def dedup_latest(s: Sample) -> DataFrame:
 
 @registered
 def sla_at_risk(s: Sample) -> DataFrame:
-    return s.enriched.select("event_id", "shipment_id", "is_sla_at_risk", "is_priority")
+    return s.flagged.select("event_id", "shipment_id", "is_sla_at_risk", "is_priority")
 
 
 @registered
@@ -305,9 +305,9 @@ def bands(s: Sample) -> DataFrame:
 def live_upsert(s: Sample) -> DataFrame:
     """Morning events of PRIME shipments and afternoon events of the others are stored; the
     other half of the day arrives later. So one part of the batch is newer, the other late."""
-    stored_first = (F.hour("event_timestamp") < 12) == F.col("is_priority")
-    stored = s.live_of(s.enriched.where(stored_first))
-    return live.upsert(stored, live.to_live_rows(s.enriched.where(~stored_first))).drop(
+    stored_first = (F.hour("event_timestamp") < 12) == (F.col("customer_tier") == domain.PRIME)
+    stored = s.live_of(s.events.where(stored_first))
+    return live.upsert(stored, s.live_rows(s.events.where(~stored_first))).drop(
         "latitude", "longitude")
 
 
@@ -370,20 +370,19 @@ def live_feed(s: Sample) -> DataFrame:
 
 @registered
 def alert_prime_sla(s: Sample) -> DataFrame:
-    return alerts.prime_sla(s.enriched)
+    return alerts.prime_sla(s.flagged)
 
 
 @registered
 def alert_delay(s: Sample) -> DataFrame:
-    return alerts.delay(s.enriched)
+    return alerts.delay(s.flagged)
 
 
 @registered
 def eta_change(s: Sample) -> DataFrame:
     """Morning events are stored, afternoon events are the batch."""
     morning = F.hour("event_timestamp") < 12
-    return alerts.eta_change(
-        s.enriched.where(~morning), s.live_of(s.enriched.where(morning)))
+    return alerts.eta_change(s.events.where(~morning), s.live_of(s.events.where(morning)))
 
 
 @registered
@@ -413,7 +412,7 @@ def alert_dedup(s: Sample) -> DataFrame:
 
     log = sent(s.live.where("is_priority"), alerts.DELAY, F.lit(86400)).unionByName(
         sent(s.live.where("is_delayed"), alerts.STALE, F.col("delay_minutes") * 30))
-    found = alerts.delay(s.enriched).unionByName(alerts.stale(s.live, as_of()))
+    found = alerts.delay(s.flagged).unionByName(alerts.stale(s.live, as_of()))
     return alerts.unsent(found, log, as_of()).select("alert_key", "alert_type", "subject_id")
 
 

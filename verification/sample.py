@@ -179,14 +179,21 @@ class Sample:
     def enriched(self) -> DataFrame:
         return add_flags(enrich(self.events, self.centers, self.stations, self.vehicles))
 
-    def live_of(self, enriched: DataFrame) -> DataFrame:
+    def live_of(self, events: DataFrame) -> DataFrame:
         """Live table after these events, stamped with event time."""
         nothing = self.spark.createDataFrame([], SHIPMENT_LIVE)
-        return changed_rows(to_live_rows(enriched), nothing)
+        return changed_rows(self.live_rows(events), nothing)
+
+    def live_rows(self, events: DataFrame) -> DataFrame:
+        return to_live_rows(events, self.centers, self.stations)
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        return add_flags(self.events)
 
     @cached_property
     def live(self) -> DataFrame:
-        return self.live_of(self.enriched)
+        return self.live_of(self.events)
 
     # --- star schema ---------------------------------------------------------------------
 
