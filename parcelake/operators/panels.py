@@ -1,11 +1,17 @@
-"""What the BI dashboard shows: columns, captions and order of its panels.
+"""What the two dashboards show: panels with their columns, captions and order.
 
 The captions are fixed values: dashboards and exports refer to them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from parcelake import domain
+from parcelake.functions import band
+from parcelake.operators import live as live_table
 
 
 def _captioned(df: DataFrame, captions: dict[str, str]) -> DataFrame:
@@ -50,3 +56,59 @@ def lead_time_table(lead_times: DataFrame) -> DataFrame:
         "delivery_type": "Delivery Type", "shipment_count": "Shipments",
         "avg_lead_time_hrs": "Avg (hrs)", "min_lead_time_hrs": "Min (hrs)",
         "max_lead_time_hrs": "Max (hrs)"})
+
+
+def bi(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The eleven panels of the BI dashboard, from the served tables by name."""
+    def value(column: str) -> DataFrame:
+        return tables["bi_logistics_kpis"].select(F.col(column).alias("value"))
+
+    months = monthly_series(tables["bi_monthly_trends"])
+    return {
+        "Total Shipments": value("total_shipments"),
+        "On-Time Delivery %": value("on_time_pct"),
+        "Avg Delay (min)": value("avg_delay_min"),
+        "SLA Breach %": value("sla_breach_pct"),
+        "Warehouse Performance": warehouse_table(tables["bi_warehouse_performance"]),
+        "Delivery Station Performance": station_table(tables["bi_delivery_station_perf"]),
+        "Monthly Shipment Volume": months.select("Month", "Shipments"),
+        "Monthly On-Time Delivery %": months.select("Month", "On-Time %"),
+        "Monthly Avg Delay (min)": months.select("Month", "Avg Delay (min)"),
+        "Cost & Penalty Summary": cost_table(tables["bi_cost_penalty"]),
+        "Delivery Lead Time": lead_time_table(tables["bi_lead_time"]),
+    }
+
+
+def realtime(live: DataFrame, as_of: Column) -> dict[str, DataFrame]:
+    """The eleven panels of the realtime dashboard, from the live table."""
+    def stale(df: DataFrame, place: str) -> DataFrame:
+        return _captioned(df, {
+            "shipment_id": "Shipment", "shipment_status": "Status", "facility": place,
+            "stage_entered_at": "Stuck Since", "hours_stuck": "Hours Stuck"})
+
+    backlog = {"facility": "Facility", "backlog": "Backlog"}
+    return {
+        "Active Shipments": live_table.active_shipments(live),
+        "Delayed Shipments": live_table.delayed_shipments(live),
+        "SLA At Risk": live_table.sla_at_risk(live),
+        "Avg Delay (min)": live_table.average_delay(live),
+        "Shipments by Status": _captioned(
+            live_table.by_status(live), {"shipment_status": "Status", "shipments": "Count"}),
+        "Shipments by Customer Tier": _captioned(
+            live_table.by_tier(live), {"customer_tier": "Tier", "shipments": "Count"}),
+        "FC Backlog by Facility": _captioned(live_table.fc_backlog(live), backlog),
+        "DS Backlog by Facility": _captioned(live_table.ds_backlog(live), backlog),
+        "Stale at Fulfillment Center": stale(live_table.stale_fc(live, as_of), "FC"),
+        "Stale at Delivery Station": stale(live_table.stale_ds(live, as_of), "DS"),
+        "Live Shipment Feed": _captioned(live_table.live_feed(live), {
+            "shipment_id": "Shipment", "shipment_status": "Status", "customer_tier": "Tier",
+            "delivery_type": "Delivery Type", "is_delayed": "Delayed",
+            "delay_minutes": "Delay (min)", "is_sla_at_risk": "SLA Risk",
+            "facility": "Facility", "last_updated": "Last Updated"}),
+    }
+
+
+def with_bands(df: DataFrame) -> DataFrame:
+    """Add `<column>_band`, the colour of its panel, for every column that has bands."""
+    return df.withColumns({
+        f"{c}_band": band(c, c) for c in df.columns if c in domain.PANEL_BANDS})

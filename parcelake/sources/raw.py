@@ -15,7 +15,10 @@ def append(envelopes: DataFrame, path: str) -> None:
 
 def start_append(envelopes: DataFrame, path: str, checkpoint: str,
                  trigger: dict | None = None) -> StreamingQuery:
-    """Streaming append. The sink's commit log makes a restart repeat or skip nothing."""
+    """Streaming append. The sink's commit log makes a restart repeat or skip nothing.
+
+    Readers of `path` go by that log, so nothing else may write there.
+    """
     return (
         envelopes.writeStream.format("json").outputMode("append")
         .partitionBy("ingested_at")

@@ -40,7 +40,7 @@ class KeyedState:
         stored = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
         return (
             self.spark.read.schema(stored).option("basePath", f"{self.path}/changes")
-            .parquet(*[f"{self.path}/changes/batch_id={b}" for b in batches])
+            .parquet(*[self.changes_path(b) for b in batches])
             .select(*columns, "batch_id")
         )
 
@@ -77,11 +77,14 @@ class KeyedState:
             return full if changes is None else changes
         return full.join(changes.select(self.key), self.key, "left_anti").unionByName(changes)
 
+    def changes_path(self, batch_id: int) -> str:
+        return f"{self.path}/changes/batch_id={batch_id}"
+
     def write_changes(self, batch_id: int, rows: DataFrame) -> None:
         """Rows of the state that batch `batch_id` inserts or replaces, at most one per key."""
         (
             rows.select(*self.schema.fieldNames())
-            .write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
+            .write.mode("overwrite").parquet(self.changes_path(batch_id))
         )
 
     def compact(self, batch_id: int) -> bool:
@@ -101,7 +104,7 @@ class KeyedState:
             for old in fulls[:-1]:
                 fs.remove(self.spark, f"{self.path}/full/v={old}")
             for old in [b for b in batches if b <= fulls[-1]]:
-                fs.remove(self.spark, f"{self.path}/changes/batch_id={old}")
+                fs.remove(self.spark, self.changes_path(old))
         return True
 
 
@@ -128,16 +131,21 @@ class AlertLog:
         return KeyedState(self.spark, f"{self.path}/sent", ALERT, "alert_key", self.compact_every)
 
     def history(self) -> DataFrame:
-        batches = fs.numbered(self.spark, f"{self.path}/history", "batch_id=")
-        if not batches:
+        path = f"{self.path}/history"
+        if not fs.child_names(self.spark, path):
             return self.spark.createDataFrame([], ALERT)
-        return self.spark.read.schema(ALERT).parquet(
-            *[f"{self.path}/history/batch_id={b}" for b in batches])
+        return self.spark.read.schema(ALERT).parquet(path).select(*ALERT.fieldNames())
 
     def write(self, batch_id: int, alerts: DataFrame) -> None:
+        """Log the alerts of a batch; batches without alerts leave no files behind."""
         rows = alerts.select(*ALERT.fieldNames()).persist()
+        target = f"{self.path}/history/batch_id={batch_id}"
         try:
-            rows.write.mode("overwrite").parquet(f"{self.path}/history/batch_id={batch_id}")
+            if rows.isEmpty():
+                fs.remove(self.spark, target)       # of an earlier attempt, if any
+                fs.remove(self.spark, self.sent.changes_path(batch_id))
+                return
+            rows.write.mode("overwrite").parquet(target)
             self.sent.write_changes(batch_id, rows)
             self.sent.compact(batch_id)
         finally:

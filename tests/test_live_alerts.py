@@ -2,9 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelake.functions import band
-from parcelake.operators import alerts, live
+from parcelake.operators import alerts, live, panels
 from parcelake.operators.enrich import add_flags, enrich
-from parcelake.schemas import SHIPMENT_LIVE
+from parcelake.schemas import BI_TABLES, SHIPMENT_LIVE
 from tests.fixtures import (
     CENTER_ROWS, CENTERS, DAY, EVENTS, STATION_ROWS, STATIONS, VEHICLE_ROWS, VEHICLES, event)
 
@@ -159,6 +159,28 @@ def test_panels_on_an_empty_table(spark, rows):
     assert rows(live.live_feed(state)) == []
 
 
+def test_realtime_dashboard(table, rows):
+    state = table((0, [event(1, "fc"), event(4, "ds"), event(7, "done")]))
+    shown = panels.realtime(state, F.lit("2026-07-02 06:00:00").cast("timestamp"))
+    assert len(shown) == 11
+    assert rows(shown["Active Shipments"]) == [{"value": 2}]
+    (stuck,) = rows(shown["Stale at Fulfillment Center"])
+    assert stuck["FC"] == "Delhi Fulfillment Center" and stuck["Hours Stuck"] == 6.0
+    assert rows(shown["DS Backlog by Facility"]) == [
+        {"Facility": "North Delhi Delivery Station", "Backlog": 1}]
+    assert shown["Live Shipment Feed"].columns[-1] == "Last Updated"
+
+
+def test_bi_dashboard(make, rows):
+    tables = {name: make(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in contract))
+              for name, contract in BI_TABLES.items()}
+    shown = panels.bi(tables)
+    assert len(shown) == 11 and shown["SLA Breach %"].columns == ["value"]
+    assert shown["Warehouse Performance"].columns == [
+        "FC Name", "Region", "Volume", "Avg Dispatch (min)", "Delayed", "Delayed %"]
+    assert "total_refunds_band" in panels.with_bands(tables["bi_cost_penalty"]).columns
+
+
 def test_bands_at_their_bounds(make, rows):
     df = make("v double", (9.9,), (10.0,), (24.9,), (25.0,), (None,))
     out = [r["c"] for r in rows(df.select(band("v", "delayed_pct").alias("c")))]

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +84,28 @@ def test_hash_sees_nulls_and_separators(make, before, after):
     assert scd2.changes(first, make(COLUMNS, after), DIM, F.lit("2024-02-01")).count() == 1
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_loads_equal_a_row_by_row_model(make, rows, seed):
+    rng = random.Random(seed)
+    model: dict[str, list[list]] = {}       # key -> [from, to, value]
+    table = None
+    for day in ("2024-01-01", "2024-01-01", "2024-01-05", "2024-01-09", "2024-01-09"):
+        incoming = {f"k{i}": rng.choice(["x", "y", None]) for i in range(12) if rng.random() < 0.7}
+        for key, value in incoming.items():
+            history = model.setdefault(key, [])
+            if not history or history[-1][2] != value:
+                if history:
+                    history[-1][1] = day
+                history.append([day, "9999-12-31", value])
+        batch = [(k, v, 1) for k, v in incoming.items()]
+        table = load(make, day, *batch) if table is None else merge(make, table, day, *batch)
+    got = sorted((r["k"], str(r["effective_from"]), str(r["effective_to"]), str(r["a"]),
+                  r["is_current"]) for r in rows(table))
+    assert got == sorted((k, a, b, str(v), b == "9999-12-31")
+                         for k, history in model.items() for a, b, v in history)
+    check_invariants(table)
+
+
 def test_null_keys_never_enter(make):
     first = load(make, "2024-01-01", ("a", "x", 1))
     df = merge(make, first, "2024-02-01", (None, "x", 1), ("a", "x", 1))
