@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelake import domain
 from parcelake.functions import percent, round_to
-from parcelake.operators.keyed import fits_broadcast
+from parcelake.sizing import fits_broadcast
 
 ALL_KEYS = ("fc_id", "fc_sk", "ds_id", "ds_sk", "delivery_type", "date_key")
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from parcelake import domain
-from parcelake.operators.keyed import fits_broadcast, lookup
+from parcelake.operators.keyed import lookup
+from parcelake.sizing import fits_broadcast
 
 
 def facility_lookup(centers: DataFrame, stations: DataFrame) -> DataFrame:

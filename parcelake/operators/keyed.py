@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A lookup side is broadcast only if the optimizer's own size estimate is below this.
-BROADCAST_BYTES = 32 * 1024 * 1024
+from parcelake.sizing import fits_broadcast
+
 # A key is hot above this share of all rows, so there are never more than 1000 hot keys.
 HOT_SHARE = 1.0 / 1000
 SPREAD = 4096
@@ -30,15 +30,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     return newest.select(*keys, "_newest.*").select(*df.columns)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """What Catalyst expects the plan to produce; nothing is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    return estimated_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
-
-
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys that hold more than `share` of the rows with a key: fewer than 1/share of them."""
     keys = df.where(F.col(key).isNotNull()).select(key)

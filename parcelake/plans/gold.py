@@ -12,6 +12,7 @@ from parcelake.operators.fact import fact_shipment, merge_states, shipment_state
 from parcelake.operators.keyed import latest_per_key
 from parcelake.plans.layers import row_count, silver_rows
 from parcelake.schemas import ENTITIES
+from parcelake.sizing import shuffles_sized_for
 from parcelake.sources.tables import Table
 
 
@@ -40,7 +41,8 @@ def build_dimension(spark: SparkSession, layout: Layout, dim: scd2.Dimension,
     rows = rows.observe(
         seen, row_count(), F.count_if("is_current").alias("current"),
         F.count_if(F.col("effective_from") == as_of.cast("date")).alias("opened"))
-    table.overwrite(rows)
+    with shuffles_sized_for(spark, incoming):
+        table.overwrite(rows)
     return seen.get
 
 
@@ -68,9 +70,11 @@ def build_states(spark: SparkSession, layout: Layout, since: str | None = None)
     """
     table = Table(spark, layout.gold("shipment_states"))
     partly = since is not None and table.exists()
-    states = shipment_states(
-        silver_of(spark, layout, domain.TOPIC_SHIPMENT_EVENTS, since if partly else None))
-    table.overwrite(merge_states(table.read(), states) if partly else states)
+    events = silver_of(spark, layout, domain.TOPIC_SHIPMENT_EVENTS, since if partly else None)
+    states = shipment_states(events)
+    stored = [table.read()] if partly else []
+    with shuffles_sized_for(spark, events, *stored):
+        table.overwrite(merge_states(stored[0], states) if partly else states)
     return table
 
 
@@ -80,13 +84,15 @@ def build_fact(spark: SparkSession, layout: Layout, as_of: Column, run_ts: Colum
     def gold(name: str) -> DataFrame:
         return Table(spark, layout.gold(name)).read()
 
+    states = build_states(spark, layout, since).read()
+    orders = silver_of(spark, layout, domain.TOPIC_ORDERS)
     fact = fact_shipment(
-        build_states(spark, layout, since).read(),
-        silver_of(spark, layout, domain.TOPIC_ORDERS),
+        states, orders,
         silver_of(spark, layout, domain.TOPIC_VEHICLES),
         gold("dim_fulfillment_center"), gold("dim_delivery_station"), gold("dim_vehicle"),
         gold("dim_customer"), gold("dim_date"), as_of)
     seen = Observation("gold fact_shipment")
-    Table(spark, layout.gold("fact_shipment")).overwrite(
-        fact.withColumn("gold_processed_at", run_ts).observe(seen, row_count()))
+    with shuffles_sized_for(spark, states, orders):
+        Table(spark, layout.gold("fact_shipment")).overwrite(
+            fact.withColumn("gold_processed_at", run_ts).observe(seen, row_count()))
     return seen.get

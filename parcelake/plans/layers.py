@@ -12,6 +12,7 @@ from parcelake.layout import Layout
 from parcelake.operators.clean import to_silver
 from parcelake.operators.parse import parse_payload, to_envelope
 from parcelake.schemas import Entity
+from parcelake.sizing import shuffles_sized_for
 from parcelake.sources import fs, raw
 from parcelake.sources.tables import Table
 
@@ -95,7 +96,8 @@ def silver(spark: SparkSession, entity: Entity, layout: Layout, run_ts: Column,
     if entity.append_only:
         _replace_dates(rows.select(*columns, "ingested_at"), path)
     else:
-        Table(spark, path).overwrite(rows.select(*columns))
+        with shuffles_sized_for(spark, source):
+            Table(spark, path).overwrite(rows.select(*columns))
     return seen.get
 
 

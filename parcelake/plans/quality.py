@@ -8,6 +8,7 @@ from parcelake import domain
 from parcelake.layout import Layout
 from parcelake.operators import checks
 from parcelake.plans.gold import silver_of
+from parcelake.sizing import shuffles_sized_for
 from parcelake.sources.tables import Table
 
 
@@ -29,7 +30,8 @@ def run_checks(spark: SparkSession, layout: Layout, network: DataFrame) -> None:
 
     # Read several times by the overlap check, and far smaller than the events: written first.
     legs = Table(spark, layout.quality("assignments"))
-    legs.overwrite(checks.assignments(events))
+    with shuffles_sized_for(spark, events):
+        legs.overwrite(checks.assignments(events))
     by_shipment = orders.select("shipment_id", "delivery_station_id").groupBy("shipment_id").agg(
         F.max("delivery_station_id").alias("delivery_station_id"))
     findings = {
@@ -40,4 +42,5 @@ def run_checks(spark: SparkSession, layout: Layout, network: DataFrame) -> None:
         "off_site_events": checks.off_site_events(events, places(spark, layout), by_shipment),
     }
     for name, df in findings.items():
-        Table(spark, layout.quality(name)).overwrite(df)
+        with shuffles_sized_for(spark, events):
+            Table(spark, layout.quality(name)).overwrite(df)

@@ -8,6 +8,7 @@ from parcelake.layout import Layout
 from parcelake.operators import bi
 from parcelake.operators.scd2 import current
 from parcelake.schemas import BI_TABLES
+from parcelake.sizing import shuffles_sized_for
 from parcelake.sources.serving import to_contract
 from parcelake.sources.tables import Table
 
@@ -16,7 +17,9 @@ def refresh_bi(spark: SparkSession, layout: Layout, serving, run_ts: Column) ->
     """The roll-up of the fact is written once as a gold table, and the six small tables are
     computed from it; a lost executor costs a re-read of the roll-up, not of the fact."""
     rolled = Table(spark, layout.gold("shipment_rollup"))
-    rolled.overwrite(bi.rollup(Table(spark, layout.gold("fact_shipment")).read()))
+    fact = Table(spark, layout.gold("fact_shipment")).read()
+    with shuffles_sized_for(spark, fact):
+        rolled.overwrite(bi.rollup(fact))
     tables = bi.bi_tables(
         rolled.read(),
         current(Table(spark, layout.gold("dim_fulfillment_center")).read()),

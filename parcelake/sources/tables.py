@@ -2,8 +2,8 @@
 
 Parquet cannot overwrite what the same job reads, and a half-written table must never be
 seen. So an overwrite writes `v=<n+1>` and readers take the highest version with a commit
-marker. With a transactional format on the classpath, pass its name as `fmt` and its own
-overwrite is used. One writer at a time.
+marker. Where the Delta format is on the classpath, set spark.parcelake.table.format to
+"delta" and its own transactional overwrite is used. One writer at a time.
 """
 
 from __future__ import annotations
@@ -20,9 +20,12 @@ from parcelake.sources import fs
 class Table:
     spark: SparkSession
     path: str
-    fmt: str = "parquet"
     keep: int = 2                # newest versions kept by `overwrite`
 
+    @property
+    def fmt(self) -> str:
+        return self.spark.conf.get("spark.parcelake.table.format", "parquet")
+
     @property
     def _versioned(self) -> bool:
         return self.fmt != "delta"
@@ -38,7 +41,10 @@ class Table:
 
     def read(self, version: int | None = None) -> DataFrame:
         if not self._versioned:
-            return self.spark.read.format(self.fmt).load(self.path)
+            reader = self.spark.read.format(self.fmt)
+            if version is not None:
+                reader = reader.option("versionAsOf", version)
+            return reader.load(self.path)
         known = self.versions()
         if not known:
             raise FileNotFoundError(f"no committed version of table {self.path}")

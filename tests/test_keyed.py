@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from parcelake.operators.keyed import fits_broadcast, hot_keys, latest_per_key, lookup
+from parcelake import sizing
+from parcelake.operators.keyed import hot_keys, latest_per_key, lookup
+from parcelake.sizing import fits_broadcast, shuffles_sized_for
 
 
 def test_latest_per_key_breaks_ties_by_all_columns(make, rows):
@@ -62,3 +64,15 @@ def test_hot_and_null_keys_do_not_meet_in_one_task(spark):
 def test_broadcast_is_decided_by_size(spark):
     assert fits_broadcast(spark.range(10))
     assert not fits_broadcast(spark.range(10_000_000_000))
+
+
+def test_shuffle_partitions_follow_the_input_size(spark, monkeypatch):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    df = spark.range(10)
+    for size, expected in [(100, int(before)), (100 << 40, 50_000), (640 << 20, 10),
+                           ((1 << 63) - 1, int(before))]:
+        monkeypatch.setattr(sizing, "estimated_bytes", lambda _, size=size: size)
+        with shuffles_sized_for(spark, df) as partitions:
+            assert partitions == expected == int(spark.conf.get(key))
+        assert spark.conf.get(key) == before

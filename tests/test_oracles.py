@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from parcelake.operators import keyed
+from parcelake import sizing
 from verification.compare import compare, oracle_connection
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, con, name):
     "q_stage_rules", "q_bi_warehouse"])
 def test_query_equals_sql_when_nothing_may_be_broadcast(spark, con, name, monkeypatch):
     """Every lookup takes the way for tables of any size: hot keys apart, the rest by shuffle."""
-    monkeypatch.setattr(keyed, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
     assert compare(spark, con, name, QUERIES[name], ORACLES[name], SF_DIR) is None
 
 

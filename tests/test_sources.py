@@ -20,6 +20,17 @@ def test_table_versions(spark, make, tmp_path):
     assert [r.a for r in table.read(version=3).collect()] == [3]
 
 
+def test_table_format_is_a_session_setting(spark, make, tmp_path):
+    table = Table(spark, str(tmp_path / "t"))
+    spark.conf.set("spark.parcelake.table.format", "orc")
+    try:
+        table.overwrite(make("a int", (1,)))
+        assert [r.a for r in table.read().collect()] == [1]
+        assert list((tmp_path / "t" / "v=1").glob("*.orc"))
+    finally:
+        spark.conf.unset("spark.parcelake.table.format")
+
+
 def test_table_may_be_computed_from_itself(spark, make, tmp_path):
     table = Table(spark, str(tmp_path / "t"))
     table.overwrite(make("a int", (1,)))
