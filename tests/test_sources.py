@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from parcelake import schemas
 from parcelake.sources import fs, raw
-from parcelake.sources.log import ReplayLog
-from parcelake.sources.serving import ParquetServing
+from parcelake.sources.log import KafkaLog, ReplayLog
+from parcelake.sources.serving import JdbcServing, ParquetServing
 from parcelake.sources.tables import Table
 
 
@@ -69,6 +69,49 @@ def test_replay_log_scan(spark, make, tmp_path):
     assert ReplayLog(str(tmp_path)).scan(spark, "orders").first()["offset"] == 1
 
 
+class Recorder:
+    """Stands in for a reader or writer of a source that is not installed here."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            if name == "option":
+                self.calls[args[0]] = args[1]
+            elif name == "options":
+                self.calls.update(kwargs)
+            else:
+                self.calls[name] = args[0] if args else True
+            return self
+        return call
+
+
+def test_kafka_scan_is_bounded_and_stream_is_not():
+    class Session:
+        read, readStream = Recorder(), Recorder()
+
+    log = KafkaLog("b1:9092", {"kafka.security.protocol": "SSL"})
+    log.scan(Session, "orders")
+    log.stream(Session, "shipment_events", "latest")
+    common = {"format": "kafka", "kafka.bootstrap.servers": "b1:9092",
+              "kafka.security.protocol": "SSL", "load": True}
+    assert Session.read.calls == {
+        **common, "subscribe": "orders", "startingOffsets": "earliest", "endingOffsets": "latest"}
+    assert Session.readStream.calls == {
+        **common, "subscribe": "shipment_events", "startingOffsets": "latest"}
+
+
+def test_jdbc_refresh_truncates_instead_of_dropping():
+    class Frame:
+        write = Recorder()
+
+    JdbcServing("jdbc:x", {"user": "u"}).refresh("bi_lead_time", Frame)
+    assert Frame.write.calls == {
+        "format": "jdbc", "mode": "overwrite", "url": "jdbc:x", "dbtable": "bi_lead_time",
+        "truncate": "true", "user": "u", "save": True}
+
+
 def test_serving_refresh_replaces(spark, make, tmp_path):
     serving = ParquetServing(spark, str(tmp_path))
     for n in (1, 2):

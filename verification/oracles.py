@@ -224,17 +224,18 @@ VIEWS = {
   FROM fact LEFT JOIN dim_ds d ON ds_sk = d.surrogate_key
   WHERE ds_sk IS NOT NULL GROUP BY 1, 2, 3""",
     "outcome": """
-  SELECT *, shipment_status = 'DELIVERED' AS done,
-    shipment_status = 'DELIVERED' AND sla_breached = false AS on_time FROM fact""",
+  SELECT *, CASE WHEN shipment_status = 'DELIVERED' THEN 1 END AS done,
+    CASE WHEN shipment_status = 'DELIVERED' AND sla_breached = false THEN 1 END AS on_time,
+    CASE WHEN sla_breached THEN 1 END AS late FROM fact""",
     "kpis": f"""
-  SELECT count(shipment_id) AS total_shipments, count(CASE WHEN done THEN 1 END) AS delivered_count,
-    count(CASE WHEN on_time THEN 1 END) AS on_time_count, {pct("count(CASE WHEN on_time THEN 1 END)", "count(CASE WHEN done THEN 1 END)")} AS on_time_pct,
-    {rnd("avg(delay_minutes)", 1)} AS avg_delay_min, count(CASE WHEN sla_breached THEN 1 END) AS sla_breach_count,
-    {pct("count(CASE WHEN sla_breached THEN 1 END)", "count(CASE WHEN done THEN 1 END)")} AS sla_breach_pct FROM outcome""",
+  SELECT count(shipment_id) AS total_shipments, count(done) AS delivered_count,
+    count(on_time) AS on_time_count, {pct("count(on_time)", "count(done)")} AS on_time_pct,
+    {rnd("avg(delay_minutes)", 1)} AS avg_delay_min, count(late) AS sla_breach_count,
+    {pct("count(late)", "count(done)")} AS sla_breach_pct FROM outcome""",
     "monthly": f"""
   SELECT c.year, c.month, c.month_name, count(shipment_id) AS shipment_volume,
-    count(CASE WHEN done THEN 1 END) AS delivered_count, count(CASE WHEN on_time THEN 1 END) AS on_time_count,
-    {pct("count(CASE WHEN on_time THEN 1 END)", "count(CASE WHEN done THEN 1 END)")} AS on_time_pct,
+    count(done) AS delivered_count, count(on_time) AS on_time_count,
+    {pct("count(on_time)", "count(done)")} AS on_time_pct,
     {rnd("avg(delay_minutes)", 1)} AS avg_delay_min
   FROM outcome LEFT JOIN calendar c USING (date_key) GROUP BY 1, 2, 3""",
     "cost": f"""
