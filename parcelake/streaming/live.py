@@ -25,6 +25,10 @@ EVENTS = ENTITIES[domain.TOPIC_SHIPMENT_EVENTS]
 # (ids are short: well under 100 MB); beyond it the filter is a shuffle join.
 BROADCAST_EVENTS = 1_000_000
 
+OPEN_COLUMNS = (
+    "shipment_id", "shipment_status", "facility_id", "facility_type", "stage_entered_at")
+SENT_COLUMNS = ("alert_key", "alert_type", "fired_at")
+
 Lookups = Callable[[], tuple[DataFrame, DataFrame]]
 
 
@@ -87,14 +91,25 @@ class LiveBatch:
         try:
             newest = to_live_rows(events, *self.lookups())
             self.live.write_changes(batch_id, changed_rows(newest, stored, now))
-            found = alerts.batch_alerts(events, stored).unionByName(
-                alerts.table_alerts(self.live.read(before=batch_id + 1), now))
-            sent = self.log.sent.read(before=batch_id)
-            self.log.write(batch_id, alerts.unsent(found, sent, now))
+            self._alert(events, stored, batch_id, now)
             self.live.compact(batch_id)
         finally:
             stored.unpersist()
 
+    def _alert(self, events: DataFrame, stored: DataFrame, batch_id: int, now: Column) -> None:
+        # Both rules on the whole table need open shipments only, in a few columns.
+        undelivered = (
+            self.live.read(before=batch_id + 1, columns=OPEN_COLUMNS)
+            .where(F.col("shipment_status") != domain.DELIVERED).persist()
+        )
+        try:
+            found = alerts.batch_alerts(events, stored).unionByName(
+                alerts.table_alerts(undelivered, now))
+            sent = self.log.sent.read(before=batch_id, columns=SENT_COLUMNS)
+            self.log.write(batch_id, alerts.unsent(found, sent, now))
+        finally:
+            undelivered.unpersist()
+
 
 def start_live(spark: SparkSession, log, layout: Layout, *, since: str = "latest",
                trigger: dict | None = None, compact_every: int = 20,
