@@ -123,10 +123,9 @@ def fit(measured: DataFrame, rounds: int = 200) -> np.ndarray:
 
 
 def estimate(pattern: np.ndarray, weight: np.ndarray, rounds: int = 200) -> np.ndarray:
-    """Expectation-maximisation over pattern counts, started from the majority of the votes."""
+    """Expectation-maximisation over pattern counts, started from the all-must-pass filter."""
     cast = pattern[:, None] // BASE % 3
-    balance = (cast - ABSTAIN).sum(axis=1)
-    good = np.where(balance > 0, .9, np.where(balance < 0, .1, .5))
+    good = np.where((cast == BAD).any(axis=1), .1, .9)
     prior, table = .5, np.full((2, RULES, 3), 1 / 3)
     for _ in range(rounds if len(pattern) else 0):
         for side, share in enumerate((1 - good, good)):
