@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelake.llm import language, packing, quality, tables, token_files, tokens
+from parcelake.llm import (
+    decontaminate, language, near_duplicates, packing, quality, tables, token_files, tokens,
+)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +18,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(tables.read(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(tables.read(spark, sf_dir, "documents"),
+                                       tables.read(spark, sf_dir, "benchmark"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tables.scratch_path(spark, "token-files")
     token_files.write_ordered(tables.read(spark, sf_dir, "documents"), path,
@@ -28,11 +35,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         tokens.vocabulary("byte_bpe_50k.json"), "byte", 1)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.join(tables.read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_quality_rules": op4_quality_rules,
+    "op5_decontamination": op5_decontamination,
     "op6_token_files": op6_token_files,
     "op7_packing": op7_packing,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {}

@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 SHARED = "spark.checkpoint.dir"
 # Rows handed to one Python step at a time: few enough that very long texts stay in bounds.
@@ -55,10 +57,7 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Itera
 
 def mapped(df: DataFrame, step: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """Narrow Arrow map: `step` turns a slice into columns named as in `schema`."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    target = to_arrow_schema(StructType.fromDDL(schema))
+    target = arrow_schema(schema)
 
     def run(batches):
         for part in slices(batches):
@@ -67,6 +66,10 @@ def mapped(df: DataFrame, step: Callable[[pa.RecordBatch], dict], schema: str) -
     return df.mapInArrow(run, schema)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def as_batch(columns: dict, target: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, f.type)

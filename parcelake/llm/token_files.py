@@ -20,8 +20,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
 from parcelake.llm import tables, tokens
 
@@ -33,7 +31,7 @@ _NUMBERS = ("shard", "doc_id", "before", "n_tokens")
 
 def encoded(docs: DataFrame, vocabulary: str, kind: str, end_id: int) -> DataFrame:
     """Ids of doc_id, text in the order of the rows; `shard` is the task, `before` counts in it."""
-    target = to_arrow_schema(StructType.fromDDL(SCHEMA))
+    target = tables.arrow_schema(SCHEMA)
     end = end_id.to_bytes(4, sys.byteorder)
 
     def run(batches):
