@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parcelake.llm import (
     decontaminate, language, near_duplicates, packing, quality, tables, token_files, tokens,
+    url_rules,
 )
 
 
@@ -14,6 +15,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(tables.read(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(tables.read(spark, sf_dir, "documents"))
 
@@ -41,6 +46,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
     "op6_token_files": op6_token_files,
@@ -48,4 +54,6 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_url_filter": url_rules.ORACLE,
+}
