@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelake.llm import (
-    decontaminate, language, near_duplicates, packing, quality, tables, token_files, tokens,
-    url_rules,
+    decontaminate, html_text, language, licenses, near_duplicates, packing, quality, tables, token_files, tokens,
+    url_rules, warc,
 )
 
 
@@ -15,6 +15,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_all(tables.read(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(tables.read(spark, sf_dir, "pages"))
 
@@ -40,17 +44,30 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         tokens.vocabulary("byte_bpe_50k.json"), "byte", 1)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tables.scratch_path(spark, "warc")
+    warc.write(tables.read(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path)
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(tables.read(spark, sf_dir, "pages"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.join(tables.read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_license_scan": op2_license_scan,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
     "op6_token_files": op6_token_files,
     "op7_packing": op7_packing,
+    "op8_warc": op8_warc,
+    "op9_html_text": op9_html_text,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
