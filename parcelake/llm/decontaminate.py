@@ -1,8 +1,8 @@
 """Passages of benchmark items in documents, also edited ones.
 
 1. Seeds: every `SEED`-word n-gram of an item. How many documents hold each is counted over all
-   documents, and an item keeps its rarest half (`LEAST_SEEDS` at least, ties included), so that an
-   item always has seeds, even if every document repeats it.
+   documents, and an item keeps its rarest three quarters (`LEAST_SEEDS` at least, ties included),
+   so that an item always has seeds, even if every document repeats it.
 2. A document with a seed is aligned with the item around it (Smith-Waterman over words:
    match 2, mismatch -1, gap -1). The score is the alignment's over that of the whole item.
 
@@ -26,7 +26,7 @@ SEED = 3
 LEAST_SEEDS = 8
 BLOCK_BYTES = 8 << 20
 MATCH, OTHER, GAP = 2, -1, -1
-SCORE = 0.5
+SCORE = 0.4
 HITS = "doc_id long, item_id long, score double, first_word long, last_word long"
 
 
@@ -91,14 +91,14 @@ class Seeds:
             yield from zip([n] * int(hit.sum()), key[hit].tolist(), at[hit].tolist())
 
     def keep_rare(self, documents: dict[tuple[int, int], int]) -> None:
-        """Leave each item its rarest half of the seeds by the number of documents."""
+        """Leave each item its rarest seeds by the number of documents."""
         by_item: dict[int, list[tuple[int, int, int, int]]] = {}
         for p in self.places:
             by_item.setdefault(p[2], []).append(p)
         rare = []
         for own in by_item.values():
             counts = sorted(documents.get(p[:2], 0) for p in own)
-            most = counts[min(len(counts), max(LEAST_SEEDS, -(-len(counts) // 2))) - 1]
+            most = counts[min(len(counts), max(LEAST_SEEDS, -(-3 * len(counts) // 4))) - 1]
             rare += [p for p in own if documents.get(p[:2], 0) <= most]
         self.place(rare)
 

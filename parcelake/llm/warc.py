@@ -233,7 +233,7 @@ def read(spark: SparkSession, folder: str, manifest: bool = True) -> DataFrame:
 
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
     if manifest:
-        names = spark.read.schema("name string").parquet(folder + MANIFEST)
-        archives = archives.join(F.broadcast(names), F.element_at(F.split("path", "/"), -1)
+        listed = spark.read.schema("name string").parquet(folder + MANIFEST)
+        archives = archives.join(F.broadcast(listed), F.element_at(F.split("path", "/"), -1)
                                  == F.col("name"), "left_semi")
     return archives.select("content").mapInArrow(run, RECORDS)
