@@ -31,12 +31,23 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, deleted when the driver ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    place, files = _files(spark, path)
+    files.deleteOnExit(place)
     return path
 
 
+def _files(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as readers other than Spark need it."""
+    place, files = _files(spark, path)
+    uri = files.makeQualified(place).toString()
+    return uri if not uri.startswith("file:/") or uri.startswith("file:///") else "file://" + uri[5:]
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back: cuts lineage, survives executors."""
     spark = df.sparkSession

@@ -173,11 +173,12 @@ def with_references(pages: DataFrame, least: int = 0) -> DataFrame:
 def write(pages: DataFrame, folder: str, least: int = 0) -> None:
     """Write all pages as archives in `folder`, a place that Arrow and Spark both reach."""
     plain = train_dictionary(pages)
+    where = tables.qualified(pages.sparkSession, folder)
     packed = zstandard.ZstdCompressor().compress(plain) if plain else b""
     lead = struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed if plain else b""
 
     def run(batches):
-        place, base = pafs.FileSystem.from_uri(folder)
+        place, base = pafs.FileSystem.from_uri(where)
         place.create_dir(base)
         task = TaskContext.get()
         compressor = zstandard.ZstdCompressor(
@@ -199,7 +200,7 @@ def write(pages: DataFrame, folder: str, least: int = 0) -> None:
             for page, url, html, refers in zip(*(batch.column(c).to_pylist() for c in (
                     "page_id", "url", "html", "refers_to"))):
                 if now is None:
-                    now, size = place.open_output_stream(f"{base}/.{name()}"), len(lead)
+                    now, size = place.open_output_stream(f"{base}/.{name()}", compression=None), len(lead)
                     now.write(lead)
                 frame = compressor.compress(record(page, url, html.encode(), refers))
                 now.write(frame)
