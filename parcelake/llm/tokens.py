@@ -1,8 +1,12 @@
 """Whole texts to token ids with the public tokenizers, fast through a cache of words.
 
-Both vocabularies split a text before they merge bytes, and no piece crosses a blank between
-words. So a text may be cut at blanks, each different word encoded once by the tokenizers
-library, and the ids put together again: the same ids as for the whole text.
+Both vocabularies cut a text into letters, digits, other signs and white space before they merge
+bytes, and no piece crosses such a cut. So a text may be cut there, each different piece encoded
+once by the tokenizers library, and the ids put together again: the same ids as for the whole text.
+
+A text of ASCII and Latin-1 letters without odd spacing is cut at every end of letters. Any other
+text is cut only at blanks that a printable ASCII character follows (or at white space, if the
+vocabulary drops it), which holds for every script.
 
 Ids are little-endian unsigned 32-bit integers.
 """
@@ -13,17 +17,24 @@ import os
 import re
 from array import array
 
-CACHE_WORDS = 200_000       # a worker's cache is emptied beyond this many words
-CACHED_LENGTH = 64          # longer words are encoded each time
+import numpy as np
+
+CACHE_PIECES = 300_000      # a worker's cache is emptied beyond this many pieces
+CACHED_LENGTH = 64          # longer pieces are encoded each time
 
-# A blank before white space (also the white space of other scripts) is no cut for byte_bpe.
-_UNSURE = re.compile(rb" [\x00-\x20\x7f\xc2\xe1\xe2\xe3]")
+_LATIN = rb"A-Za-z\x80-\xbf\xc3"        # bytes of the letters of a regular text
+_REGULAR = bytes([9, 10, 13, *range(32, 127), *range(0x80, 0xC0), 0xC3])
+_CONTRACTION = re.compile(rb"'[" + _LATIN + rb"]")
+_LETTERS_OR_REST = {"byte": re.compile(rb" ?[" + _LATIN + rb"]+| ?[^ " + _LATIN + rb"]+| "),
+                    "word": re.compile(rb"[" + _LATIN + rb"]+|[^ " + _LATIN + rb"]+")}
+_ODD_SPACES = (b"  ", b" \n", b"\n ", b"\n\n", b"\t", b"\r")
 _SURE_CUT = re.compile(rb"(?= [!-~])")
+_LETTER_BYTES = frozenset([*range(65, 91), *range(97, 123), *range(0x80, 0xC0)])
 
 
 class Encoder:
-    """Encoder of one vocabulary file. `kind` says how the file treats blanks: "word" drops them,
-    "byte" glues each to the word that follows it."""
+    """Encoder of one vocabulary file. `kind` says how the file treats blanks: "word" drops white
+    space and marks ends of words, "byte" glues a blank to what follows it."""
 
     def __init__(self, path: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,35 +44,90 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.kind = kind
         self.cache: dict[bytes, bytes] = {}
+        names = self.tokenizer.get_vocab()
+        self.size = np.zeros(max(names.values()) + 1, np.int64)     # bytes of an id
+        self.ends = np.zeros(len(self.size), bool)                  # an id that ends a word
+        for name, number in names.items():
+            self.size[number] = len(name)
+            self.ends[number] = name.endswith("</w>")
+
+    def regular(self, text: bytes) -> bool:
+        """Whether the text may be cut at every end of letters."""
+        if text.translate(None, _REGULAR) or b"\xc3\x97" in text or b"\xc3\xb7" in text:
+            return False
+        if b"'" in text and _CONTRACTION.search(text):
+            return False
+        return self.kind == "word" or not any(s in text for s in _ODD_SPACES)
 
     def pieces(self, text: bytes) -> list[bytes]:
-        if self.kind == "word":
-            return text.split()
-        if _UNSURE.search(text):
-            return _SURE_CUT.split(text)
-        first, *rest = text.split(b" ")
-        return [first, *(b" " + piece for piece in rest)]
+        if self.regular(text):
+            return _LETTERS_OR_REST[self.kind].findall(text.lower() if self.kind == "word" else text)
+        return text.split() if self.kind == "word" else _SURE_CUT.split(text)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of every text."""
         cut = [self.pieces(t) for t in texts]
-        missing = list({p for pieces in cut for p in pieces if p not in self.cache})
-        fresh = dict(zip(missing, self.plain(missing)))
-        if len(self.cache) + len(fresh) > CACHE_WORDS:
-            used = {p for pieces in cut for p in pieces if p not in fresh}
-            fresh |= {p: self.cache[p] for p in used}
-            self.cache = {}
+        found = set().union(*cut)
         known = self.cache
-        if len(fresh) <= CACHE_WORDS:
-            known.update((p, ids) for p, ids in fresh.items() if len(p) <= CACHED_LENGTH)
-        rest = {p: ids for p, ids in fresh.items() if p not in known}
-        if not rest:
-            return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-        return [b"".join([known[p] if p in known else rest[p] for p in pieces]) for pieces in cut]
+        missing = [p for p in found if p not in known]
+        if len(known) + len(missing) > CACHE_PIECES:
+            known = self.cache = {p: known[p] for p in found if p in known}
+        fresh = self.encode_pieces(missing)
+        if len(missing) <= CACHE_PIECES and all(len(p) <= CACHED_LENGTH for p in missing):
+            known.update(fresh)
+        else:
+            if len(missing) <= CACHE_PIECES:
+                known.update((p, ids) for p, ids in fresh.items() if len(p) <= CACHED_LENGTH)
+            known = {p: known[p] for p in found if p in known} | fresh
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+
+    def encode_pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of pieces. Those of letters only are encoded together as one text."""
+        letters = [p for p in pieces if p[-1:] and p[-1] in _LETTER_BYTES and self.only_letters(p)]
+        fresh = self.together(letters)
+        rest = [p for p in pieces if p not in fresh]
+        return fresh | dict(zip(rest, self.plain(rest)))
+
+    def only_letters(self, piece: bytes) -> bool:
+        body = piece[1:] if piece[0] == 32 else piece
+        if not body.isascii():
+            return not body.translate(None, _REGULAR) and self.regular(piece) and (
+                body.replace(b"\xc3", b"a").translate(None, bytes(_LETTER_BYTES)) == b"")
+        return body.isalpha()
+
+    def together(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of pieces of letters, from one text that the vocabulary cuts between them."""
+        if not pieces:
+            return {}
+        if self.kind == "word":
+            ids = self.ids_of(b" ".join(pieces))
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != len(pieces):
+                return {}
+            first = np.concatenate(([0], last[:-1]))
+        else:
+            spaced = [p for p in pieces if p[0] == 32]
+            bare = [p for p in pieces if p[0] != 32]
+            pieces = spaced + bare
+            ids = self.ids_of(b"".join(spaced + [b"\n" + p for p in bare]))
+            ends = np.cumsum(self.size[ids])
+            starts = ends - self.size[ids]
+            gaps = np.array([0] * len(spaced) + [1] * len(bare))
+            after = np.cumsum(np.array(list(map(len, pieces))) + gaps)
+            before = np.concatenate(([0], after[:-1])) + gaps
+            first, last = np.searchsorted(starts, before), np.searchsorted(ends, after) + 1
+            if (starts[first] != before).any() or (ends[last - 1] != after).any():
+                return {}
+        raw = ids.tobytes()
+        return {p: raw[4 * a:4 * b] for p, a, b in zip(pieces, first.tolist(), last.tolist())}
+
+    def ids_of(self, text: bytes) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)
+        return np.array(found[0].ids, np.uint32)
 
     def plain(self, texts: list[bytes]) -> list[bytes]:
         """Ids by the library alone."""
-        found = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
 
