@@ -2,14 +2,17 @@
 
     spark-submit --py-files parcelake.zip run_job.py <job> --root s3a://lake [options]
 
-Jobs: ingest-master, ingest-events, bronze, silver, gold, bi, batch, checks, live.
-The log is Kafka (--kafka host:port,...) or replay files (--replay path). BI tables are
-served over JDBC (--jdbc-url) or, without it, as tables under <root>/serving.
+Jobs: ingest-master, ingest-events, bronze, silver, gold, bi, panels, batch, checks, live.
+The log is Kafka (--kafka host:port,...) or replay files (--replay path). BI tables and panels are
+served over JDBC (--jdbc-url) or, without it, as tables under <root>/serving. Source options
+(--log-option maxOffsetsPerTrigger=100000) and those of the database (--jdbc-option user=bi) may be
+repeated; a value env:NAME is taken from the environment, so secrets stay off the command line.
 """
 
 from __future__ import annotations
 
 import argparse
+import os
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
@@ -33,7 +36,11 @@ def _parser() -> argparse.ArgumentParser:
     source = parser.add_mutually_exclusive_group()
     source.add_argument("--kafka", help="bootstrap servers")
     source.add_argument("--replay", help="path of replay files")
+    parser.add_argument("--log-option", action="append", default=[], metavar="KEY=VALUE",
+                        help="Kafka source option, e.g. kafka.security.protocol=SASL_SSL")
     parser.add_argument("--jdbc-url")
+    parser.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE",
+                        help="database option, e.g. driver=..., password=env:DB_PASSWORD")
     parser.add_argument("--as-of", help="business date of the run (default: today, UTC)")
     parser.add_argument("--since", help="first ingest date that is new (default: all)")
     parser.add_argument("--network", help="checks: parquet of the served pairs")
@@ -41,6 +48,22 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _options(pairs: Sequence[str]) -> dict[str, str]:
+    """KEY=VALUE pairs; env:NAME is the value of an environment variable, which must be set."""
+    out = {}
+    for pair in pairs:
+        key, given, value = pair.partition("=")
+        if not key or not given:
+            raise SystemExit(f"not KEY=VALUE: {pair}")
+        if value.startswith("env:"):
+            name = value.removeprefix("env:")
+            if name not in os.environ:
+                raise SystemExit(f"environment variable {name} is not set")
+            value = os.environ[name]
+        out[key] = value
+    return out
+
+
 class _Run:
     def __init__(self, spark: SparkSession, args: argparse.Namespace) -> None:
         now = datetime.now(timezone.utc)
@@ -52,7 +75,7 @@ class _Run:
     @property
     def log(self):
         if self.args.kafka:
-            return KafkaLog(self.args.kafka)
+            return KafkaLog(self.args.kafka, _options(self.args.log_option))
         if self.args.replay:
             return ReplayLog(self.args.replay)
         raise SystemExit("this job reads the message log: give --kafka or --replay")
@@ -60,7 +83,7 @@ class _Run:
     @property
     def serving(self):
         if self.args.jdbc_url:
-            return JdbcServing(self.args.jdbc_url)
+            return JdbcServing(self.args.jdbc_url, _options(self.args.jdbc_option))
         return ParquetServing(self.spark, self.args.root.rstrip("/") + "/serving")
 
 
@@ -98,6 +121,10 @@ def _bi(run: _Run) -> None:
     serve.refresh_bi(run.spark, run.layout, run.serving, run.run_ts)
 
 
+def _panels(run: _Run) -> None:
+    serve.refresh_panels(run.spark, run.layout, run.serving, run.run_ts)
+
+
 def _batch(run: _Run) -> None:
     batch.run_batch(run.spark, run.layout, run.serving, run.as_of, run.run_ts, run.args.since)
 
@@ -115,7 +142,7 @@ def _live(run: _Run) -> None:
 
 JOBS: dict[str, Callable[[_Run], None]] = {
     "ingest-master": _ingest_master, "ingest-events": _ingest_events, "bronze": _bronze,
-    "silver": _silver, "gold": _gold, "bi": _bi, "batch": _batch, "checks": _checks,
+    "silver": _silver, "gold": _gold, "bi": _bi, "panels": _panels, "batch": _batch, "checks": _checks,
     "live": _live,
 }
 

@@ -18,7 +18,7 @@ REPEATING = (FC_BACKLOG, DS_BACKLOG, STALE)
 
 
 def _limit_minutes(table: Mapping[str, int]) -> Column:
-    kind = F.coalesce("delivery_type", F.lit(domain.STANDARD))
+    kind = F.coalesce(F.nullif("delivery_type", F.lit("")), F.lit(domain.STANDARD))
     return by_code(kind, table, domain.OTHER_TYPE_ALERT_MINUTES)
 
 

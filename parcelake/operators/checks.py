@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelake import domain
 from parcelake.functions import by_code, stage_number
-from parcelake.operators.keyed import lookup
+from parcelake.operators.keyed import hot_hashes, lookup
 
 
 def lifecycle_report(events: DataFrame) -> DataFrame:
@@ -165,15 +165,17 @@ def off_site_events(events: DataFrame, places: DataFrame, stations_of: DataFrame
     station = stations_of.select(
         F.col("shipment_id").alias("_carried"), F.col("delivery_station_id").alias("_station"))
     carried = F.when(F.col("facility_id").isNull(), F.col("shipment_id"))
+    hot = hot_hashes(events, carried, "facility_id")
     sited = (
-        lookup(events.withColumn("_carried", carried), station, "_carried", spread_by="event_id")
+        lookup(events.withColumn("_carried", carried), station, "_carried", spread_by="event_id",
+               hot=hot.where("_n = 0"))
         .withColumn("_place", F.coalesce("facility_id", "_station"))
     )
     located = lookup(
         sited,
         places.select(F.col("facility_id").alias("_place"), F.col("latitude").alias("_lat"),
                       F.col("longitude").alias("_lon")),
-        "_place", spread_by="event_id")
+        "_place", spread_by="event_id", hot=hot.where("_n = 1"))
     off_lat = F.abs(F.col("latitude") - F.col("_lat"))
     off_lon = F.abs(F.col("longitude") - F.col("_lon"))
     return located.where((off_lat > tolerance) | (off_lon > tolerance)).select(

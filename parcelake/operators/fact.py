@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelake import domain
 from parcelake.functions import by_code, elapsed, round_to, stage_number
-from parcelake.operators.keyed import greatest_row, latest_per_key, lookup
+from parcelake.operators.keyed import greatest_row, hot_hashes, latest_per_key, lookup
 from parcelake.operators.scd2 import current
 
 # output column: (first or last time the stage was seen, stage)
@@ -167,17 +167,22 @@ def fact_shipment(
     flat = _flat_states(states)
     shipments = flat.join(order_per_shipment(orders), "shipment_id", "left")
 
-    def add(rows: DataFrame, table: DataFrame, key: str, seen: DataFrame) -> DataFrame:
-        return lookup(rows, table, key, spread_by="shipment_id", seen=seen)
+    keys = ("vehicle_id", "fc_id", "ds_id")
+    counted = hot_hashes(flat, *keys)
+    hot = {key: counted.where(F.col("_n") == n) for n, key in enumerate(keys)}
+    hot["customer_id"] = hot_hashes(orders, "customer_id")
 
-    shipments = add(shipments, vehicles.select("vehicle_id", "vehicle_type"), "vehicle_id", flat)
+    def add(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+        return lookup(rows, table, key, spread_by="shipment_id", hot=hot[key])
+
+    shipments = add(shipments, vehicles.select("vehicle_id", "vehicle_type"), "vehicle_id")
     shipments = with_measures(shipments)
     shipments = add(shipments, _surrogate(
-        dim_fc, "fulfillment_center_id", "fc_id", "fc_sk"), "fc_id", flat)
+        dim_fc, "fulfillment_center_id", "fc_id", "fc_sk"), "fc_id")
     shipments = add(shipments, _surrogate(
-        dim_ds, "delivery_station_id", "ds_id", "ds_sk"), "ds_id", flat)
+        dim_ds, "delivery_station_id", "ds_id", "ds_sk"), "ds_id")
     shipments = add(shipments, _surrogate(
-        dim_vehicle, "vehicle_id", "vehicle_id", "vehicle_sk"), "vehicle_id", flat)
+        dim_vehicle, "vehicle_id", "vehicle_id", "vehicle_sk"), "vehicle_id")
     shipments = add(shipments, _surrogate(
-        dim_customer, "customer_id", "customer_id", "customer_sk"), "customer_id", orders)
+        dim_customer, "customer_id", "customer_id", "customer_sk"), "customer_id")
     return with_date_key(shipments, calendar, as_of).select(*FACT_COLUMNS)

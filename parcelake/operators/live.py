@@ -78,16 +78,9 @@ def changed_rows(incoming: DataFrame, stored: DataFrame, now: Column | None = No
     )
 
 
-def upsert(stored: DataFrame, incoming: DataFrame, now: Column | None = None) -> DataFrame:
-    """The whole live table after the upsert, in one full outer join of two unique sides."""
-    takes_new = F.col("new").isNotNull() & _later_or_same("new", "old")
-    return (
-        _as_struct(stored.select(*SHIPMENT_LIVE.fieldNames()), "old")
-        .join(_as_struct(incoming, "new"), "shipment_id", "full")
-        .select(F.when(takes_new, _stamped("new", "old", now)).otherwise(F.col("old"))
-                .alias("_row"))
-        .select("_row.*")
-    )
+def after_changes(stored: DataFrame, changed: DataFrame) -> DataFrame:
+    """The live table after a batch: the changed rows, and the stored rows they do not replace."""
+    return stored.join(changed.select("shipment_id"), "shipment_id", "left_anti").unionByName(changed)
 
 
 # --- panels -----------------------------------------------------------------------------

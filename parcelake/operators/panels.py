@@ -5,6 +5,7 @@ The captions are fixed values: dashboards and exports refer to them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -108,6 +109,36 @@ def realtime(live: DataFrame, as_of: Column) -> dict[str, DataFrame]:
     }
 
 
+#: panel title -> its captions that have colours, and whose bounds they take
+BANDED = {
+    "Delayed Shipments": {"value": "delayed_shipments"},
+    "SLA At Risk": {"value": "sla_at_risk"},
+    "Avg Delay (min)": {"value": "avg_delay_min"},
+    "FC Backlog by Facility": {"Backlog": "fc_backlog"},
+    "DS Backlog by Facility": {"Backlog": "ds_backlog"},
+    "Stale at Fulfillment Center": {"Hours Stuck": "fc_hours_stuck"},
+    "Stale at Delivery Station": {"Hours Stuck": "ds_hours_stuck"},
+    "On-Time Delivery %": {"value": "on_time_pct"},
+    "SLA Breach %": {"value": "sla_breach_pct"},
+    "Warehouse Performance": {"Delayed %": "delayed_pct", "Avg Dispatch (min)": "avg_fc_time_min"},
+    "Delivery Station Performance": {"Delayed %": "delayed_pct", "Avg Process (min)": "avg_ds_time_min"},
+    "Cost & Penalty Summary": {"SLA Penalty ($)": "total_sla_penalty", "Refunds ($)": "total_refunds"},
+    "Delivery Lead Time": {"Avg (hrs)": "avg_lead_time_hrs"},
+}
+
+
+def banded(title: str, df: DataFrame) -> DataFrame:
+    """A panel with a column "<caption> Band" after the others for each caption with colours."""
+    return df.withColumns({
+        f"{caption} Band": band(F.col(f"`{caption}`"), bounds)
+        for caption, bounds in BANDED.get(title, {}).items()})
+
+
+def table_name(dashboard: str, title: str) -> str:
+    """Name of the table a panel is served as."""
+    return f"panel_{dashboard}_" + "_".join(re.findall("[a-z0-9]+", title.lower().replace("%", "pct")))
+
+
 def with_bands(df: DataFrame) -> DataFrame:
     """Add `<column>_band`, the colour of its panel, for every column that has bands."""
     return df.withColumns({

@@ -31,8 +31,13 @@ def customers(orders: DataFrame) -> DataFrame:
 
 def build_dimension(spark: SparkSession, layout: Layout, dim: scd2.Dimension,
                     incoming: DataFrame, as_of: Column) -> dict:
-    """First run: every row becomes a version. Later runs: merge."""
+    """First run: every row becomes a version. Later runs: merge. A run dated before the newest
+    version would make versions overlap, so it is refused before anything is written."""
     table = Table(spark, layout.gold(dim.name))
+    if table.exists():
+        newest, day = table.read().agg(F.max("effective_from"), F.first(as_of.cast("date"))).first()
+        if newest is not None and day < newest:
+            raise ValueError(f"{dim.name} has versions from {newest}; as_of {day} is earlier")
     rows = (
         scd2.merge(table.read(), incoming, dim, as_of) if table.exists()
         else scd2.first_versions(incoming, dim, as_of)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from parcelake.layout import Layout
 from parcelake.operators.clean import to_silver
 from parcelake.operators.parse import parse_payload, to_envelope
-from parcelake.schemas import Entity
+from parcelake.schemas import Entity, empty
 from parcelake.sizing import shuffles_sized_for
 from parcelake.sources import fs, raw
 from parcelake.sources.tables import Table
@@ -60,7 +60,7 @@ def bronze(spark: SparkSession, entity: Entity, layout: Layout, run_ts: Column,
 def bronze_rows(spark: SparkSession, entity: Entity, layout: Layout) -> DataFrame:
     path = layout.bronze(entity.kind, entity.name)
     if not fs.exists(spark, path):
-        return spark.createDataFrame([], entity.bronze)
+        return empty(spark, entity.bronze)
     return spark.read.schema(entity.bronze).parquet(path)
 
 
@@ -108,7 +108,7 @@ def silver_rows(spark: SparkSession, entity: Entity, layout: Layout,
     if not entity.append_only:
         return accepted(Table(spark, path).read())
     if not fs.exists(spark, path):
-        return accepted(spark.createDataFrame([], entity.silver))
+        return accepted(empty(spark, entity.silver))
     dated = T.StructType([*entity.silver.fields, T.StructField("ingested_at", T.DateType())])
     rows = spark.read.schema(dated).parquet(path)
     if since is not None:

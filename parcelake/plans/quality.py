@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parcelake import domain
 from parcelake.layout import Layout
 from parcelake.operators import checks
+from parcelake.operators.keyed import latest_per_key
 from parcelake.plans.gold import silver_of
 from parcelake.sizing import shuffles_sized_for
 from parcelake.sources.tables import Table
@@ -32,8 +33,10 @@ def run_checks(spark: SparkSession, layout: Layout, network: DataFrame) -> None:
     legs = Table(spark, layout.quality("assignments"))
     with shuffles_sized_for(spark, events):
         legs.overwrite(checks.assignments(events))
-    by_shipment = orders.select("shipment_id", "delivery_station_id").groupBy("shipment_id").agg(
-        F.max("delivery_station_id").alias("delivery_station_id"))
+    # of several orders of a shipment the newest counts, as in the fact
+    by_shipment = latest_per_key(
+        orders.select("shipment_id", "event_timestamp", "order_id", "delivery_station_id"),
+        ["shipment_id"], ["event_timestamp", "order_id"]).select("shipment_id", "delivery_station_id")
     findings = {
         "lifecycle": checks.lifecycle_report(events),
         "stage_rules": checks.stage_rule_violations(events, vehicles),

@@ -1,16 +1,36 @@
-"""BI refresh: one pass over the fact, six served tables."""
+"""BI refresh: one pass over the fact, six served tables. Panels of both dashboards."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from parcelake.layout import Layout
-from parcelake.operators import bi
+from parcelake.operators import bi, panels
 from parcelake.operators.scd2 import current
 from parcelake.schemas import BI_TABLES
 from parcelake.sizing import shuffles_sized_for
 from parcelake.sources.serving import to_contract
 from parcelake.sources.tables import Table
+from parcelake.streaming.state import live_table
+
+
+def bi_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """The six BI tables from the stored roll-up."""
+    return bi.bi_tables(
+        Table(spark, layout.gold("shipment_rollup")).read(),
+        current(Table(spark, layout.gold("dim_fulfillment_center")).read()),
+        current(Table(spark, layout.gold("dim_delivery_station")).read()),
+        Table(spark, layout.gold("dim_date")).read())
+
+
+def refresh_panels(spark: SparkSession, layout: Layout, serving, as_of: Column) -> None:
+    """The 22 panels with the colours of their bands, each as a table panel_<dashboard>_<name>."""
+    shown = {
+        "realtime": panels.realtime(live_table(spark, layout.live()).read(), as_of),
+        "bi": panels.bi(bi_tables(spark, layout))}
+    for dashboard, tables in shown.items():
+        for title, df in tables.items():
+            serving.refresh(panels.table_name(dashboard, title), panels.banded(title, df))
 
 
 def refresh_bi(spark: SparkSession, layout: Layout, serving, run_ts: Column) -> None:
@@ -20,11 +40,6 @@ def refresh_bi(spark: SparkSession, layout: Layout, serving, run_ts: Column) ->
     fact = Table(spark, layout.gold("fact_shipment")).read()
     with shuffles_sized_for(spark, fact):
         rolled.overwrite(bi.rollup(fact))
-    tables = bi.bi_tables(
-        rolled.read(),
-        current(Table(spark, layout.gold("dim_fulfillment_center")).read()),
-        current(Table(spark, layout.gold("dim_delivery_station")).read()),
-        Table(spark, layout.gold("dim_date")).read())
-    for name, df in tables.items():
+    for name, df in bi_tables(spark, layout).items():
         serving.refresh(
             name, to_contract(df.withColumn("refreshed_at", run_ts), BI_TABLES[name]))

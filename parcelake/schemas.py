@@ -25,6 +25,13 @@ def flat(text: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+def empty(spark, schema: T.StructType):
+    """A table without rows of that schema; unlike a collection its size is known to be zero."""
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+                        for f in schema.fields)
+    return spark.sql(f"SELECT {columns} WHERE false")
+
+
 # --- payloads (JSON text of the topics) ---------------------------------------------
 FULFILLMENT_CENTER = flat(
     "fulfillment_center_id string, fulfillment_center_name string, city string, region string, "

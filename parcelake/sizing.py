@@ -10,13 +10,13 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A lookup side is broadcast only if it is estimated below this. Files are compressed: in
-# memory it may be several times larger, which executors and driver still hold with ease.
-BROADCAST_BYTES = 32 * 1024 * 1024
+# A lookup side is broadcast only if its rows are estimated to take less than this in memory.
+BROADCAST_BYTES = 64 * 1024 * 1024
+# Estimates are of compressed and pruned files; as hashed rows they are several times larger.
+ROW_BYTES_PER_FILE_BYTE = 8
 
 # Files of this size fill one shuffle partition: about 200 MB of rows once decompressed.
 FILE_BYTES_PER_PARTITION = 64 * 1024 * 1024
-MOST_PARTITIONS = 50_000
 UNKNOWN_BYTES = 1 << 60         # Spark reports unknown sizes as about 2**63
 
 
@@ -25,7 +25,17 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    return estimated_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+    rows = estimated_bytes(df) * ROW_BYTES_PER_FILE_BYTE
+    return rows <= (BROADCAST_BYTES if limit is None else limit)
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of everything `df` reads. An input of unknown size is an error, not nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    if any(size >= UNKNOWN_BYTES for size in sizes):
+        raise ValueError("the size of an input is unknown: write it as a table first")
+    return sum(sizes)
 
 
 @contextmanager
@@ -38,9 +48,7 @@ def shuffles_sized_for(spark: SparkSession, *scans: DataFrame) -> Iterator[int]:
     """
     key = "spark.sql.shuffle.partitions"
     before = int(spark.conf.get(key))
-    sizes = [estimated_bytes(df) for df in scans]
-    total = sum(size for size in sizes if size < UNKNOWN_BYTES)
-    wanted = min(-(-total // FILE_BYTES_PER_PARTITION), MOST_PARTITIONS)
+    wanted = -(-sum(scanned_bytes(df) for df in scans) // FILE_BYTES_PER_PARTITION)
     spark.conf.set(key, str(max(before, wanted)))
     try:
         yield max(before, wanted)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from parcelake.schemas import ENVELOPE
+from parcelake.schemas import ENVELOPE, empty
 from parcelake.sources import fs
 
 
@@ -32,6 +32,6 @@ def read(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
     """Rows of all ingest dates, or of `since` and later (partitions before it are not listed
     for reading). The schema is given, so no inference pass; a path not yet written is empty."""
     if not fs.exists(spark, path):
-        return spark.createDataFrame([], ENVELOPE)
+        return empty(spark, ENVELOPE)
     rows = spark.read.schema(ENVELOPE).json(path)
     return rows if since is None else rows.where(F.col("ingested_at") >= F.lit(since).cast("date"))

@@ -21,9 +21,9 @@ from parcelake.streaming.state import AlertLog, KeyedState, live_table
 
 EVENTS = ENTITIES[domain.TOPIC_SHIPMENT_EVENTS]
 
-# Up to this many events in a batch, its shipment ids are broadcast to filter the stored rows
-# (ids are short: well under 100 MB); beyond it the filter is a shuffle join.
-BROADCAST_EVENTS = 1_000_000
+# A batch's shipment ids are broadcast to filter the stored rows if they take less than this (with
+# 64 bytes of overhead each); beyond it the filter is a shuffle join.
+BROADCAST_ID_BYTES = 64 << 20
 
 OPEN_COLUMNS = (
     "shipment_id", "shipment_status", "facility_id", "facility_type", "stage_entered_at")
@@ -76,8 +76,8 @@ class LiveBatch:
         # from the message log.
         events = add_flags(batch).persist()
         try:
-            size = events.count()
-            if size:
+            size = events.agg(F.sum(F.octet_length("shipment_id") + 64).alias("n")).first()["n"]
+            if size is not None:
                 now = F.lit(self.clock(batch_id)).cast("timestamp")
                 self._apply(events, size, batch_id, now)
         finally:
@@ -85,7 +85,7 @@ class LiveBatch:
 
     def _apply(self, events: DataFrame, size: int, batch_id: int, now: Column) -> None:
         touched = events.select("shipment_id").distinct()
-        if size <= BROADCAST_EVENTS:
+        if size <= BROADCAST_ID_BYTES:
             touched = F.broadcast(touched)
         stored = self.live.read(before=batch_id, columns=STORED_COLUMNS, only=touched).persist()
         try:
@@ -119,7 +119,8 @@ def start_live(spark: SparkSession, log, layout: Layout, *, since: str = "latest
         AlertLog(spark, layout.alerts(), compact_every),
         silver_lookups(spark, layout), clock)
     return (
-        parse_events(log.stream(spark, domain.TOPIC_SHIPMENT_EVENTS, since))
+        parse_events(log.stream(
+            spark, domain.TOPIC_SHIPMENT_EVENTS, since, layout.checkpoint("live_start")))
         .writeStream.foreachBatch(handler)
         .option("checkpointLocation", layout.checkpoint("live"))
         .trigger(**(trigger or {"processingTime": "10 seconds"}))

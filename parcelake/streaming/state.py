@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from parcelake.operators.keyed import latest_per_key
-from parcelake.schemas import ALERT, SHIPMENT_LIVE
+from parcelake.schemas import ALERT, SHIPMENT_LIVE, empty
 from parcelake.sources import fs
 
 
@@ -71,8 +71,7 @@ class KeyedState:
                 wanted(self._read_changes(batches, columns)), [self.key], ["batch_id"]
             ).drop("batch_id")
         if full is None and changes is None:
-            empty = T.StructType([self.schema[c] for c in columns])
-            return self.spark.createDataFrame([], empty)
+            return empty(self.spark, T.StructType([self.schema[c] for c in columns]))
         if full is None or changes is None:
             return full if changes is None else changes
         return full.join(changes.select(self.key), self.key, "left_anti").unionByName(changes)
@@ -133,7 +132,7 @@ class AlertLog:
     def history(self) -> DataFrame:
         path = f"{self.path}/history"
         if not fs.child_names(self.spark, path):
-            return self.spark.createDataFrame([], ALERT)
+            return empty(self.spark, ALERT)
         return self.spark.read.schema(ALERT).parquet(path).select(*ALERT.fieldNames())
 
     def write(self, batch_id: int, alerts: DataFrame) -> None:

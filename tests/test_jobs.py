@@ -25,6 +25,13 @@ def test_all_jobs(spark, tmp_path):
     main(["live", *log, "--once"], spark)
     layout = Layout(root)
     assert live_table(spark, layout.live()).read().first()["shipment_status"] == "DELIVERED"
+    main(["panels", "--root", root], spark)
+    shown = ParquetServing(spark, root + "/serving")
+    assert len(list((tmp_path / "lake" / "serving").glob("panel_*"))) == 22
+    assert shown.read("panel_bi_delivery_lead_time").first()["Avg (hrs) Band"] == "green"
+    assert shown.read("panel_realtime_active_shipments").first()["value"] == 0
+    with pytest.raises(ValueError, match="as_of 2026-06-30 is earlier"):
+        main(["gold", "--root", root, "--as-of", "2026-06-30"], spark)
     spark.createDataFrame([], "fulfillment_center_id string, delivery_station_id string"
                           ).write.parquet(str(tmp_path / "network"))
     main(["checks", "--root", root, "--network", str(tmp_path / "network")], spark)
@@ -36,3 +43,13 @@ def test_log_jobs_need_a_log(spark, tmp_path):
         main(["ingest-master", "--root", str(tmp_path)], spark)
     with pytest.raises(SystemExit):
         main(["unknown", "--root", str(tmp_path)], spark)
+
+
+def test_options(monkeypatch):
+    from parcelake.jobs import _options
+
+    monkeypatch.setenv("DB_PASSWORD", "s=1")
+    assert _options(["user=bi", "password=env:DB_PASSWORD"]) == {"user": "bi", "password": "s=1"}
+    for bad in ("user", "=x", "password=env:NOT_SET_ANYWHERE"):
+        with pytest.raises(SystemExit):
+            _options([bad])

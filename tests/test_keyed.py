@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelake import sizing
-from parcelake.operators.keyed import hot_keys, latest_per_key, lookup
+from parcelake.operators.keyed import hot_hashes, hot_share, latest_per_key, lookup
 from parcelake.sizing import fits_broadcast, shuffles_sized_for
 
 
@@ -25,7 +25,21 @@ def test_latest_per_key_reduces_before_the_shuffle(make):
 def test_hot_keys_are_found_and_bounded(spark, rows):
     df = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    assert [r["k"] for r in rows(hot_keys(df, "k"))] == ["hot"]
+    hot = spark.range(1).select(F.xxhash64(F.lit("hot")).alias("h")).first()["h"]
+    assert [(r["_n"], r["_hash"]) for r in rows(hot_hashes(df, "k"))] == [(0, hot)]
+    both = rows(hot_hashes(df, F.when(F.lit(False), F.lit("x")), "k", share=0.5 / 30_000))
+    assert len(both) == 20_001 and {r["_n"] for r in both} == {1}
+
+
+def test_hot_means_more_than_a_partition_within_a_bounded_broadcast(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        for partitions, keys in ((4, 4), (50_000, 50_000), (2_000_000, 65_536)):
+            spark.conf.set(key, partitions)
+            assert hot_share(spark) == 1 / keys
+    finally:
+        spark.conf.set(key, before)
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -70,9 +84,16 @@ def test_shuffle_partitions_follow_the_input_size(spark, monkeypatch):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     df = spark.range(10)
-    for size, expected in [(100, int(before)), (100 << 40, 50_000), (640 << 20, 10),
-                           ((1 << 63) - 1, int(before))]:
-        monkeypatch.setattr(sizing, "estimated_bytes", lambda _, size=size: size)
+    for size, expected in [(100, int(before)), (100 << 40, 1_638_400), (640 << 20, 10)]:
+        monkeypatch.setattr(sizing, "scanned_bytes", lambda _, size=size: size)
         with shuffles_sized_for(spark, df) as partitions:
             assert partitions == expected == int(spark.conf.get(key))
         assert spark.conf.get(key) == before
+
+
+def test_unknown_input_size_is_an_error(spark, make):
+    unknown = make("a int", (1,))
+    if sizing.estimated_bytes(unknown) >= sizing.UNKNOWN_BYTES:
+        with pytest.raises(ValueError, match="unknown"):
+            sizing.scanned_bytes(unknown)
+    assert sizing.scanned_bytes(spark.range(10)) == 80

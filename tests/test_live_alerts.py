@@ -33,7 +33,8 @@ def table(spark, live_rows):
         state = spark.createDataFrame([], SHIPMENT_LIVE)
         for hour, batch in batches:
             clock = F.lit(f"2026-07-02 {hour:02d}:00:00").cast("timestamp") if now else None
-            state = live.upsert(state, live_rows(*batch), clock)
+            state = live.after_changes(
+                state, live.changed_rows(live_rows(*batch), state, clock))
         return state
     return build
 

@@ -102,6 +102,34 @@ def test_kafka_scan_is_bounded_and_stream_is_not():
         **common, "subscribe": "shipment_events", "startingOffsets": "latest"}
 
 
+def test_replay_from_latest_reads_on_after_a_restart(spark, tmp_path):
+    """Rows 1, 2, 3 are logged before the first start, while down, and after the second start."""
+    from datetime import datetime, timedelta, timezone
+    import json
+
+    def add(n, when):
+        folder = tmp_path / "log" / "t"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{n}.json").write_text(json.dumps({"offset": n, "timestamp": when.isoformat()}))
+
+    def run():
+        stream = log.stream(spark, "t", "latest", str(tmp_path / "start"))
+        query = (stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+                 .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
+        query.awaitTermination()
+
+    log, now = ReplayLog(str(tmp_path / "log")), datetime.now(timezone.utc)
+    add(1, now - timedelta(minutes=5))
+    run()
+    add(2, datetime.now(timezone.utc))
+    run()
+    add(3, datetime.now(timezone.utc))
+    run()
+    assert sorted(r["offset"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [2, 3]
+    with pytest.raises(ValueError, match="path for its start"):
+        log.stream(spark, "t", "latest")
+
+
 def test_jdbc_refresh_truncates_instead_of_dropping():
     class Frame:
         write = Recorder()

@@ -234,67 +234,67 @@ def fact_date_key(s: Sample) -> DataFrame:
 
 @registered
 def bi_warehouse(s: Sample) -> DataFrame:
-    return bi.warehouse_performance(s.fact, s.dim_fc)
+    return s.bi["bi_warehouse_performance"]
 
 
 @registered
 def bi_delivery_station(s: Sample) -> DataFrame:
-    return bi.delivery_station_performance(s.fact, s.dim_ds)
+    return s.bi["bi_delivery_station_perf"]
 
 
 @registered
 def bi_kpis(s: Sample) -> DataFrame:
-    return bi.logistics_kpis(s.fact)
+    return s.bi["bi_logistics_kpis"]
 
 
 @registered
 def bi_monthly(s: Sample) -> DataFrame:
-    return bi.monthly_trends(s.fact, s.calendar)
+    return s.bi["bi_monthly_trends"]
 
 
 @registered
 def bi_cost(s: Sample) -> DataFrame:
-    return bi.cost_penalty(s.fact)
+    return s.bi["bi_cost_penalty"]
 
 
 @registered
 def bi_lead_time(s: Sample) -> DataFrame:
-    return bi.lead_time(s.fact)
+    return s.bi["bi_lead_time"]
 
 
 @registered
 def panel_kpis(s: Sample) -> DataFrame:
-    return panels.kpi_stats(bi.logistics_kpis(s.fact))
+    return panels.kpi_stats(s.bi["bi_logistics_kpis"])
 
 
 @registered
 def panel_warehouse(s: Sample) -> DataFrame:
-    return panels.warehouse_table(bi.warehouse_performance(s.fact, s.dim_fc))
+    return panels.warehouse_table(s.bi["bi_warehouse_performance"])
 
 
 @registered
 def panel_station(s: Sample) -> DataFrame:
-    return panels.station_table(bi.delivery_station_performance(s.fact, s.dim_ds))
+    return panels.station_table(s.bi["bi_delivery_station_perf"])
 
 
 @registered
 def panel_monthly(s: Sample) -> DataFrame:
-    return panels.monthly_series(bi.monthly_trends(s.fact, s.calendar))
+    return panels.monthly_series(s.bi["bi_monthly_trends"])
 
 
 @registered
 def panel_cost(s: Sample) -> DataFrame:
-    return panels.cost_table(bi.cost_penalty(s.fact))
+    return panels.cost_table(s.bi["bi_cost_penalty"])
 
 
 @registered
 def panel_lead_time(s: Sample) -> DataFrame:
-    return panels.lead_time_table(bi.lead_time(s.fact))
+    return panels.lead_time_table(s.bi["bi_lead_time"])
 
 
 @registered
 def bands(s: Sample) -> DataFrame:
-    return bi.warehouse_performance(s.fact, s.dim_fc).select(
+    return s.bi["bi_warehouse_performance"].select(
         "fc_id", band("delayed_pct", "delayed_pct").alias("delayed_band"),
         band("avg_fc_time_min", "avg_fc_time_min").alias("dispatch_band"))
 
@@ -307,8 +307,8 @@ def live_upsert(s: Sample) -> DataFrame:
     other half of the day arrives later. So one part of the batch is newer, the other late."""
     stored_first = (F.hour("event_timestamp") < 12) == (F.col("customer_tier") == domain.PRIME)
     stored = s.live_of(s.events.where(stored_first))
-    return live.upsert(stored, s.live_rows(s.events.where(~stored_first))).drop(
-        "latitude", "longitude")
+    changed = live.changed_rows(s.live_rows(s.events.where(~stored_first)), stored)
+    return live.after_changes(stored, changed).drop("latitude", "longitude")
 
 
 @registered

@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelake import domain
-from parcelake.operators import scd2
+from parcelake.operators import bi, scd2
 from parcelake.operators.calendar import dim_date
 from parcelake.operators.checks import expected_arrival, promised_time
 from parcelake.operators.clean import valid_rows
@@ -22,7 +22,7 @@ from parcelake.operators.enrich import add_flags, enrich
 from parcelake.operators.fact import fact_shipment, shipment_states
 from parcelake.operators.live import changed_rows, to_live_rows
 from parcelake.plans.gold import customers
-from parcelake.schemas import ENTITIES, SHIPMENT_LIVE
+from parcelake.schemas import ENTITIES, SHIPMENT_LIVE, empty
 from parcelake.session import apply_runtime_conf
 
 
@@ -181,7 +181,7 @@ class Sample:
 
     def live_of(self, events: DataFrame) -> DataFrame:
         """Live table after these events, stamped with event time."""
-        nothing = self.spark.createDataFrame([], SHIPMENT_LIVE)
+        nothing = empty(self.spark, SHIPMENT_LIVE)
         return changed_rows(self.live_rows(events), nothing)
 
     def live_rows(self, events: DataFrame) -> DataFrame:
@@ -226,6 +226,11 @@ class Sample:
             shipment_states(self.events), self.orders, self.vehicles, self.dim_fc, self.dim_ds,
             self.dim_vehicle, self.dim_customer, self.calendar, as_of())
 
+    @cached_property
+    def bi(self) -> dict[str, DataFrame]:
+        """The six BI tables as the job makes them: from one roll-up of the fact."""
+        return bi.bi_tables(bi.rollup(self.fact), self.dim_fc, self.dim_ds, self.calendar)
+
     # --- type-2 sample: customer tiers as known in April 1998 and at the end -------------
 
     @cached_property
