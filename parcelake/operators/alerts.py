@@ -1,14 +1,19 @@
-"""Alert rules as rows: (alert_key, alert_type, subject_id, detail), and their suppression."""
+"""Alert rules as rows, and their suppression.
+
+A row has alert_key, alert_type, subject_id, a short detail and the columns of ALERT_SUBJECT, which
+are null where the type of alert has no such thing.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelake import domain
 from parcelake.functions import by_code
 from parcelake.operators.live import is_stale
+from parcelake.schemas import ALERT_SUBJECT
 
 PRIME_SLA, DELAY, ETA_CHANGE = "PRIME_SLA", "DELAY", "ETA_CHANGE"
 FC_BACKLOG, DS_BACKLOG, STALE = "FC_BACKLOG", "DS_BACKLOG", "STALE"
@@ -22,23 +27,27 @@ def _limit_minutes(table: Mapping[str, int]) -> Column:
     return by_code(kind, table, domain.OTHER_TYPE_ALERT_MINUTES)
 
 
-def _as_alerts(hits: DataFrame, alert_type: Column | str, subject: str,
-               detail: Column) -> DataFrame:
+def _as_alerts(hits: DataFrame, alert_type: Column | str, subject: str, detail: Column,
+               about: Sequence[str] = ()) -> DataFrame:
+    """`about`: the columns of ALERT_SUBJECT that `hits` has."""
     kind = F.lit(alert_type)
     return hits.select(
         F.concat_ws(":", F.col(subject), kind).alias("alert_key"),
         kind.alias("alert_type"),
         F.col(subject).alias("subject_id"),
         detail.alias("detail"),
+        *[(F.col(f.name) if f.name in about else F.lit(None)).cast(f.dataType).alias(f.name)
+          for f in ALERT_SUBJECT.fields],
     )
 
 
 def _once_per_shipment(events: DataFrame, alert_type: str, detail: Column) -> DataFrame:
-    """One alert per shipment, with the detail of its newest matching event."""
-    newest = F.max_by(detail, F.struct("event_timestamp", "event_id"))
+    """One alert per shipment, with the content of its newest matching event."""
+    about = ("shipment_status", "delivery_type", "estimated_delivery_time", "promised_delivery_time")
+    newest = F.max_by(F.struct(detail.alias("_detail"), *about), F.struct("event_timestamp", "event_id"))
     return _as_alerts(
-        events.groupBy("shipment_id").agg(newest.alias("_detail")),
-        alert_type, "shipment_id", F.col("_detail"))
+        events.groupBy("shipment_id").agg(newest.alias("_newest")).select("shipment_id", "_newest.*"),
+        alert_type, "shipment_id", F.col("_detail"), about)
 
 
 def prime_sla(events: DataFrame) -> DataFrame:
@@ -73,10 +82,14 @@ def eta_change(events: DataFrame, stored: DataFrame) -> DataFrame:
         latest.join(before, "shipment_id")
         .withColumn("_minutes", minutes)
         .where(F.col("_minutes") > _limit_minutes(domain.ETA_CHANGE_ALERT_MINUTES))
-        .groupBy("shipment_id").agg(F.max("_minutes").alias("_minutes"))
+        .groupBy("shipment_id").agg(F.max(F.struct(
+            "_minutes", "delivery_type", F.col("_eta").alias("estimated_delivery_time"),
+            F.col("_was").alias("previous_estimated_time"))).alias("_worst"))
+        .select("shipment_id", "_worst.*")
     )
     return _as_alerts(worst, ETA_CHANGE, "shipment_id", F.concat_ws(
-        " ", F.lit("eta +"), F.round("_minutes").cast("long").cast("string")))
+        " ", F.lit("eta +"), F.round("_minutes").cast("long").cast("string")),
+        ("delivery_type", "estimated_delivery_time", "previous_estimated_time"))
 
 
 def backlogs(live: DataFrame) -> DataFrame:
@@ -109,7 +122,7 @@ def stale(live: DataFrame, as_of: Column) -> DataFrame:
         .where(is_stale(domain.FC, as_of) | is_stale(domain.DS, as_of))
     )
     return _as_alerts(both, STALE, "shipment_id", F.concat_ws(
-        " ", F.col("facility_id"), F.col("shipment_status")))
+        " ", F.col("facility_id"), F.col("shipment_status")), ("shipment_status", "stage_entered_at"))
 
 
 def batch_alerts(events: DataFrame, stored: DataFrame) -> DataFrame:
@@ -122,11 +135,15 @@ def table_alerts(live: DataFrame, as_of: Column) -> DataFrame:
     return backlogs(live).unionByName(stale(live, as_of))
 
 
+def blocks(now: Column, cooldown_seconds: int = domain.ALERT_COOLDOWN_SECONDS) -> Column:
+    """Whether a sent alert keeps its key from being sent at `now` or later."""
+    repeats = F.col("alert_type").isin(*REPEATING)
+    return ~repeats | (F.col("fired_at") >= now - F.make_interval(secs=F.lit(cooldown_seconds)))
+
+
 def unsent(found: DataFrame, log: DataFrame, now: Column,
            cooldown_seconds: int = domain.ALERT_COOLDOWN_SECONDS) -> DataFrame:
     """Alerts to send now: never sent before, or repeating and last sent over a cooldown ago."""
-    repeats = F.col("alert_type").isin(*REPEATING)
-    recent = F.col("fired_at") >= now - F.make_interval(secs=F.lit(cooldown_seconds))
-    blocking = log.where(~repeats | recent).select("alert_key")
+    blocking = log.where(blocks(now, cooldown_seconds)).select("alert_key")
     return found.join(blocking, "alert_key", "left_anti").select(
         *found.columns, now.alias("fired_at"))

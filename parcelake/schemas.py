@@ -83,9 +83,16 @@ SHIPMENT_LIVE = flat(
     "is_sla_at_risk boolean, is_priority boolean, latitude double, longitude double, "
     "stage_entered_at timestamp, last_updated timestamp"
 )
-ALERT = flat(
-    "alert_key string, alert_type string, subject_id string, detail string, fired_at timestamp"
+# What an alert is about, as far as its type has it.
+ALERT_SUBJECT = flat(
+    "shipment_status string, delivery_type string, estimated_delivery_time timestamp, "
+    "promised_delivery_time timestamp, previous_estimated_time timestamp, stage_entered_at timestamp"
 )
+ALERT = T.StructType([
+    *flat("alert_key string, alert_type string, subject_id string, detail string").fields,
+    *ALERT_SUBJECT.fields, T.StructField("fired_at", T.TimestampType())])
+# What suppression has to know.
+ALERT_SENT = flat("alert_key string, alert_type string, fired_at timestamp")
 BI_TABLES = {
     "bi_warehouse_performance": flat(
         "fc_id string, fc_name string, region string, shipment_volume int, "

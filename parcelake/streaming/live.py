@@ -27,7 +27,6 @@ BROADCAST_ID_BYTES = 64 << 20
 
 OPEN_COLUMNS = (
     "shipment_id", "shipment_status", "facility_id", "facility_type", "stage_entered_at")
-SENT_COLUMNS = ("alert_key", "alert_type", "fired_at")
 
 Lookups = Callable[[], tuple[DataFrame, DataFrame]]
 
@@ -102,12 +101,13 @@ class LiveBatch:
             self.live.read(before=batch_id + 1, columns=OPEN_COLUMNS)
             .where(F.col("shipment_status") != domain.DELIVERED).persist()
         )
+        found = alerts.batch_alerts(events, stored).unionByName(
+            alerts.table_alerts(undelivered, now)).persist()
         try:
-            found = alerts.batch_alerts(events, stored).unionByName(
-                alerts.table_alerts(undelivered, now))
-            sent = self.log.sent.read(before=batch_id, columns=SENT_COLUMNS)
+            sent = self.log.sent.read(before=batch_id, only=found.select("alert_key").distinct())
             self.log.write(batch_id, alerts.unsent(found, sent, now))
         finally:
+            found.unpersist()
             undelivered.unpersist()
 
 

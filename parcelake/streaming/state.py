@@ -14,10 +14,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from parcelake.operators.alerts import blocks
 from parcelake.operators.keyed import latest_per_key
-from parcelake.schemas import ALERT, SHIPMENT_LIVE, empty
+from parcelake.schemas import ALERT, ALERT_SENT, SHIPMENT_LIVE, empty
 from parcelake.sources import fs
 
 
@@ -86,8 +87,9 @@ class KeyedState:
             .write.mode("overwrite").parquet(self.changes_path(batch_id))
         )
 
-    def compact(self, batch_id: int) -> bool:
-        """Write the state in full if enough batches have passed; drop what no batch can need.
+    def compact(self, batch_id: int, keep: Column | None = None) -> bool:
+        """Write the state in full if enough batches have passed; drop what no batch can need
+        (rows that are not to `keep`, if it is given).
 
         The previous full copy and the changes after it stay, so the latest batch can still be
         run again from the state before it.
@@ -95,8 +97,9 @@ class KeyedState:
         fulls, batches = self._fulls(), self._batches()
         if len([b for b in batches if not fulls or b > fulls[-1]]) < self.compact_every:
             return False
+        rows = self.read(before=batch_id + 1)
         (
-            self.read(before=batch_id + 1).write.mode("overwrite")
+            (rows if keep is None else rows.where(keep)).write.mode("overwrite")
             .partitionBy(*self.partition_full_by).parquet(f"{self.path}/full/v={batch_id}")
         )
         if fulls:
@@ -116,9 +119,10 @@ def live_table(spark: SparkSession, path: str, compact_every: int = 20) -> Keyed
 
 @dataclass(frozen=True)
 class AlertLog:
-    """All alerts by batch, and for suppression the last time each alert key was sent.
+    """All alerts by day and batch, and for suppression the last time each alert key was sent.
 
-    Both survive a restart. Suppression reads the keyed state only, never the whole history.
+    Both survive a restart. Suppression reads the keyed state only, never the history. Keys of
+    repeating alerts leave the state at a compaction when their cooldown is over.
     """
 
     spark: SparkSession
@@ -127,25 +131,33 @@ class AlertLog:
 
     @property
     def sent(self) -> KeyedState:
-        return KeyedState(self.spark, f"{self.path}/sent", ALERT, "alert_key", self.compact_every)
+        return KeyedState(self.spark, f"{self.path}/sent", ALERT_SENT, "alert_key", self.compact_every)
 
-    def history(self) -> DataFrame:
-        path = f"{self.path}/history"
-        if not fs.child_names(self.spark, path):
+    def _days(self) -> list[str]:
+        """The directories fired_on=yyyy-mm-dd of the history, oldest first."""
+        return [n for n in fs.child_names(self.spark, f"{self.path}/history") if n.startswith("fired_on=")]
+
+    def history(self, since: str | None = None) -> DataFrame:
+        """All alerts, or those fired on `since` (yyyy-mm-dd) and later; only their days are listed."""
+        days = [d for d in self._days() if since is None or d >= f"fired_on={since}"]
+        if not days:
             return empty(self.spark, ALERT)
-        return self.spark.read.schema(ALERT).parquet(path).select(*ALERT.fieldNames())
+        return self.spark.read.schema(ALERT).parquet(
+            *[f"{self.path}/history/{d}" for d in days]).select(*ALERT.fieldNames())
 
     def write(self, batch_id: int, alerts: DataFrame) -> None:
         """Log the alerts of a batch; batches without alerts leave no files behind."""
         rows = alerts.select(*ALERT.fieldNames()).persist()
-        target = f"{self.path}/history/batch_id={batch_id}"
+        history = f"{self.path}/history"
         try:
-            if rows.isEmpty():
-                fs.remove(self.spark, target)       # of an earlier attempt, if any
+            for day in self._days()[-2:]:           # of an earlier attempt, if any
+                fs.remove(self.spark, f"{history}/{day}/batch_id={batch_id}")
+            fired = rows.select("fired_at", F.date_format("fired_at", "yyyy-MM-dd")).first()
+            if fired is None:
                 fs.remove(self.spark, self.sent.changes_path(batch_id))
                 return
-            rows.write.mode("overwrite").parquet(target)
+            rows.write.mode("overwrite").parquet(f"{history}/fired_on={fired[1]}/batch_id={batch_id}")
             self.sent.write_changes(batch_id, rows)
-            self.sent.compact(batch_id)
+            self.sent.compact(batch_id, blocks(F.lit(fired[0]).cast("timestamp")))
         finally:
             rows.unpersist()

@@ -39,7 +39,7 @@ def test_scans_read_only_what_is_used(spark, name, table, columns):
 
 def test_value_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), " in plan_of(
-        QUERIES["q_scd2_initial"](spark, SF_DIR))
+        QUERIES["q_scd2_changes"](spark, SF_DIR))
 
 
 @pytest.mark.parametrize("name", ["q_bi_cost", "q_bi_kpis", "q_fc_backlog", "q_alert_delay"])

@@ -282,10 +282,15 @@ VIEWS = {
   WHERE is_delayed AND delay_minutes > CASE delivery_type WHEN 'SAME_DAY' THEN 30 ELSE 120 END""",
     "delay_alert": """
   SELECT shipment_id || ':DELAY' AS alert_key, 'DELAY' AS alert_type, shipment_id AS subject_id,
-    shipment_status || ' delay ' || delay_minutes AS detail FROM delayed WHERE nth = 1""",
+    shipment_status || ' delay ' || delay_minutes AS detail,
+    shipment_status, delivery_type, estimated_delivery_time, promised_delivery_time,
+    NULL::TIMESTAMP AS previous_estimated_time, NULL::TIMESTAMP AS stage_entered_at
+  FROM delayed WHERE nth = 1""",
     "stale_alert": """
   SELECT shipment_id || ':STALE' AS alert_key, 'STALE' AS alert_type, shipment_id AS subject_id,
-    facility_id || ' ' || shipment_status AS detail FROM stale""",
+    facility_id || ' ' || shipment_status AS detail, shipment_status, NULL::VARCHAR AS delivery_type,
+    NULL::TIMESTAMP AS estimated_delivery_time, NULL::TIMESTAMP AS promised_delivery_time,
+    NULL::TIMESTAMP AS previous_estimated_time, stage_entered_at FROM stale""",
     "legs": """
   SELECT vehicle_id, shipment_id, min(event_timestamp) AS starts_at,
     max(event_timestamp) FILTER (stage = 7) AS ends_at
@@ -333,9 +338,14 @@ def backlog(stages: str, name: str) -> str:
       WHERE shipment_status IN ({stages}) GROUP BY facility_id, {name}"""
 
 
+ALERT_TEXT = ("estimated_delivery_time", "promised_delivery_time", "previous_estimated_time",
+              "stage_entered_at")
+NO_SUBJECT = ", ".join(f"NULL::VARCHAR AS {c}" for c in ("shipment_status", "delivery_type", *ALERT_TEXT))
+
+
 def backlog_alert(stages: str, limit: int, kind: str) -> str:
     return f"""SELECT facility_id || ':{kind}' AS alert_key, '{kind}' AS alert_type,
-      facility_id AS subject_id, CAST(count(*) AS VARCHAR) AS detail FROM live
+      facility_id AS subject_id, CAST(count(*) AS VARCHAR) AS detail, {NO_SUBJECT} FROM live
       WHERE shipment_status IN ({stages}) GROUP BY facility_id HAVING count(*) > {limit}"""
 
 
@@ -404,7 +414,9 @@ ORACLES = {
         SELECT event_id, facility_id, vehicle_id, fc_name, fc_region, ds_name, ds_region,
           vehicle_type FROM enr"""),
     "q_scd2_hash": over_views("SELECT delivery_station_id, row_hash, surrogate_key FROM dim_ds"),
-    "q_scd2_initial": over_views(replaced(VERSION_TEXT, "tiers_first")),
+    "q_scd2_initial": over_views(replaced(VERSION_TEXT, "(" + first_load(
+        "(SELECT customer_id, arg_max(customer_tier, (event_timestamp, order_id)) AS customer_tier"
+        " FROM trade GROUP BY 1)", "customer_id", ("customer_tier",), "1995-01-01") + ")")),
     "q_scd2_changes": over_views(f"""
         SELECT f.customer_id, f.row_hash AS old_hash, {md5_of("a.customer_tier")} AS row_hash
         FROM tiers_first f JOIN tiers_after a USING (customer_id)
@@ -430,8 +442,9 @@ ORACLES = {
         " FROM trade GROUP BY 1)", "customer_id", ("customer_tier",), "2024-01-01") + ")")),
     "q_dim_date": over_views("""
         SELECT CAST(c.full_date AS VARCHAR) AS full_date, date_key, day, month, quarter, year, week,
-          day_name, month_name, is_weekend, count(*) AS events
-        FROM ev JOIN calendar c ON c.full_date = CAST(event_timestamp AS DATE) GROUP BY ALL"""),
+          day_name, month_name, is_weekend, coalesce(events, 0) AS events
+        FROM calendar c LEFT JOIN (SELECT CAST(event_timestamp AS DATE) AS full_date, count(*) AS events
+          FROM ev GROUP BY 1) e ON c.full_date = e.full_date"""),
     "q_stage_pivot": over_views(
         f"SELECT shipment_id, {text(*FACT_TEXT[1:])}, fc_id, ds_id FROM stages"),
     "q_latest_state": over_views(f"""
@@ -512,28 +525,35 @@ ORACLES = {
           {text("last_updated")} FROM live ORDER BY live.last_updated DESC, shipment_id LIMIT 25"""),
     "q_alert_prime_sla": over_views("""
         SELECT shipment_id || ':PRIME_SLA' AS alert_key, 'PRIME_SLA' AS alert_type,
-          shipment_id AS subject_id, shipment_status || ' delay ' || delay_minutes AS detail
+          shipment_id AS subject_id, shipment_status || ' delay ' || delay_minutes AS detail,
+          shipment_status, delivery_type, CAST(estimated_delivery_time AS VARCHAR) AS estimated_delivery_time,
+          CAST(promised_delivery_time AS VARCHAR) AS promised_delivery_time,
+          NULL::VARCHAR AS previous_estimated_time, NULL::VARCHAR AS stage_entered_at
         FROM (SELECT *, row_number() OVER (PARTITION BY shipment_id
             ORDER BY event_timestamp DESC, event_id DESC) AS nth
           FROM enr WHERE customer_tier = 'PRIME' AND is_sla_at_risk) WHERE nth = 1"""),
-    "q_alert_delay": over_views("SELECT * FROM delay_alert"),
+    "q_alert_delay": over_views(replaced(ALERT_TEXT, "delay_alert")),
     "q_eta_change": over_views("""
         , was AS (SELECT shipment_id, estimated_delivery_time AS eta FROM (SELECT *,
             row_number() OVER (PARTITION BY shipment_id
               ORDER BY event_timestamp DESC, stage DESC, event_id DESC) AS nth
             FROM ev WHERE hour(event_timestamp) < 12) WHERE nth = 1),
-        hits AS (SELECT e.shipment_id,
+        hits AS (SELECT e.shipment_id, e.delivery_type, e.estimated_delivery_time, was.eta,
             (epoch(e.estimated_delivery_time) - epoch(was.eta)) / 60.0 AS minutes
           FROM ev e JOIN was ON was.shipment_id = e.shipment_id
           WHERE hour(e.event_timestamp) >= 12
             AND (epoch(e.estimated_delivery_time) - epoch(was.eta)) / 60.0
               > CASE e.delivery_type WHEN 'SAME_DAY' THEN 30 ELSE 120 END)
         SELECT shipment_id || ':ETA_CHANGE' AS alert_key, 'ETA_CHANGE' AS alert_type,
-          shipment_id AS subject_id, 'eta + ' || CAST(round(max(minutes)) AS BIGINT) AS detail
+          shipment_id AS subject_id, 'eta + ' || CAST(round(max(minutes)) AS BIGINT) AS detail,
+          NULL::VARCHAR AS shipment_status, arg_max(delivery_type, (minutes, delivery_type)) AS delivery_type,
+          CAST(max(estimated_delivery_time) AS VARCHAR) AS estimated_delivery_time,
+          NULL::VARCHAR AS promised_delivery_time, CAST(any_value(eta) AS VARCHAR) AS previous_estimated_time,
+          NULL::VARCHAR AS stage_entered_at
         FROM hits GROUP BY shipment_id"""),
     "q_fc_backlog_alert": over_views(backlog_alert(FC_STAGES, 10, "FC_BACKLOG")),
     "q_ds_backlog_alert": over_views(backlog_alert(DS_STAGES, 8, "DS_BACKLOG")),
-    "q_alert_stale": over_views("SELECT * FROM stale_alert"),
+    "q_alert_stale": over_views(replaced(ALERT_TEXT, "stale_alert")),
     "q_alert_dedup": over_views("""
         SELECT alert_key, alert_type, subject_id FROM delay_alert
           WHERE subject_id NOT IN (SELECT shipment_id FROM live WHERE is_priority)

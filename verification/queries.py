@@ -138,7 +138,7 @@ def scd2_hash(s: Sample) -> DataFrame:
 
 @registered
 def scd2_initial(s: Sample) -> DataFrame:
-    return s.tiers_first
+    return scd2.first_versions(customers(s.trade_orders), scd2.DIM_CUSTOMER, F.lit("1995-01-01"))
 
 
 @registered
@@ -200,10 +200,11 @@ def dim_customer(s: Sample) -> DataFrame:
 
 @registered
 def dim_date(s: Sample) -> DataFrame:
-    """Calendar attributes of the event days, with the number of events of each."""
+    """All days of the calendar, with the number of events of each."""
     per_day = s.events.groupBy(F.col("event_timestamp").cast("date").alias("full_date")).agg(
         F.count("*").alias("events"))
-    return per_day.join(F.broadcast(s.calendar), "full_date", "left")
+    return s.calendar.join(per_day, "full_date", "left").withColumn(
+        "events", F.coalesce("events", F.lit(0)))
 
 
 # --- fact -----------------------------------------------------------------------------------
