@@ -96,7 +96,8 @@ VIEWS = {
   FROM (SELECT b.*, date_trunc('day', event_timestamp)
       + CASE delivery_type WHEN 'SAME_DAY' THEN INTERVAL '6' HOUR ELSE INTERVAL '48' HOUR END
       AS promised_delivery_time
-    FROM (SELECT 'EVT_' || event_id AS event_id, date_trunc('second', ts) AS event_timestamp,
+    FROM (SELECT 'EVT_' || event_id AS event_id, date_trunc('second', ts)
+        + (user_id % 90) * 30 * INTERVAL '1' DAY AS event_timestamp,
       'SHP_' || user_id || '_' || CAST(ts AS DATE) AS shipment_id,
       'ORD_' || user_id || '_' || CAST(ts AS DATE) AS order_id,
       'CUST_' || user_id AS customer_id,
@@ -208,7 +209,7 @@ VIEWS = {
   LEFT JOIN dim_veh dv ON dv.vehicle_id = l.vehicle_id
   LEFT JOIN dim_cust dc ON dc.customer_id = o.customer_id
   LEFT JOIN calendar c ON c.full_date =
-    CAST(coalesce(fc_received_at, TIMESTAMP '2024-01-31 00:00:00') AS DATE)""",
+    CAST(coalesce(fc_received_at, TIMESTAMP '2027-06-30 00:00:00') AS DATE)""",
     "warehouse": f"""
   SELECT fc_id, d.fulfillment_center_name AS fc_name, d.region,
     count(shipment_id) AS shipment_volume, {rnd("avg(fc_time_minutes)", 1)} AS avg_fc_time_min,
@@ -269,12 +270,12 @@ VIEWS = {
                            "1998-04-01", "customer_id, customer_tier"),
     "stale": """
   SELECT *, CASE facility_type WHEN 'FULFILLMENT_CENTER' THEN fc_name ELSE ds_name END AS name,
-    (epoch(TIMESTAMP '2024-01-31') - epoch(stage_entered_at)) / 3600.0 AS hours FROM live
+    (epoch(TIMESTAMP '2027-06-30') - epoch(stage_entered_at)) / 3600.0 AS hours FROM live
   WHERE (facility_type = 'FULFILLMENT_CENTER'
-      AND stage_entered_at < TIMESTAMP '2024-01-31' - INTERVAL '4' HOUR
+      AND stage_entered_at < TIMESTAMP '2027-06-30' - INTERVAL '4' HOUR
       AND shipment_status NOT IN ('DISPATCHED_FROM_FC', 'DELIVERED'))
     OR (facility_type = 'DELIVERY_STATION'
-      AND stage_entered_at < TIMESTAMP '2024-01-31' - INTERVAL '1' HOUR
+      AND stage_entered_at < TIMESTAMP '2027-06-30' - INTERVAL '1' HOUR
       AND shipment_status NOT IN ('OUT_FOR_DELIVERY', 'DELIVERED'))""",
     "delayed": """
   SELECT *, row_number() OVER (PARTITION BY shipment_id

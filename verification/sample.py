@@ -27,7 +27,7 @@ from parcelake.session import apply_runtime_conf
 
 
 def as_of() -> Column:
-    return F.lit("2024-01-31 00:00:00").cast("timestamp")
+    return F.lit("2027-06-30 00:00:00").cast("timestamp")
 
 
 def _id(prefix: str, number: Column | str) -> Column:
@@ -123,7 +123,8 @@ class Sample:
         base = F.when(at_fc, center).otherwise(station)
         typed = self.table("events").select(
             _id("EVT_", "event_id").alias("event_id"),
-            ts.alias("event_timestamp"),
+            # users spread over seven years, the last of them beyond the calendar
+            F.timestamp_add("DAY", ((user % 90) * 30).cast("int"), ts).alias("event_timestamp"),
             F.concat(_id("SHP_", user), F.lit("_"), day).alias("shipment_id"),
             F.concat(_id("ORD_", user), F.lit("_"), day).alias("order_id"),
             _id("CUST_", user).alias("customer_id"),
