@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from parcelake import sizing
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = {name: query for name, query in entry.queries().items() if name.startswith("q_")}
@@ -55,3 +56,20 @@ def test_json_is_parsed_once_per_row(spark):
     plan = plan_of(QUERIES["q_silver_orders"](spark, SF_DIR))
     assert len(re.findall(r"Generate explode\(array\(from_json", plan)) == 1
     assert not re.search(r"Filter .*from_json", plan)
+
+
+@pytest.mark.parametrize("name, most", [
+    ("q_enrich_events", 2), ("q_stage_rules", 2), ("q_geofence", 3), ("q_fact_shipment", 4)])
+def test_lookups_read_their_input_at_most_once_more(spark, monkeypatch, name, most):
+    """With broadcasting of tables ruled out: one scan of the events for the rows, one for the hot
+    keys of the whole chain (the sample's orders are made of events too)."""
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
+    df = QUERIES[name](spark, SF_DIR)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert 1 <= final.count("/events.parquet") <= most
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_empty_tables_are_known_to_be_empty(spark, name):
+    assert "ExistingRDD" not in plan_of(QUERIES[name](spark, SF_DIR))
