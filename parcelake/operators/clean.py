@@ -36,11 +36,17 @@ def to_silver(bronze: DataFrame, entity: Entity) -> DataFrame:
         rows = cast_times(rows, entity.times, "quarantined")
     else:
         rows = rows.withColumn("quarantined", F.lit(False))
-    if entity.newest_by is not None:
-        position = F.struct("kafka_partition", "kafka_offset")
-        rows = latest_per_key(
-            rows.withColumn("_bad_at", F.when(F.col("quarantined"), position)),
-            [entity.key, "_bad_at"],
-            [entity.newest_by, "kafka_offset"],
-        ).drop("_bad_at")
-    return rows
+    return rows if entity.newest_by is None else newest_copies(rows, entity)
+
+
+def newest_copies(rows: DataFrame, entity: Entity) -> DataFrame:
+    """The newest copy of each key; quarantined copies all stay, told apart by log position.
+
+    It is a maximum, so results of parts of the log can be put together and reduced again.
+    """
+    position = F.struct("kafka_partition", "kafka_offset")
+    return latest_per_key(
+        rows.withColumn("_bad_at", F.when(F.col("quarantined"), position)),
+        [entity.key, "_bad_at"],
+        [entity.newest_by, "kafka_offset"],
+    ).drop("_bad_at")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from parcelake.layout import Layout
-from parcelake.operators.clean import to_silver
+from parcelake.operators.clean import newest_copies, to_silver
 from parcelake.operators.parse import parse_payload, to_envelope
 from parcelake.schemas import Entity, empty
 from parcelake.sizing import shuffles_sized_for
@@ -17,6 +17,10 @@ from parcelake.sources import fs, raw
 from parcelake.sources.tables import Table
 
 
+# Kept with the newest copies, so that later ones can be ranked against them.
+LOG_POSITION = ("kafka_partition", "kafka_offset")
+
+
 def row_count() -> Column:
     return F.count(F.lit(1)).alias("rows")
 
@@ -79,25 +83,33 @@ def silver(spark: SparkSession, entity: Entity, layout: Layout, run_ts: Column,
     """Clean, deduplicate and type bronze; rows with unreadable times are quarantined.
 
     Events are only appended, never replaced, so their silver keeps the ingest-date partitions
-    and `since` limits the run as it does for bronze. Entities of which the newest copy counts
-    are rebuilt from all of bronze.
+    and `since` limits the run as it does for bronze. Of other entities the newest copy counts;
+    the stored copies keep their log position, so with `since` only new rows are read and merged
+    into them. Merging a day again, or days in another order, changes nothing.
     """
     seen = Observation(f"silver {entity.name}")
+    path = layout.silver(entity.kind, entity.name)
+    stored = None
+    if not entity.append_only and since is not None and Table(spark, path).exists():
+        stored = Table(spark, path).read()
     source = bronze_rows(spark, entity, layout)
-    if entity.append_only and since is not None:
+    if since is not None and (entity.append_only or stored is not None):
         source = source.where(F.col("ingested_at") >= F.lit(since).cast("date"))
+    rows = to_silver(accepted(source), entity)
+    columns = [c for c in entity.silver.fieldNames() if c != "silver_processed_at"]
+    if stored is not None:
+        kept = [*columns, *LOG_POSITION]
+        rows = newest_copies(stored.select(*kept).unionByName(rows.select(*kept)), entity)
     rows = (
-        to_silver(accepted(source), entity)
-        .withColumn("silver_processed_at", run_ts)
+        rows.withColumn("silver_processed_at", run_ts)
         .observe(seen, row_count(), F.count_if("quarantined").alias("quarantined"))
     )
     columns = entity.silver.fieldNames()
-    path = layout.silver(entity.kind, entity.name)
     if entity.append_only:
         _replace_dates(rows.select(*columns, "ingested_at"), path)
     else:
-        with shuffles_sized_for(spark, source):
-            Table(spark, path).overwrite(rows.select(*columns))
+        with shuffles_sized_for(spark, source, *([] if stored is None else [stored])):
+            Table(spark, path).overwrite(rows.select(*columns, *LOG_POSITION))
     return seen.get
 
 
@@ -106,7 +118,7 @@ def silver_rows(spark: SparkSession, entity: Entity, layout: Layout,
     """Accepted silver rows; of append-only entities optionally those ingested from `since` on."""
     path = layout.silver(entity.kind, entity.name)
     if not entity.append_only:
-        return accepted(Table(spark, path).read())
+        return accepted(Table(spark, path).read()).drop(*LOG_POSITION)
     if not fs.exists(spark, path):
         return accepted(empty(spark, entity.silver))
     dated = T.StructType([*entity.silver.fields, T.StructField("ingested_at", T.DateType())])
