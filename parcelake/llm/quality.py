@@ -13,6 +13,8 @@ one by one.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,20 +23,21 @@ from parcelake.llm import tables
 GOOD, ABSTAIN, BAD = 2, 1, 0
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
+_SYMBOL = re.compile(b"[" + re.escape(SYMBOLS) + b"]")
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _DIGITS = bytes(range(48, 58))
 
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "n_lines", "n_upper", "n_letters", "n_digits", "n_distinct")
+            "n_lines", "n_upper", "n_letters", "n_digits", "n_symbol_words")
 
 
-def count_repeats(words: list[bytes]) -> tuple[int, int]:
-    """Words that lie in a three-word window which occurs again, and distinct words."""
+def count_repeats(words: list[bytes]) -> int:
+    """Words that lie in a three-word window which occurs again."""
     numbers: dict[bytes, int] = {}
     ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
     if len(ids) < 4:
-        return 0, len(numbers)
+        return 0
     pairs = ids[:-1] * len(numbers) + ids[1:]
     if len(numbers) >= 1 << 20:
         pairs = np.unique(pairs, return_inverse=True)[1]
@@ -42,12 +45,12 @@ def count_repeats(words: list[bytes]) -> tuple[int, int]:
     order = np.argsort(windows, kind="stable")
     same = windows[order[1:]] == windows[order[:-1]]
     if not same.any():
-        return 0, len(numbers)
+        return 0
     again = np.zeros(len(ids), bool)
     for part in (order[1:][same], order[:-1][same]):
         for offset in range(3):
             again[part + offset] = True
-    return int(again.sum()), len(numbers)
+    return int(again.sum())
 
 
 def features(text: bytes) -> tuple[int, ...]:
@@ -55,20 +58,22 @@ def features(text: bytes) -> tuple[int, ...]:
     words = text.split()
     lines = [line for line in text.split(b"\n") if line.strip(SPACES)]
     solid = text.translate(None, SPACES)
-    repeats, distinct = count_repeats(words)
+
     def count(chars: bytes) -> int:
         return len(solid) - len(solid.translate(None, chars))
     upper, lower = count(_UPPER), count(_LOWER)
     points = len(solid) - count(bytes(range(0x80, 0xC0)))
     wide = points - (len(solid) - count(bytes(range(0x80, 0x100))))
-    return (len(words), points, count(SYMBOLS), len(lines) - len(set(lines)), repeats,
-            len(lines), upper, upper + lower + wide, count(_DIGITS), distinct)
+    symbols = count(SYMBOLS)
+    symbolic = sum(map(bool, map(_SYMBOL.search, words))) if symbols else 0
+    return (len(words), points, symbols, len(lines) - len(set(lines)), count_repeats(words),
+            len(lines), upper, upper + lower + wide, count(_DIGITS), symbolic)
 
 
 def votes(f: np.ndarray) -> np.ndarray:
     """Vote of each rule (columns) on each row of FEATURES: GOOD, ABSTAIN or BAD."""
     f = f.astype(np.float64)
-    n, chars, symbols, dup, repeat, lines, upper, letters, digits, distinct = f.T
+    n, chars, symbols, dup, repeat, lines, upper, letters, digits, symbolic = f.T
     words, characters, alpha = np.maximum(n, 1), np.maximum(chars, 1), np.maximum(letters, 1)
 
     def rule(good, bad):
@@ -78,12 +83,12 @@ def votes(f: np.ndarray) -> np.ndarray:
         rule(n >= 100, n < 50),
         rule((chars >= 3 * words) & (chars <= 10 * words), (chars < 2 * words) | (chars > 15 * words)),
         rule(100 * symbols <= chars, 100 * symbols > 8 * chars),
-        rule((20 * dup <= lines) & (lines >= 3), 4 * dup > np.maximum(lines, 1)),
+        rule((20 * dup <= lines) & (lines >= 3), (2 * dup > lines) & (dup >= 3)),
         rule(10 * repeat <= n, 10 * repeat > 3 * words),
         rule(5 * upper <= letters, 2 * upper > alpha),
-        rule(10 * letters >= 9 * characters, 10 * letters < 7 * characters),
-        rule(100 * digits <= chars, 10 * digits > characters),
-        rule(10 * distinct >= 5 * np.minimum(words, 400), 10 * distinct < 2 * np.minimum(words, 400)),
+        rule(4 * letters >= 3 * characters, 2 * letters < characters),
+        rule(20 * digits <= chars, 5 * digits > characters),
+        rule(50 * symbolic <= n, 5 * symbolic > words),
     ], axis=1)
 
 
