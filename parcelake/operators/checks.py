@@ -154,12 +154,11 @@ def conflicting_shipments(legs: DataFrame) -> DataFrame:
 
 def off_site_events(events: DataFrame, places: DataFrame, stations_of: DataFrame,
                     tolerance: float = domain.GPS_TOLERANCE_DEGREES) -> DataFrame:
-    """Events farther than `tolerance` degrees from where they should be.
+    """Events farther than `tolerance` degrees from where they should be, or that cannot be judged.
 
     `places`: facility_id, latitude, longitude. Events of the stages without a facility belong
     to the delivery station of the order; `stations_of` (shipment_id, delivery_station_id) has one
-    row per shipment.
-    Events of unknown places are left out.
+    row per shipment. The reason is "off site", "unknown place" or "no position".
     """
     # Only events without a facility have to look their station up.
     station = stations_of.select(
@@ -178,6 +177,10 @@ def off_site_events(events: DataFrame, places: DataFrame, stations_of: DataFrame
         "_place", spread_by="event_id", hot=hot.where("_n = 1"))
     off_lat = F.abs(F.col("latitude") - F.col("_lat"))
     off_lon = F.abs(F.col("longitude") - F.col("_lon"))
-    return located.where((off_lat > tolerance) | (off_lon > tolerance)).select(
+    reason = (
+        F.when(F.col("_lat").isNull() | F.col("_lon").isNull(), "unknown place")
+        .when(off_lat.isNull() | off_lon.isNull(), "no position")
+        .when((off_lat > tolerance) | (off_lon > tolerance), "off site"))
+    return located.withColumn("_reason", reason).where(F.col("_reason").isNotNull()).select(
         "event_id", "shipment_id", F.col("_place").alias("place_id"),
-        off_lat.alias("off_latitude"), off_lon.alias("off_longitude"))
+        off_lat.alias("off_latitude"), off_lon.alias("off_longitude"), F.col("_reason").alias("reason"))

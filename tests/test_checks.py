@@ -87,4 +87,6 @@ def test_geofence_uses_the_station_when_there_is_no_facility(make, rows):
               event(6, latitude=28.7041, longitude=77.1025), event(7),
               event(1, "other", facility_id="UNKNOWN"))
     out = rows(checks.off_site_events(df, places, orders), "event_id")
-    assert set(out) == {"S1-2", "S1-3", "S1-7"} and out["S1-7"]["place_id"] == "DS_DELHI_NORTH"
+    assert {key: r["reason"] for key, r in out.items()} == {
+        "S1-2": "off site", "S1-3": "off site", "S1-7": "off site", "other-1": "unknown place"}
+    assert out["S1-7"]["place_id"] == "DS_DELHI_NORTH"

@@ -604,12 +604,17 @@ ORACLES = {
     "q_geofence": over_views("""
         , place AS (SELECT fulfillment_center_id AS id, latitude, longitude FROM raw_fc
             UNION ALL SELECT delivery_station_id, latitude, longitude FROM raw_ds),
-        seen AS (SELECT e.event_id, e.shipment_id, p.id AS place_id,
+        seen AS (SELECT e.event_id, e.shipment_id,
+            coalesce(e.facility_id, o.delivery_station_id) AS place_id,
             abs(e.latitude - p.latitude) AS off_latitude,
-            abs(e.longitude - p.longitude) AS off_longitude
-          FROM ev e JOIN ord o ON o.shipment_id = e.shipment_id
-          JOIN place p ON p.id = coalesce(e.facility_id, o.delivery_station_id))
-        SELECT * FROM seen WHERE off_latitude > 0.01 OR off_longitude > 0.01"""),
+            abs(e.longitude - p.longitude) AS off_longitude,
+            p.latitude IS NULL OR p.longitude IS NULL AS unknown
+          FROM ev e LEFT JOIN ord o ON o.shipment_id = e.shipment_id
+          LEFT JOIN place p ON p.id = coalesce(e.facility_id, o.delivery_station_id))
+        SELECT * FROM (SELECT * EXCLUDE (unknown), CASE WHEN unknown THEN 'unknown place'
+            WHEN off_latitude IS NULL OR off_longitude IS NULL THEN 'no position'
+            WHEN off_latitude > 0.01 OR off_longitude > 0.01 THEN 'off site' END AS reason FROM seen)
+        WHERE reason IS NOT NULL"""),
 }
 
 # The live table's times as text.
