@@ -7,22 +7,10 @@ import xxhash
 
 WORDS = 5
 _KEEP = bytes(c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in range(256))
-_CACHE_WORDS = 300_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
-
-
 def words(text: str | None) -> list[bytes]:
     """Lower-cased runs of letters, digits and non-ASCII characters; null has none."""
     return (text or "").lower().encode().translate(_KEEP).split()
@@ -36,7 +24,7 @@ def shingle_set(text: str | None, n: int = WORDS) -> np.ndarray:
     found = words(text)
     if not found:
         return np.zeros(0, np.uint64)
-    own = np.fromiter(map(_hashes.__getitem__, found), np.uint64, len(found))
+    own = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
     n = min(n, len(own))
     value = np.full(len(own) - n + 1, n, np.uint64)
     for offset in range(n):

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 SHARED = "spark.checkpoint.dir"
-# Rows handed to one Python step at a time: few enough that very long texts stay in bounds.
+# Rows handed to one Python step at a time, and sent to a Python worker at once: few enough that
+# long texts stay in bounds on both sides.
 SLICE_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
+BROADCAST_BYTES = 32 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,6 +61,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A broadcast hint if the counted rows fit; beyond that Spark joins by shuffle."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `limit` bytes (one row at least)."""
     for batch in batches:
@@ -66,6 +76,31 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Itera
             yield batch.slice(at, rows)
 
 
+def give_back_memory() -> None:
+    """Return free buffers to the system: workers live on, and other stages need the room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator], Iterator], schema) -> DataFrame:
+    """`mapInArrow` with batches of BATCH_BYTES (the session's limit is lowered to that), after which
+    the worker gives its buffers back."""
+    spark = df.sparkSession
+    limit = spark.conf.get(_BATCH_CONF)
+    if not limit.rstrip("b").isdigit() or int(limit.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, f"{BATCH_BYTES}b")
+
+    def bounded(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back_memory()
+
+    return df.mapInArrow(bounded, schema)
+
+
 def mapped(df: DataFrame, step: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """Narrow Arrow map: `step` turns a slice into columns named as in `schema`."""
     target = arrow_schema(schema)
@@ -74,7 +109,7 @@ def mapped(df: DataFrame, step: Callable[[pa.RecordBatch], dict], schema: str) -
         for part in slices(batches):
             yield as_batch(step(part), target)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
@@ -93,7 +128,7 @@ def kept(df: DataFrame, step: Callable[[pa.RecordBatch], list]) -> DataFrame:
         for part in slices(batches):
             yield part.filter(pa.array(step(part), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return map_arrow(df, run, df.schema)
 
 
 def raw(column: pa.Array) -> list[bytes]:

@@ -25,6 +25,7 @@ from parcelake.llm import tables, tokens
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 64 << 10
+SLICE_BYTES = 2 << 20       # text encoded at a time: its pieces take some twenty times as much
 SCHEMA = "shard int, doc_id long, before long, n_tokens long, tokens array<int>"
 _NUMBERS = ("shard", "doc_id", "before", "n_tokens")
 
@@ -37,7 +38,7 @@ def encoded(docs: DataFrame, vocabulary: str, kind: str, end_id: int) -> DataFra
     def run(batches):
         encode = tokens.encoder(vocabulary, kind).encode
         shard, before = TaskContext.get().partitionId(), 0
-        for part in tables.slices(batches):
+        for part in tables.slices(batches, SLICE_BYTES):
             ids = [i + end for i in encode(tables.raw(part.column("text")))]
             counts = np.array([len(i) // 4 for i in ids], np.int64)
             ends = np.cumsum(counts)
@@ -50,7 +51,8 @@ def encoded(docs: DataFrame, vocabulary: str, kind: str, end_id: int) -> DataFra
                 "tokens": lists.cast(target.field("tokens").type)}, target)
             before += int(ends[-1])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return tables.map_arrow(chosen, run, SCHEMA)
 
 
 def write(encoded_docs: DataFrame, path: str) -> None:

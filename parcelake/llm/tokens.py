@@ -29,7 +29,7 @@ _LETTERS_OR_REST = {"byte": re.compile(rb" ?[" + _LATIN + rb"]+| ?[^ " + _LATIN
                     "word": re.compile(rb"[" + _LATIN + rb"]+|[^ " + _LATIN + rb"]+")}
 _ODD_SPACES = (b"  ", b" \n", b"\n ", b"\n\n", b"\t", b"\r")
 _SURE_CUT = re.compile(rb"(?= [!-~])")
-_LETTER_BYTES = frozenset([*range(65, 91), *range(97, 123), *range(0x80, 0xC0)])
+_LETTERS = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 class Encoder:
@@ -69,31 +69,26 @@ class Encoder:
         cut = [self.pieces(t) for t in texts]
         found = set().union(*cut)
         known = self.cache
-        missing = [p for p in found if p not in known]
+        missing = found.difference(known)
         if len(known) + len(missing) > CACHE_PIECES:
-            known = self.cache = {p: known[p] for p in found if p in known}
+            known = self.cache = {p: known[p] for p in found.difference(missing)}
         fresh = self.encode_pieces(missing)
-        if len(missing) <= CACHE_PIECES and all(len(p) <= CACHED_LENGTH for p in missing):
+        if len(missing) <= CACHE_PIECES:
             known.update(fresh)
         else:
-            if len(missing) <= CACHE_PIECES:
-                known.update((p, ids) for p, ids in fresh.items() if len(p) <= CACHED_LENGTH)
-            known = {p: known[p] for p in found if p in known} | fresh
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-
-    def encode_pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+            known = known | fresh
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        for p in missing:
+            if len(p) > CACHED_LENGTH:
+                self.cache.pop(p, None)
+        return out
+
+    def encode_pieces(self, pieces: set[bytes]) -> dict[bytes, bytes]:
         """Ids of pieces. Those of letters only are encoded together as one text."""
-        letters = [p for p in pieces if p[-1:] and p[-1] in _LETTER_BYTES and self.only_letters(p)]
-        fresh = self.together(letters)
-        rest = [p for p in pieces if p not in fresh]
-        return fresh | dict(zip(rest, self.plain(rest)))
-
-    def only_letters(self, piece: bytes) -> bool:
-        body = piece[1:] if piece[0] == 32 else piece
-        if not body.isascii():
-            return not body.translate(None, _REGULAR) and self.regular(piece) and (
-                body.replace(b"\xc3", b"a").translate(None, bytes(_LETTER_BYTES)) == b"")
-        return body.isalpha()
+        fresh = self.together(list(filter(_LETTERS.fullmatch, pieces)))
+        rest = list(pieces.difference(fresh))
+        fresh.update(zip(rest, self.plain(rest)))
+        return fresh
 
     def together(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Ids of pieces of letters, from one text that the vocabulary cuts between them."""
@@ -119,7 +114,8 @@ class Encoder:
             if (starts[first] != before).any() or (ends[last - 1] != after).any():
                 return {}
         raw = ids.tobytes()
-        return {p: raw[4 * a:4 * b] for p, a, b in zip(pieces, first.tolist(), last.tolist())}
+        places = map(slice, (4 * first).tolist(), (4 * last).tolist())
+        return dict(zip(pieces, map(raw.__getitem__, places)))
 
     def ids_of(self, text: bytes) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)

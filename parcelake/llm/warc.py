@@ -211,7 +211,8 @@ def write(pages: DataFrame, folder: str, least: int = 0) -> None:
         if now is not None:
             yield listed([close()])
 
-    with_references(pages, least).mapInArrow(run, "name string").write.parquet(folder + MANIFEST)
+    names = tables.map_arrow(with_references(pages, least), run, "name string")
+    names.write.parquet(folder + MANIFEST)
 
 
 def read(spark: SparkSession, folder: str, manifest: bool = True) -> DataFrame:
@@ -235,6 +236,6 @@ def read(spark: SparkSession, folder: str, manifest: bool = True) -> DataFrame:
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
     if manifest:
         listed = spark.read.schema("name string").parquet(folder + MANIFEST)
-        archives = archives.join(F.broadcast(listed), F.element_at(F.split("path", "/"), -1)
+        archives = archives.join(tables.small(listed, 128), F.element_at(F.split("path", "/"), -1)
                                  == F.col("name"), "left_semi")
-    return archives.select("content").mapInArrow(run, RECORDS)
+    return tables.map_arrow(archives.select("content"), run, RECORDS)
