@@ -29,7 +29,6 @@ SIMILARITY = 0.8
 RECALL = 0.9995
 HASHES = 200            # most MinHash values of a text
 BLOCK = 768             # classes in a block
-BROADCAST_BYTES = 32 << 20
 _CELLS = 8 << 20        # cells of the incidence matrix held at a time
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -101,18 +100,14 @@ def sketch(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                          "set_id binary, n_shingles long, bands array<long>")
 
 
-def small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """A broadcast hint if the counted rows fit; beyond that Spark joins by shuffle."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
-
-
-def compare(sets: list[np.ndarray], copies: np.ndarray, left: np.ndarray,
+def compare(sets: list[np.ndarray], copies: np.ndarray, n_left: int,
             similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Linked documents of each set and the smallest set it hangs together with.
+    """Linked documents of each set and the first set it hangs together with.
 
-    Pairs within a side are left out if both sides are there: another tile has them.
+    If `n_left` is not zero, only the pairs between the first `n_left` sets and the others count:
+    other tiles have those within a side.
     """
-    n = len(sets)
+    n, head, tail = len(sets), slice(0, n_left or len(sets)), slice(n_left, len(sets))
     sizes = np.array([len(s) for s in sets], np.int64)
     owner = np.repeat(np.arange(n), sizes)
     flat = np.concatenate(sets)
@@ -123,24 +118,25 @@ def compare(sets: list[np.ndarray], copies: np.ndarray, left: np.ndarray,
     column = np.repeat(np.cumsum(counts > 1) - 1, counts)
     shared = np.repeat(counts > 1, counts)
     column, owner = column[shared], owner[shared]
-    common = np.zeros((n, n), np.float32)
+    common = np.zeros((head.stop, n - n_left), np.float32)
     width = max(1, _CELLS // n)
     top = int(column[-1]) + 1 if len(column) else 0
     for at in range(0, top, width):
         low, high = np.searchsorted(column, (at, at + width))
         part = np.zeros((n, min(width, top - at)), np.float32)
         part[owner[low:high], column[low:high] - at] = 1
-        common += part @ part.T
-    union = sizes[:, None] + sizes[None, :] - common
-    linked = common >= similarity * union - 1e-6
+        common += part[head] @ part[tail].T
+    union = sizes[head, None] + sizes[None, tail] - common
+    found = common >= similarity * union - 1e-6
+    linked = np.zeros((n, n), bool)
+    linked[head, tail] = found
+    if n_left:
+        linked[tail, head] = found.T
     np.fill_diagonal(linked, False)
-    if left.any() and not left.all():
-        linked &= left[:, None] != left[None, :]
     links = linked @ copies
     root = np.arange(n)
     while True:
-        least = np.where(linked, root[None, :], n).min(axis=1)
-        new = np.minimum(root, least)
+        new = np.minimum(root, np.where(linked, root[None, :], n).min(axis=1))
         new = new[new]
         if (new == root).all():
             return links, root
@@ -154,11 +150,15 @@ def verify(tiles: DataFrame, similarity: float) -> DataFrame:
 
     target = tables.arrow_schema(schema)
 
-    def finish(rows: list[tuple]):
-        rows.sort(key=lambda r: r[0])
-        ids = [r[0] for r in rows]
-        links, root = compare([r[3] for r in rows], np.array([r[1] for r in rows], np.int64),
-                              np.array([r[2] for r in rows], bool), similarity)
+    def finish(rows: list[tuple], within: bool):
+        """`within`: the tile is of one block. A block of a pair may be empty."""
+        rows.sort(key=lambda r: (not r[2], r[0]))
+        ids, n_left = [r[0] for r in rows], sum(r[2] for r in rows)
+        if within or 0 < n_left < len(rows):
+            links, root = compare([r[3] for r in rows], np.array([r[1] for r in rows], np.int64),
+                                  0 if within else n_left, similarity)
+        else:
+            links, root = np.zeros(len(rows), np.int64), range(len(rows))
         return tables.as_batch({"set_id": ids, "root": [ids[i] for i in root], "links": links,
                                 "blocks": [r[4] for r in rows]}, target)
 
@@ -172,14 +172,15 @@ def verify(tiles: DataFrame, similarity: float) -> DataFrame:
             for i, (a, low, high, own, copies, block, blocks) in enumerate(zip(*fields)):
                 if (a, low, high) != now:
                     if rows:
-                        yield finish(rows)
+                        yield finish(rows, now[1] == now[2])
                     now, rows = (a, low, high), []
                 rows.append((own, copies, block == low, values[offsets[i]:offsets[i + 1]].copy(), blocks))
         if rows:
-            yield finish(rows)
+            yield finish(rows, now[1] == now[2])
 
-    return (tiles.repartition(*tile).sortWithinPartitions(*tile)
-            .select(*tile, "set_id", "copies", "block", "blocks", "shingles").mapInArrow(run, schema))
+    sorted_tiles = (tiles.repartition(*tile).sortWithinPartitions(*tile)
+                    .select(*tile, "set_id", "copies", "block", "blocks", "shingles"))
+    return tables.map_arrow(sorted_tiles, run, schema)
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
@@ -211,7 +212,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
         .select("set_id", "copies", "component", "blocks", "first.row_key", "first.text_key",
                 F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int").alias("block")), "wanted")
 
-    texts = keyed(docs).join(small(wanted.select("row_key", "text_key"), 64),
+    texts = keyed(docs).join(tables.small(wanted.select("row_key", "text_key"), 64),
                              ["row_key", "text_key"], "left_semi")
 
     def cut(batch):
@@ -235,10 +236,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     named = linked.join(sets.select("set_id", "first"), "set_id")
     groups = named.groupBy("root").agg(F.min("first").alias("class_first"))
     joined = tables.materialise(named.join(groups, "root").select("set_id", "links", "class_first"), "linked")
+    # written, so that the join of all rows with it meets two plain shuffles, which Spark can split
     result = sets.select("set_id", "copies", "first").join(joined, "set_id", "left").select(
         "set_id", "copies", "first", F.coalesce("class_first", "first").alias("class_first"),
         F.coalesce("links", F.lit(0)).alias("links"))
-    return drawn, result
+    return drawn, tables.materialise(result, "classes")
 
 
 def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
@@ -260,7 +262,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
     keepers = found.filter(F.col("first") == F.col("class_first")).select("first.row_key", "first.text_key")
     wordless = drawn.filter(F.col("set_id").isNull()).select(*row)
     stay = tables.materialise(keepers.unionByName(wordless).distinct(), "stay")
-    left = docs.join(small(stay, 64), same_row(docs, stay), "left_semi")
+    left = docs.join(tables.small(stay, 64), same_row(docs, stay), "left_semi")
     again = tables.materialise(
         drawn.filter(F.col("set_id").isNotNull()).groupBy(*row).agg(F.count("*").alias("n"))
         .filter("n > 1").select(*row), "again")
