@@ -1,15 +1,18 @@
 """Signature rules of licences: hand-written patterns over lower-cased words joined by one blank.
 
-A section [keyword] holds the rules that are tried only in texts with that keyword. A rule is
-`class label pattern`. Classes, from the most to the least telling: text (wording of the licence
-itself), notice (grant or header), tag (identifier), name, mention. Patterns match whole words.
+A section [keyword] or [keyword|keyword] holds the rules that are tried only in texts with one of
+its keywords; every match of its rules must contain one. A section may be opened again, so that the
+order of the rules does not depend on their keywords. A rule is `class label pattern`. Classes,
+from the most to the least telling: text (wording of the licence itself), notice (grant or header),
+tag (identifier), name, mention. Patterns match whole words.
 """
 
 from __future__ import annotations
 
 RULES = r"""
-[mit]
+[mit|expat]
 notice mit (?:released|licensed|distributed|available|provided|published|covered|under) (?:\w+ ){0,3}(?:the )?(?:mit|expat|mit expat) licen[sc]e
+[mit]
 notice mit under the (?:terms|conditions|provisions) of the mit licen[sc]e
 name mit (?:the )?mit (?:open source |software |x11 |style )?licen[sc]e
 tag mit (?:spdx )?licen[sc]e identifier mit
@@ -28,7 +31,9 @@ text openfont permission is hereby granted free of charge to any person obtainin
 [software is provided as is]
 text warranty-disclaimer the software is provided as is without warranty of any kind(?: express or implied)?
 text isc the software is provided as is and the author disclaims all warranties
+[as is and any express]
 text bsd-disclaimer this software is provided (?:by the (?:copyright holders|author|authors|regents)(?: and contributors)? )?as is and any express(?:ed)? or implied warranties
+[software is provided as is]
 text zlib this software is provided as is without any express or implied warranty
 [apache]
 notice apache-2 (?:released|licensed|distributed|available|provided|published|covered|under) (?:\w+ ){0,3}(?:the )?apache (?:software )?licen[sc]e(?: version| v)? ?2(?: 0)?
@@ -36,7 +41,9 @@ name apache-2 apache (?:software |public )?licen[sc]e (?:version |v ?)?2(?: 0)?
 tag apache-2 licen[sc]e identifier apache 2 0
 tag apache-2 apache 2(?: 0)?(?: licen[sc]e)?
 tag apache-2 asl ?2(?: 0)? apache
+[except in compliance with the licen]
 text apache-2 you may not use this file except in compliance with the licen[sc]e
+[apache]
 text apache-2 apache org licenses licen[sc]e 2 0
 tag apache-2-llvm apache 2 0 with llvm exception
 name apache-1 apache (?:software )?licen[sc]e (?:version |v ?)?1(?: [01])
@@ -100,10 +107,14 @@ notice gfdl permission is granted to copy distribute and or modify this document
 tag gfdl (?:gnu )?gfdl(?: 1 [123])?
 [bsd]
 name bsd-3 (?:new|revised|modified) bsd licen[sc]e
+[clause]
 name bsd-3 (?:bsd )?(?:3|three) clause (?:bsd )?licen[sc]e
+[bsd]
 tag bsd-3 bsd 3 clause
 tag bsd-3 licen[sc]e identifier bsd 3 clause
+[simplified|freebsd]
 name bsd-2 (?:simplified|freebsd) (?:bsd )?licen[sc]e
+[bsd]
 name bsd-2 (?:2|two) clause bsd licen[sc]e
 tag bsd-2 bsd 2 clause
 tag bsd-2-patent bsd 2 clause patent
@@ -126,6 +137,7 @@ text bsd-4 all advertising materials mentioning features or use of this software
 name isc isc licen[sc]e
 tag isc licen[sc]e identifier isc
 notice isc under (?:the terms of )?the isc licen[sc]e
+[consortium licen]
 name isc internet (?:systems|software) consortium licen[sc]e
 [permission to use copy modify]
 text isc permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
@@ -205,6 +217,7 @@ tag wtfpl wtfpl(?: (?:version |v ?)?2)?
 name wtfpl do what the fuck you want to public licen[sc]e
 [boost]
 name boost-1 boost software licen[sc]e(?: (?:version |v ?)?1(?: 0)?)?
+[identifier bsl]
 tag boost-1 licen[sc]e identifier bsl 1 0
 [business source]
 name busl-1-1 business source licen[sc]e(?: (?:version |v ?)?1 1)?
@@ -291,7 +304,7 @@ name mulan-2 mulan (?:psl|permissive software licen[sc]e)(?: (?:version |v ?)?2)
 name cecill-b cecill b(?: licen[sc]e)?
 name cecill-c cecill c(?: licen[sc]e)?
 name cecill cecill(?: (?:version |v ?)?2(?: [01])?)?(?: licen[sc]e)?
-[quasar]
+[q public licen|quasar]
 name qpl q(?:uasar)? public licen[sc]e
 [sleepycat]
 name sleepycat sleepycat licen[sc]e
@@ -299,7 +312,7 @@ name sleepycat sleepycat licen[sc]e
 name json json licen[sc]e
 [good not evil]
 text json the software shall be used for good not evil
-[openrail]
+[openrail|open rail]
 name openrail-m (?:creativeml |bigscience )?(?:open ?rail)(?: \+\+)?(?: m)?(?: licen[sc]e)?
 [llama]
 name llama-community llama(?: [23](?: [123])?)? community licen[sc]e(?: agreement)?
@@ -308,12 +321,12 @@ notice proprietary (?:confidential and proprietary|proprietary and confidential)
 notice proprietary proprietary licen[sc]e
 [all rights reserved]
 notice all-rights-reserved all rights reserved
-[unauthorized]
+[is strictly prohibited]
 notice proprietary unauthori[sz]ed (?:copying|use|distribution|reproduction)(?: or \w+)?(?: of (?:\w+ ){1,3})? ?is strictly prohibited
 [licensed under]
 mention unknown licensed under (?:the )?(?:terms|conditions) of
 mention unknown (?:is )?licensed under
-[see licen]
+[see licen|see the licen]
 mention unknown see (?:the )?licen[sc]e(?: file| txt| md)?(?: for (?:details|more))?
 [licen]
 mention unknown licen[sc]e (?:agreement|terms|file)
@@ -331,8 +344,9 @@ notice all-rights-reserved todos los derechos reservados
 notice all-rights-reserved alle rechte vorbehalten
 [tous droits]
 notice all-rights-reserved tous droits réservés
-[unter der]
+[mit lizenz]
 notice mit unter (?:der )?mit lizenz
+[unter der]
 notice gpl unter der (?:gnu )?(?:gpl|general public licen[sc]e)
 [sous licence]
 notice mit sous licence mit

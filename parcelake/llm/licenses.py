@@ -31,25 +31,25 @@ _WORDS = bytes(c + 32 if 65 <= c <= 90 else
 
 
 @cache
-def rules() -> list[tuple[bytes, list[tuple[int, int, str, re.Pattern]]]]:
-    """Keyword and its rules (rank, number, label, pattern), in the order of the list."""
-    groups, number = [], 0
+def rules() -> list[tuple[tuple[bytes, ...], list[tuple[int, int, str, re.Pattern]]]]:
+    """Keywords, one of which every match contains, and their rules (rank, number, label, pattern)."""
+    groups, number = {}, 0
     for line in RULES.strip().splitlines():
         if line.startswith("["):
-            groups.append((line[1:-1].encode(), []))
+            group = groups.setdefault(tuple(line[1:-1].encode().split(b"|")), [])
             continue
         kind, label, pattern = line.split(" ", 2)
         number += 1
-        groups[-1][1].append((_RANK[kind], number, label, re.compile(
+        group.append((_RANK[kind], number, label, re.compile(
             rf"(?<![^ ])(?:{pattern})(?![^ ])".encode())))
-    return groups
+    return list(groups.items())
 
 
 def detections(joined: bytes) -> list[tuple[int, int, int, int, str]]:
     """(start, end, rank, rule, label) of every match, in bytes."""
     found = []
-    for keyword, group in rules():
-        if keyword in joined:
+    for keywords, group in rules():
+        if any(k in joined for k in keywords):
             for rank, number, label, pattern in group:
                 found += [(m.start(), m.end(), rank, number, label) for m in pattern.finditer(joined)]
     return found

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 import re
+from itertools import product
+from re import _constants as C, _parser
 
 import pytest
 
@@ -42,6 +44,65 @@ def test_there_are_hundreds_of_rules_and_their_keyword_is_needed():
     assert len({keyword for keyword, _ in rules}) == len(rules)
 
 
+def matches(parsed):
+    """Texts a pattern matches: all branches, optional parts left out and repeated most."""
+    parts = []
+    for kind, value in parsed:
+        if kind is C.LITERAL:
+            parts.append([chr(value)])
+        elif kind is C.IN:
+            parts.append([chr(v) for k, v in value if k is C.LITERAL]
+                         or ["7" if (C.CATEGORY, C.CATEGORY_DIGIT) in value else "x"])
+        elif kind is C.BRANCH:
+            parts.append([text for branch in value[1] for text in matches(branch)])
+        elif kind is C.SUBPATTERN:
+            parts.append(matches(value[3]))
+        else:
+            assert kind is C.MAX_REPEAT
+            low, high, inner = value
+            parts.append(["".join(p) for n in {low, low if high is C.MAXREPEAT else high}
+                          for p in product(matches(inner), repeat=n)])
+    return ["".join(p) for p in product(*parts)]
+
+
+def ungated(joined):
+    return sorted((m.start(), m.end(), rank, number, label) for _, group in licenses.rules()
+                  for rank, number, label, pattern in group for m in pattern.finditer(joined))
+
+
+def test_keywords_skip_no_match_of_any_rule():
+    texts = 0
+    for line in licenses.RULES.strip().splitlines():
+        if line.startswith("["):
+            continue
+        pattern = line.split(" ", 2)[2]
+        for k, text in enumerate(matches(_parser.parse(pattern))):
+            assert re.fullmatch(pattern, text)
+            found = licenses.detections(text.encode())
+            assert (0, len(text.encode())) in {d[:2] for d in found}, text
+            if k < 3:
+                assert sorted(found) == ungated(text.encode())
+            texts += 1
+    assert texts > 2000
+
+
+def test_keywords_skip_no_match_in_the_given_documents(spark):
+    for row in tables.read(spark, "/root/testdata/sf0.01", "documents").select("text").collect():
+        joined = b" ".join((row["text"] or "").encode().translate(licenses._WORDS).split())
+        assert sorted(licenses.detections(joined)) == ungated(joined)
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+     "WARRANTIES", "bsd-disclaimer"), ("SPDX-License-Identifier: BSL-1.0", "boost-1"),
+    ("Internet Systems Consortium License", "isc"), ("Q Public License", "qpl"), ("OpenRAIL and Open RAIL", "openrail-m"),
+    ("distributed under the Expat License", "mit"), ("3-clause license", "bsd-3"), ("see the license", "unknown"),
+    ("Unauthorised copying of this file is strictly prohibited", "proprietary"), ("unter MIT-Lizenz", "mit"),
+])
+def test_labels_without_the_common_keyword(text, labels):
+    assert licenses.scan(text.encode())[5] == labels
+
+
 def test_suppression_by_brute_force():
     rng = random.Random(6)
     for _ in range(300):
