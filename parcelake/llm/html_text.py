@@ -1,7 +1,7 @@
 """Visible text of a web page, laid out like a browser would in plain text.
 
 A tokenizer feeds a tree builder that knows void elements and implied end tags (p, li, dt, dd,
-option, table parts); a renderer walks the tree. Hidden are script, style, template, noscript, head
+option, table parts, a head before content of the body); a renderer walks the tree. Hidden are script, style, template, noscript, head
 and form controls' values, comments, and elements with the hidden attribute, aria-hidden="true" or
 display:none or visibility:hidden in their style. White space collapses outside pre. Blocks stand on
 lines of their own; paragraphs, headings, lists, tables, quotes and pre have an empty line around
@@ -42,6 +42,8 @@ IMPLIED = {
 }
 IMPLIED["tbody"] = IMPLIED["tfoot"] = IMPLIED["thead"]
 IMPLIED["body"] = ({"head"}, set())
+# an open head ends where any other element or text begins
+HEAD_CONTENT = frozenset("title meta link base script style noscript template".split())
 # a paragraph ends where one of these begins
 ENDS_P = frozenset("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 "
                    "h4 h5 h6 header hr main nav ol p pre section table ul".split())
@@ -95,14 +97,20 @@ def build(source: str) -> Node:
                     pop(depth)
                     break
 
+    def put(text: str) -> None:
+        text = html.unescape(text)
+        if stack[-1].name == "head" and text.strip(" \t\n\r\f"):
+            pop(len(stack) - 1)
+        stack[-1].children.append(text)
+
     search = _TOKEN.search
     while at < len(source):
         found = search(source, at)
         if found is None:
-            stack[-1].children.append(html.unescape(source[at:]))
+            put(source[at:])
             break
         if found.start() > at:
-            stack[-1].children.append(html.unescape(source[at:found.start()]))
+            put(source[at:found.start()])
         at = found.end()
         name = found[2]
         if name is None:
@@ -121,6 +129,8 @@ def build(source: str) -> Node:
                         "tr", "table", "tbody", "thead", "tfoot")):
                     break
             continue
+        if stack[-1].name == "head" and name not in HEAD_CONTENT:
+            pop(len(stack) - 1)
         if name in ENDS_P:
             close({"p"}, _SCOPE)
         if name in IMPLIED:

@@ -28,6 +28,17 @@ def test_layout(source, text):
     assert visible_text(source) == text
 
 
+@pytest.mark.parametrize("source, text", [
+    ("<html><head><title>t</title><p>Hello <b>you</b><p>there", "Hello you\n\nthere"),
+    ("<head><meta charset=x>\n<link rel=a>\n<script>1</script> text <div>d</div>", "text\nd"),
+    ("<head><template><p>no</p></template><style>p{}</style><h1>yes</h1>", "yes"),
+    ("<head><title>t</title>&nbsp;a", "\xa0a"), ("<head><title>t</title><!-- c --> <body>b", "b"),
+    ("<head>\n<head><title>t</title></head>x", "x"),
+])
+def test_head_may_be_left_open(source, text):
+    assert visible_text(source) == text
+
+
 class Words(HTMLParser):
     """All text outside script, style, head title and comments, without layout."""
 
