@@ -6,7 +6,8 @@ and form controls' values, comments, and elements with the hidden attribute, ari
 display:none or visibility:hidden in their style. White space collapses outside pre. Blocks stand on
 lines of their own; paragraphs, headings, lists, tables, quotes and pre have an empty line around
 them. List items are marked with "- " or their number and indented by level. Cells of a table are
-padded to the width of their column and joined by two blanks.
+padded to the width of their column and joined by two blanks; what stands in a table or row outside
+its cells comes before them.
 
 Results in special cases: a null or empty page gives an empty text; tags that are never closed end
 with their parent; a stray end tag is ignored; tables in cells are laid out within the cell; a
@@ -274,6 +275,36 @@ def content(node: Node) -> str:
     return "".join(out)
 
 
+def row_parts(row: Node) -> tuple[list[Node], list[Node | str]]:
+    """Cells of a row, also those inside other elements, and what else the row shows."""
+    below, parents = [row], [0]
+    for k, node in enumerate(below):        # grows while it is walked
+        if k == 0 or node.name not in ("td", "th", "table"):
+            inner = [c for c in node.children if isinstance(c, Node) and not c.hidden]
+            below += inner
+            parents += [k] * len(inner)
+    holding = set()                         # elements that are or hold a cell
+    for node, parent in zip(reversed(below), reversed(parents)):
+        if node.name in ("td", "th") or id(node) in holding:
+            holding |= {id(node), id(below[parent])}
+    cells, rest = [], []
+    steps = list(reversed(row.children))
+    while steps:
+        child = steps.pop()
+        if isinstance(child, str):
+            if not child.isspace():
+                rest.append(child)
+        elif child.hidden:
+            pass
+        elif child.name in ("td", "th"):
+            cells.append(child)
+        elif id(child) in holding:
+            steps.extend(reversed(child.children))
+        else:
+            rest.append(child)
+    return cells, rest
+
+
 def table_lines(table: Node, depth: int) -> list[str]:
     """Caption and rows of a table, cells padded to the width of their column."""
     rows: list[list[Node]] = []
@@ -290,8 +321,9 @@ def table_lines(table: Node, depth: int) -> list[str]:
         elif child.name in ("thead", "tbody", "tfoot"):
             steps.extend(reversed(child.children))
         elif child.name == "tr":
-            rows.append([c for c in child.children if isinstance(c, Node)
-                         and c.name in ("td", "th") and not c.hidden])
+            cells, rest = row_parts(child)
+            rows.append(cells)
+            loose += rest
         elif child.name in ("td", "th"):
             rows.append([child])
         elif child.name == "caption":

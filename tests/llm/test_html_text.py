@@ -39,6 +39,16 @@ def test_head_may_be_left_open(source, text):
     assert visible_text(source) == text
 
 
+@pytest.mark.parametrize("row, text", [
+    ("<form><td>A</td><td>B</td></form>", "A  B"), ("<a href=x><td>A</td></a>", "A"),
+    ("<center>text</center>", "text"), ("text", "text"), ("<td>A</td>x<form>y<i><td>B</i></form>", "x\ny\nA  B"),
+    ("<div><table><tr><td>in</table></div><td>A<td>B", "in\nA  B"), ("<b hidden><td>A</td></b><td>B", "B"),
+    ("<div>" * 5000 + "<td>A", "A"), ("<p>one<p>two", "one\ntwo"),
+])
+def test_all_of_a_row_is_kept(row, text):
+    assert visible_text(f"<table><tr>{row}</tr></table>") == text
+
+
 class Words(HTMLParser):
     """All text outside script, style, head title and comments, without layout."""
 
