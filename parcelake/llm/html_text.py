@@ -1,11 +1,13 @@
 """Visible text of a web page, laid out like a browser would in plain text.
 
 A tokenizer feeds a tree builder that knows void elements and implied end tags (p, li, dt, dd,
-option, table parts, a head before content of the body); a renderer walks the tree. Hidden are script, style, template, noscript, head
-and form controls' values, comments, and elements with the hidden attribute, aria-hidden="true" or
-display:none or visibility:hidden in their style. White space collapses outside pre. Blocks stand on
-lines of their own; paragraphs, headings, lists, tables, quotes and pre have an empty line around
-them. List items are marked with "- " or their number and indented by level. Cells of a table are
+option, table parts, a head before content of the body); a renderer walks the tree. Hidden are
+script, style, template, noscript, head, title, form controls' values, iframe, object, audio, video
+and canvas, comments, what svg and math do not draw (UNDRAWN), and elements with the hidden
+attribute, aria-hidden="true" or display:none or visibility:hidden in their style. Other text of svg
+and math is inline text; labels of an svg, cells of a matrix and the parts of a fraction have a blank
+around them. White space collapses outside pre. Blocks stand on lines of their own; paragraphs,
+headings, lists, tables, quotes and pre have an empty line around them. List items are marked with "- " or their number and indented by level. Cells of a table are
 padded to the width of their column and joined by two blanks; what stands in a table or row outside
 its cells comes before them.
 
@@ -26,7 +28,11 @@ from parcelake.llm import tables
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style template noscript head title textarea select datalist iframe object "
-                   "audio video canvas svg math".split())
+                   "audio video canvas".split())
+#: not drawn inside svg and math, and parts of them that are drawn apart from what is beside them
+UNDRAWN = frozenset("annotation annotation-xml mphantom defs desc metadata symbol clippath mask pattern "
+                    "marker".split())
+APART = frozenset("text mtd".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr".split())
 BLOCK = SPACED | frozenset(
@@ -137,6 +143,10 @@ def build(source: str) -> Node:
         if name in IMPLIED:
             close(*IMPLIED[name])
         node = Node(name, attributes_of(found[3]))
+        if opened["svg"] or opened["math"]:
+            node.hidden = node.hidden or name in UNDRAWN
+            if name in APART or stack[-1].name == "mfrac":
+                node.attributes["#apart"] = ""
         stack[-1].children.append(node)
         if name in VOID or found[3].endswith("/") and name not in BLOCK:
             continue
@@ -235,6 +245,9 @@ def begin(node: Node, page: Page, steps: list) -> None:
     if name == "img" and node.attributes.get("alt"):
         page.words(node.attributes["alt"])
         return
+    if "#apart" in node.attributes:
+        page.space = True
+        steps.append(lambda: setattr(page, "space", True))
     if name not in BLOCK:
         steps.extend(reversed(node.children))
         return

@@ -49,6 +49,21 @@ def test_all_of_a_row_is_kept(row, text):
     assert visible_text(f"<table><tr>{row}</tr></table>") == text
 
 
+@pytest.mark.parametrize("source, text", [
+    ("so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>x=1</annotation></semantics></math>.",
+     "so x=1."),
+    ("<math><mfrac><mn>1</mn><mn>2</mn></mfrac></math>", "1 2"),
+    ("<math><mtable><mtr><mtd>a</mtd><mtd>b</mtd></mtr></mtable></math>", "a b"),
+    ("see <svg><title>t</title><defs><text>no</text></defs><desc>d</desc><path d='m'/><text>A</text><text>B"
+     "</text></svg>end", "see A B end"),
+    ("<svg><foreignObject><p>in</p></foreignObject></svg>", "in"), ("<svg hidden><text>A</text></svg>x", "x"),
+    ("<desc>shown</desc><text>as</text>is", "shownasis"),
+    ("<span class=katex><math><mi>y</mi></math><span aria-hidden=true>y</span></span>", "y"),
+])
+def test_formulas_and_labels_are_shown(source, text):
+    assert visible_text(source) == text
+
+
 class Words(HTMLParser):
     """All text outside script, style, head title and comments, without layout."""
 
