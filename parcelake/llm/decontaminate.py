@@ -1,15 +1,20 @@
 """Passages of benchmark items in documents, also edited ones.
 
-1. Seeds: every `SEED`-word n-gram of an item. How many documents hold each is counted over all
-   documents, and an item keeps its rarest three quarters (`LEAST_SEEDS` at least, ties included),
-   so that an item always has seeds, even if every document repeats it.
-2. A document with a seed is aligned with the item around it (Smith-Waterman over words:
+1. Seeds: the pairs of item words one or two apart, found in a document one or two apart. How many
+   documents hold each is counted over all documents, and an item leaves out its commonest places.
+2. A document with enough seeds is aligned with the item around them (Smith-Waterman over words:
    match 2, mismatch -1, gap -1). The score is the alignment's over that of the whole item.
 
+No alignment of the wanted score is missed. Between two matches that follow each other and are more
+than two apart in either text stand two edits or more, which undo a match. So an alignment of p points
+has pairs of weight p - 2 (2 if next to each other in both texts, else 1), at most one of them at
+each place of the item, and their shifts differ by its gaps, at most 2 * item words - p. Places of
+half that weight at most are left out, and as much less is asked for (`needed`).
+
 Items are taken in blocks of `BLOCK_BYTES` of text; each block meets all documents in one pass.
 
 Results in special cases: a null or empty text has no hits; an item without words has none; items
-of equal text are hit together; an item of fewer words than a seed is one seed; a null doc_id or
+of equal text are hit together; an item of two words needs both, at most two apart; a null doc_id or
 item_id is carried on; repeated rows are judged one by one; an empty table gives no rows.
 """
 
@@ -22,18 +27,22 @@ from pyspark.sql import DataFrame, functions as F
 
 from parcelake.llm import shingles, tables
 
-SEED = 3
-LEAST_SEEDS = 8
-BLOCK_BYTES = 8 << 20
+APART = 2
+BLOCK_BYTES = 4 << 20
 MATCH, OTHER, GAP = 2, -1, -1
 SCORE = 0.4
 HITS = "doc_id long, item_id long, score double, first_word long, last_word long"
 
 
+def points(n: int, least: float) -> float:
+    """Score of alignment wanted of an item of n words."""
+    return MATCH * n * least
+
+
 class Seeds:
-    """Seeds of one block of items; a seed is looked up by the numbers of its words."""
+    """Seeds of one block of items; a seed is looked up by the numbers of its two words."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]]):
+    def __init__(self, items: list[tuple[int | None, str | None]], least: float = SCORE):
         self.numbers: dict[bytes, int] = {}
         self.items: list[tuple[int | None, np.ndarray]] = []
         for item_id, text in items:
@@ -42,27 +51,21 @@ class Seeds:
                 self.items.append((item_id, np.array(
                     [self.numbers.setdefault(w, len(self.numbers) + 1) for w in found])))
         self.size = len(self.numbers) + 1
-        places = []         # (length, key, item, offset)
+        self.least = least
+        self.needed = np.array([max(1.0, points(len(own), least) - MATCH - 1e-9) for _, own in self.items])
+        self.single = any(len(own) == 1 for _, own in self.items)
+        places = [np.zeros((4, 0), np.int64)]       # key, item, offset, words apart
         for index, (_, own) in enumerate(self.items):
-            n = min(SEED, len(own))
-            places += [(n, key, index, at) for at, key in enumerate(self.keys(own, n).tolist())]
-        self.place(places)
-
-    def place(self, places: list[tuple[int, int, int, int]]) -> None:
-        """Sorted seeds of each length, and the places in items of each."""
-        self.places = sorted(places)
-        self.lengths = sorted({p[0] for p in places})
-        self.sorted = {n: np.unique(np.array([p[1] for p in places if p[0] == n], np.int64))
-                       for n in self.lengths}
-        self.where: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for n, key, index, at in self.places:
-            self.where.setdefault((n, key), []).append((index, at))
-
-    def keys(self, own: np.ndarray, n: int) -> np.ndarray:
-        key = np.zeros(max(0, len(own) - n + 1), np.int64)
-        for offset in range(n):
-            key = key * self.size + own[offset:offset + len(key)]
-        return key
+            for apart in range(len(own) > 1, min(APART, len(own) - 1) + 1):
+                n = len(own) - apart
+                key = own[:n] * self.size + (own[apart:] if apart else 0)
+                places.append(np.stack([key, np.full(n, index), np.arange(n), np.full(n, apart)]))
+        self.place(np.concatenate(places, 1))
+
+    def place(self, places: np.ndarray) -> None:
+        """Sorted seeds, and the places in items of each."""
+        self.places = places[:, np.argsort(places[0], kind="stable")]
+        self.sorted, self.starts, self.counts = np.unique(self.places[0], return_index=True, return_counts=True)
 
     def number(self, text: str | None) -> np.ndarray:
         """Numbers of a text's words; 0 if no item has the word."""
@@ -70,64 +73,89 @@ class Seeds:
         get = self.numbers.get
         return np.fromiter((get(w, 0) for w in found), np.int64, len(found))
 
-    def found(self, own: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(length, key, position) of every seed in a document."""
+    def found(self, own: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(words apart, numbers of seeds, their positions) in a document."""
+        out = []
         known = own > 0
-        for n in self.lengths:
-            if len(own) < n:
-                continue
-            whole = known[:len(own) - n + 1].copy()
-            for offset in range(1, n):
-                whole &= known[offset:offset + len(whole)]
-            at = np.flatnonzero(whole)
-            if not len(at):
-                continue
-            key = np.zeros(len(at), np.int64)
-            for offset in range(n):
-                key = key * self.size + own[at + offset]
-            place = np.searchsorted(self.sorted[n], key)
-            place[place == len(self.sorted[n])] = 0
-            hit = self.sorted[n][place] == key
-            yield from zip([n] * int(hit.sum()), key[hit].tolist(), at[hit].tolist())
-
-    def keep_rare(self, documents: dict[tuple[int, int], int]) -> None:
-        """Leave each item its rarest seeds by the number of documents."""
-        by_item: dict[int, list[tuple[int, int, int, int]]] = {}
-        for p in self.places:
-            by_item.setdefault(p[2], []).append(p)
-        rare = []
-        for own in by_item.values():
-            counts = sorted(documents.get(p[:2], 0) for p in own)
-            most = counts[min(len(counts), max(LEAST_SEEDS, -(-3 * len(counts) // 4))) - 1]
-            rare += [p for p in own if documents.get(p[:2], 0) <= most]
-        self.place(rare)
-
-    def hits(self, text: str | None, least: float) -> list[tuple[int | None, float, int, int]]:
+        if not len(self.sorted) or not known.any():
+            return out
+        for apart in range(not self.single, APART + 1):
+            n = max(0, len(own) - apart)
+            at = np.flatnonzero(known[:n] & known[apart:])
+            key = own[at] * self.size
+            if apart:
+                key += own[at + apart]
+            seed = np.searchsorted(self.sorted, key)
+            seed[seed == len(self.sorted)] = 0
+            hit = self.sorted[seed] == key
+            out.append((apart, seed[hit], at[hit]))
+        return out
+
+    def keep_rare(self, documents: dict[int, int]) -> None:
+        """Leave out of each item its commonest places by the number of documents."""
+        common = np.array([documents.get(k, 0) for k in self.places[0].tolist()], np.int64)
+        ends = np.cumsum([len(own) for _, own in self.items])
+        begins = ends - [len(own) for _, own in self.items]
+        spots = begins[self.places[1]] + self.places[2] if len(ends) else self.places[1]
+        by_spot = np.bincount(spots, common, ends[-1] if len(ends) else 0)
+        for index, (_, own) in enumerate(self.items):
+            left_out = int(self.needed[index] // (2 * MATCH))
+            mine = by_spot[begins[index]:ends[index] - 1]
+            if left_out:
+                most = np.sort(mine)[len(mine) - left_out - 1]
+                self.needed[index] -= MATCH * int((mine > most).sum())
+                mine[mine > most] = -1
+        self.place(self.places[:, by_spot[spots] >= 0])
+
+    def hits(self, text: str | None) -> list[tuple[int | None, float, int, int]]:
         """(item_id, score, first word, last word): the best place of each item in a text."""
         own = self.number(text)
-        starts: dict[int, list[int]] = {}
-        for n, key, at in self.found(own):
-            for index, offset in self.where[n, key]:
-                starts.setdefault(index, []).append(at - offset)
+        found = [f for f in self.found(own) if len(f[1])]
+        if not found:
+            return []
+        seed, at = (np.concatenate([f[k] for f in found]) for k in (1, 2))
+        apart = np.repeat([f[0] for f in found], [len(f[1]) for f in found])
+        count = self.counts[seed]
+        row = np.repeat(self.starts[seed] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        _, index, offset, inside = self.places[:, row]
+        weight = 1 + ((inside == 1) & (np.repeat(apart, count) == 1))
+        begin = np.repeat(at, count) - offset
+        total = np.bincount(index, weight)
         out = []
-        for index, begins in sorted(starts.items()):
-            item_id, item = self.items[index]
-            slack, best = max(4, len(item) // 2), (0.0, 0, 0)
-            begins.sort()
-            first = last = begins[0]
-            for begin in [*begins[1:], None]:
-                if begin is not None and begin - last <= slack:
-                    last = begin
-                    continue
-                low, high = max(0, first - slack), last + len(item) + slack
+        for k in np.flatnonzero(total >= self.needed[:len(total)]).tolist():
+            item_id, item = self.items[k]
+            mine = index == k
+            best_of = np.zeros(len(item), np.int64)
+            np.maximum.at(best_of, offset[mine], weight[mine])
+            if best_of.sum() < self.needed[k]:
+                continue
+            best = (0, 0, 0)
+            for low, high in self.windows(k, begin[mine], weight[mine]):
+                low = max(0, low)
                 score, a, b = align(item, own[low:high])
                 if score > best[0]:
                     best = (score, low + a, low + b)
-                first = last = begin
-            if best[0] >= least:
+            if best[0] * MATCH * len(item) >= points(len(item), self.least) - 1e-9:
                 out.append((item_id, *best))
         return out
 
+    def windows(self, index: int, begin: np.ndarray, weight: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Parts of a document with seeds of the needed weight, wide enough for any wanted alignment."""
+        n = len(self.items[index][1])
+        slack = max(0, int(MATCH * n - points(n, self.least) + 1e-9))
+        order = np.argsort(begin, kind="stable")
+        begin, sums = begin[order], np.concatenate([[0], np.cumsum(weight[order])])
+        high = np.searchsorted(begin, begin + slack, "right")
+        enough = np.flatnonzero(sums[high] - sums[:-1] >= self.needed[index])
+        first = last = None
+        for low, top in zip(begin[enough].tolist(), begin[high[enough] - 1].tolist()):
+            if first is not None and low > last + 2 * slack + n:
+                yield first - slack, last + n + slack
+                first = None
+            first, last = low if first is None else first, top
+        if first is not None:
+            yield first - slack, last + n + slack
+
 
 def matrix_best(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
     """Best local alignment score and the window position where it ends."""
@@ -162,21 +190,22 @@ def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[lis
         yield sorted(((r["item_id"], r["text"]) for r in mine.collect()), key=repr)
 
 
-def rare_seeds(docs: DataFrame, items: list[tuple]) -> Seeds:
+def rare_seeds(docs: DataFrame, items: list[tuple], least: float) -> Seeds:
     """The seeds of a block, thinned by their document counts over all documents."""
-    seeds = Seeds(items)
+    seeds = Seeds(items, least)
 
     def step(batch):
-        counts: dict[tuple[int, int], int] = {}
+        counts = np.zeros(len(seeds.sorted), np.int64)
         for text in batch.column("text").to_pylist():
-            for seed in {(n, key) for n, key, _ in seeds.found(seeds.number(text))}:
-                counts[seed] = counts.get(seed, 0) + 1
-        return {"words": [n for n, _ in counts], "key": [key for _, key in counts],
-                "n": list(counts.values())}
-
-    counted = tables.mapped(docs.select("text"), step, "words int, key long, n long")
-    totals = counted.groupBy("words", "key").agg(F.sum("n").alias("n")).collect()
-    seeds.keep_rare({(r["words"], r["key"]): r["n"] for r in totals})
+            found = [seed for _, seed, _ in seeds.found(seeds.number(text))]
+            if found:
+                counts[np.unique(np.concatenate(found))] += 1
+        held = np.flatnonzero(counts)
+        return {"key": seeds.sorted[held], "n": counts[held]}
+
+    counted = tables.mapped(docs.select("text"), step, "key long, n long")
+    totals = counted.groupBy("key").agg(F.sum("n").alias("n")).collect()
+    seeds.keep_rare({r["key"]: r["n"] for r in totals})
     return seeds
 
 
@@ -185,12 +214,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: float = SCORE) -
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
     for items in blocks(benchmark):
-        seeds = rare_seeds(docs, items)
+        seeds = rare_seeds(docs, items, least)
 
         def step(batch, seeds=seeds):
             rows = [(doc, *hit) for doc, text in zip(batch.column("doc_id").to_pylist(),
                                                      batch.column("text").to_pylist())
-                    for hit in seeds.hits(text, least)]
+                    for hit in seeds.hits(text)]
             names = [c.split()[0] for c in HITS.split(", ")]
             return {name: [r[i] for r in rows] for i, name in enumerate(names)}
 
@@ -202,7 +231,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: float = SCORE) -
 def keep_clean(docs: DataFrame, benchmark: DataFrame, least: float = SCORE) -> DataFrame:
     """The documents without any benchmark item."""
     for items in blocks(benchmark):
-        seeds = rare_seeds(docs, items)
+        seeds = rare_seeds(docs, items, least)
         docs = tables.kept(docs, lambda batch, seeds=seeds: [
-            not seeds.hits(text, least) for text in batch.column("text").to_pylist()])
+            not seeds.hits(text) for text in batch.column("text").to_pylist()])
     return docs

@@ -83,6 +83,54 @@ def test_edited_copies_are_found_and_clean_texts_are_not(spark):
     assert clean == set(range(300)) - {d for d, _ in truth}
 
 
+def edited(words, kind):
+    """An edit at every third word: replaced, dropped, or a word put in after two or after each."""
+    if kind == "replaced":
+        return ["other" if k % 3 == 2 else w for k, w in enumerate(words)]
+    if kind == "dropped":
+        return [w for k, w in enumerate(words) if k % 3 != 2]
+    every = 2 if kind == "after two" else 1
+    return [x for k, w in enumerate(words) for x in ([w, "more"] if k % every == every - 1 else [w])]
+
+
+def test_edits_at_every_third_word_are_found(spark):
+    rng = random.Random(5)
+    names = [f"w{k}" for k in range(400)]
+    items = [(k, " ".join(rng.choices(names, k=39 + k % 2))) for k in range(12)]
+    rows, truth = [], set()
+    kinds = ["replaced", "dropped", "after two", "after each"]
+    for k in range(120):
+        words = rng.choices(names, k=200)
+        if k % 2:
+            item = rng.randrange(12)
+            own = edited(items[item][1].split(), kinds[k // 2 % 4])
+            words[100:100] = own
+            truth.add((k, item, dc.SCORE <= full_score(items[item][1].split(), own)))
+        rows.append((k, " ".join(words)))
+    assert sum(t[2] for t in truth) >= 45       # those with every third word replaced score 0.5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in dc.contamination(docs, benchmark).collect()}
+    assert found == {t[:2] for t in truth if t[2]}
+    assert {r["doc_id"] for r in dc.keep_clean(docs, benchmark).collect()} == set(range(120)) - {d for d, _ in found}
+
+
+def test_no_alignment_is_missed():
+    """Few different words, so that all kinds of alignments occur; every score around the threshold."""
+    rng, some = random.Random(7), 0
+    for case in range(1500):
+        names = [f"w{k}" for k in range(rng.choice([4, 10, 30]))]
+        item = rng.choices(names, k=rng.randrange(3, 24))
+        words = rng.choices(names, k=rng.randrange(40))
+        words[7:7] = planted(rng, item, rng.choice([0.3, 0.5, 0.7]))
+        seeds = dc.Seeds([(1, " ".join(item))])
+        seeds.keep_rare({int(k): rng.randrange(5) for k in seeds.sorted})
+        score, expected = [h[1] for h in seeds.hits(" ".join(words))], full_score(item, words)
+        assert score == ([expected] if expected >= dc.SCORE else []), (item, words)
+        some += expected >= dc.SCORE and expected < 0.6
+    assert some > 100
+
+
 def test_item_in_every_document_keeps_its_seeds(spark):
     item = " ".join(f"w{k}" for k in range(30))
     docs = spark.createDataFrame([(k, f"before {k} {item} after") for k in range(50)], "doc_id long, text string")
