@@ -3,7 +3,8 @@
 1. Seeds: the pairs of item words one or two apart, found in a document one or two apart. How many
    documents hold each is counted over all documents, and an item leaves out its commonest places.
 2. A document with enough seeds is aligned with the item around them (Smith-Waterman over words:
-   match 2, mismatch -1, gap -1). The score is the alignment's over that of the whole item.
+   match 2, mismatch -1, gap -1). The score is the alignment's over that of the whole item. A hit has
+   `SCORE`, or the points of `LONG` matched words: a long passage of a still longer item.
 
 No alignment of the wanted score is missed. Between two matches that follow each other and are more
 than two apart in either text stand two edits or more, which undo a match. So an alignment of p points
@@ -31,12 +32,13 @@ APART = 2
 BLOCK_BYTES = 4 << 20
 MATCH, OTHER, GAP = 2, -1, -1
 SCORE = 0.4
+LONG = 30           # matched words: an alignment with their score is a hit in an item of any length
 HITS = "doc_id long, item_id long, score double, first_word long, last_word long"
 
 
 def points(n: int, least: float) -> float:
     """Score of alignment wanted of an item of n words."""
-    return MATCH * n * least
+    return MATCH * min(n * least, LONG)
 
 
 class Seeds:

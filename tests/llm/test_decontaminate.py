@@ -115,6 +115,18 @@ def test_edits_at_every_third_word_are_found(spark):
     assert {r["doc_id"] for r in dc.keep_clean(docs, benchmark).collect()} == set(range(120)) - {d for d, _ in found}
 
 
+def test_long_passages_of_longer_items_are_found(spark):
+    item = [f"w{k}" for k in range(400)]
+    texts = [item[200:250], edited(item[100:150], "after two"), item[70:99], item[10:40], ["other"] * 50]
+    docs = spark.createDataFrame([(k, " ".join(["x"] * 60 + t + ["y"] * 60)) for k, t in enumerate(texts)],
+                                 "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {r["doc_id"]: r for r in dc.contamination(docs, benchmark).collect()}
+    assert sorted(found) == [0, 1, 3]
+    assert (found[0]["score"], found[0]["first_word"], found[0]["last_word"]) == (50 / 400, 60, 109)
+    assert sorted(r["doc_id"] for r in dc.keep_clean(docs, benchmark).collect()) == [2, 4]
+
+
 def test_no_alignment_is_missed():
     """Few different words, so that all kinds of alignments occur; every score around the threshold."""
     rng, some = random.Random(7), 0
