@@ -1,8 +1,8 @@
 """URL verdicts: a rule list first, then association rules mined from the URLs it labels.
 
 FP-growth (Spark ML, in the JVM) finds token combinations of labelled URLs that go with a verdict.
-Rules below `MIN_SUPPORT` or `MIN_CONFIDENCE`, of more than `MAX_TOKENS` tokens, or no better than
-a rule of one of their own tokens are pruned. Each mined rule is posted under its rarest token; the
+Rules below `MIN_SUPPORT` or `MIN_CONFIDENCE`, or no surer than a rule of some of their own tokens
+are pruned; a rule may have any number of tokens. Each mined rule is posted under its rarest token; the
 distinct URLs that no listed rule decides look their tokens up there. The rule of the greatest
 confidence wins, then of the greatest support, then block, then the first by tokens.
 
@@ -25,7 +25,6 @@ LISTED = [("net/", "block"), ("example.net/en/", "allow"),
           ("example.com/de/", "block"), ("org/fr/", "allow")]
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.8
-MAX_TOKENS = 2
 DEFAULT = "allow"
 
 
@@ -74,8 +73,8 @@ def with_listed(pages: DataFrame, listed: list[tuple[str, str]]) -> DataFrame:
             .withColumn("rule", listed_rule(listed)).withColumn("listed", verdict))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-         max_tokens: int = MAX_TOKENS) -> DataFrame:
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
+         min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """antecedent (sorted tokens), says, confidence, support, post (rarest token) of each mined rule;
     `labelled` has tokens and says."""
     label = F.concat(F.lit("="), "says")
@@ -83,21 +82,24 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
         labelled.select(F.concat("tokens", F.array(label)).alias("items")))
     said = F.element_at("consequent", 1)
     rules = (model.associationRules
-             .filter(F.startswith(said, F.lit("=")) & (F.size("antecedent") <= max_tokens))
+             .filter(F.startswith(said, F.lit("=")))
              .select(F.array_sort("antecedent").alias("antecedent"), F.substring(said, 2, 1 << 20).alias("says"),
                      "confidence", "support"))
     single = (model.freqItemsets.filter(F.size("items") == 1)
               .select(F.element_at("items", 1).alias("token"), "freq"))
-    simple = (rules.filter(F.size("antecedent") == 1)
-              .select(F.element_at("antecedent", 1).alias("token"), "says",
-                      F.col("confidence").alias("simple")))
-    each = rules.withColumn("token", F.explode("antecedent"))
-    return (each.join(single, "token").join(simple, ["token", "says"], "left")
-            .groupBy("antecedent", "says", "confidence", "support")
-            .agg(F.min(F.struct("freq", "token")).alias("rarest"), F.max("simple").alias("simple"))
-            .filter((F.size("antecedent") == 1) | F.col("simple").isNull()
-                    | (F.col("confidence") > F.col("simple")))
-            .select("antecedent", "says", "confidence", "support", F.col("rarest.token").alias("post")))
+    posted = (rules.withColumn("token", F.explode("antecedent")).join(single, "token")
+              .groupBy("antecedent", "says", "confidence", "support")
+              .agg(F.min(F.struct("freq", "token")).alias("rarest"))
+              .select("antecedent", "says", "confidence", "support", F.col("rarest.token").alias("post")))
+    shorter = posted.select(F.col("post").alias("token"), F.col("says").alias("same"),
+                            F.col("antecedent").alias("part"), F.col("confidence").alias("sure"))
+    beaten = (posted.select("antecedent", "says", "confidence", F.explode("antecedent").alias("token"))
+              .join(shorter, "token")
+              .filter((F.col("same") == F.col("says")) & (F.size("part") < F.size("antecedent"))
+                      & (F.col("sure") >= F.col("confidence"))
+                      & (F.size(F.array_except("part", "antecedent")) == 0))
+              .select("antecedent", "says").distinct())
+    return posted.join(beaten, ["antecedent", "says"], "left_anti")
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -110,11 +112,11 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, listed: list[tuple[str, str]] | None = None, min_support: float = MIN_SUPPORT,
-          min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+          min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """page_id, host, path, rule, verdict of every page."""
     known = with_listed(pages, LISTED if listed is None else listed)
     rules = mine(known.filter(F.col("listed").isNotNull()).select(
-        tokens().alias("tokens"), F.col("listed").alias("says")), min_support, min_confidence, max_tokens)
+        tokens().alias("tokens"), F.col("listed").alias("says")), min_support, min_confidence)
     open_urls = (known.filter(F.col("listed").isNull() & F.col("url").isNotNull())
                  .select("url", "host", "path", "query").distinct()
                  .select("url", tokens().alias("tokens")))
@@ -123,7 +125,7 @@ def judge(pages: DataFrame, listed: list[tuple[str, str]] | None = None, min_sup
                     F.coalesce("listed", "mined", F.lit(DEFAULT)).alias("verdict")))
 
 
-#: The same in SQL: all one- and two-token combinations are counted.
+#: The same in SQL as far as rules of one and two tokens decide: all such combinations are counted.
 ORACLE = r"""
 WITH cut AS (
   SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+from itertools import combinations
+
 import duckdb
 import pytest
 
@@ -46,6 +50,37 @@ def test_rules_hosts_and_paths(spark):
     assert sql(spark, pages) == judged(pages)
 
 
+def brute_rules(labelled, min_support, min_confidence):
+    """(antecedent, says) -> (confidence, support) by counting all combinations of tokens."""
+    n, said = Counter(), Counter()
+    for tokens, says in labelled:
+        for k in range(1, len(tokens) + 1):
+            for own in combinations(sorted(tokens), k):
+                n[own] += 1
+                said[own, says] += 1
+    rules = {r: (c / n[r[0]], c / len(labelled)) for r, c in said.items()
+             if c >= min_support * len(labelled) and c / n[r[0]] >= min_confidence}
+    return {(own, says): r for (own, says), r in rules.items() if not any(
+        v == says and set(o) < set(own) and q[0] >= r[0] for (o, v), q in rules.items())}
+
+
+def test_rules_of_any_size_by_brute_force(spark):
+    rng = random.Random(3)
+    # odd and even numbers of tokens: only all three together tell the verdict
+    labelled = []
+    for k in range(400):
+        own = [t for t in "abc" if rng.random() < 0.5]
+        labelled.append((own + rng.sample("uvwxyz", 2), "block" if len(own) == 3 else "allow"))
+    frame = spark.createDataFrame(labelled, "tokens array<string>, says string")
+    found = {(tuple(r["antecedent"]), r["says"]): (r["confidence"], r["support"])
+             for r in url_rules.mine(frame).collect()}
+    expected = brute_rules(labelled, url_rules.MIN_SUPPORT, url_rules.MIN_CONFIDENCE)
+    assert found.keys() == expected.keys() and all(found[r] == pytest.approx(expected[r]) for r in found)
+    assert (("a", "b", "c"), "block") in found
+    urls = spark.createDataFrame([("1", ["a", "b", "c", "new"])], "url string, tokens array<string>")
+    assert [r["mined"] for r in url_rules.match(urls, url_rules.mine(frame)).collect()] == ["block"]
+
+
 def test_special_cases(spark):
     long = "http://x.com/" + "/".join(f"s{k}" for k in range(3000))
     pages = spark.createDataFrame(
