@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelake.llm import (
-    decontaminate, html_text, language, licenses, near_duplicates, packing, quality, tables, token_files, tokens,
-    url_rules, warc,
+    decontaminate, hard_negatives, html_text, language, licenses, near_duplicates, packing, preference, quality,
+    source_divergence, tables, token_files, tokens, url_rules, warc,
 )
 
 
@@ -58,6 +58,20 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.join(tables.read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.relabelled(tables.read(spark, sf_dir, "embeddings"))
+    return hard_negatives.mine(hard_negatives.whole_numbers(rows), F.col("vec_id") % 100 == 0)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(tables.read(spark, sf_dir, "documents"))
+
+
+def op13_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables.read(spark, sf_dir, "documents")
+    return preference.score_all(docs, preference.fit(docs, tables.read(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
@@ -69,8 +83,13 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_html_text": op9_html_text,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_quality_ranking": op13_quality_ranking,
 }
 
 ORACLES = {
     "op3_url_filter": url_rules.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
+    "op12_source_divergence": source_divergence.ORACLE,
 }
