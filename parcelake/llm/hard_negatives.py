@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelake.llm import tables
-from parcelake.sizing import FILE_BYTES_PER_PARTITION, scanned_bytes
+from parcelake.sizing import FILE_BYTES_PER_PARTITION, UNKNOWN_BYTES, estimated_bytes
 
 BUCKET_ROWS = 2048
 LEAST_LENGTH = 0.9          # shortest to longest vector of a bucket
@@ -89,8 +89,9 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def build_index(numbers: DataFrame) -> DataFrame:
     """The rows by label and falling length, dealt out evenly whatever one label holds, on disk."""
     spark = numbers.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                -(-scanned_bytes(numbers) // FILE_BYTES_PER_PARTITION))
+    size, parts = estimated_bytes(numbers), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if size < UNKNOWN_BYTES:
+        parts = max(parts, -(-size // FILE_BYTES_PER_PARTITION))
     order = [F.col("label"), F.col("length").desc(), F.col("vec_id")]
     return tables.materialise(
         numbers.repartitionByRange(parts, *order).sortWithinPartitions(*order), "negatives-index")
