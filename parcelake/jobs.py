@@ -136,7 +136,7 @@ def _checks(run: _Run) -> None:
 
 
 def _live(run: _Run) -> None:
-    start_live(run.spark, run.log, run.layout, trigger=run.trigger,
+    start_live(run.spark, run.log, run.layout, once=run.args.once,
                since="earliest" if run.args.once else "latest").awaitTermination()
 
 

@@ -33,6 +33,12 @@ class Layout:
     def live(self) -> str:
         return self._at("live", "shipment_live")
 
+    def live_views(self) -> str:
+        return self._at("live", "views")
+
+    def live_due(self) -> str:
+        return self._at("live", "due")
+
     def alerts(self) -> str:
         return self._at("live", "alerts")
 

@@ -50,17 +50,32 @@ def _once_per_shipment(events: DataFrame, alert_type: str, detail: Column) -> Da
         alert_type, "shipment_id", F.col("_detail"), about)
 
 
+def is_prime_sla() -> Column:
+    """An event that calls for a PRIME_SLA alert."""
+    return (F.col("customer_tier") == domain.PRIME) & F.col("is_sla_at_risk")
+
+
+def is_delay() -> Column:
+    """An event that calls for a DELAY alert."""
+    minutes = F.coalesce("delay_minutes", F.lit(0))
+    return F.col("is_delayed") & (minutes > _limit_minutes(domain.DELAY_ALERT_MINUTES))
+
+
+def eta_change_limit() -> Column:
+    """By how many minutes an event's ETA may move before an ETA_CHANGE alert."""
+    return _limit_minutes(domain.ETA_CHANGE_ALERT_MINUTES)
+
+
+ETA_CHANGE_LIMITS = tuple(sorted({*domain.ETA_CHANGE_ALERT_MINUTES.values(), domain.OTHER_TYPE_ALERT_MINUTES}))
+
+
 def prime_sla(events: DataFrame) -> DataFrame:
-    hits = events.where((F.col("customer_tier") == domain.PRIME) & F.col("is_sla_at_risk"))
-    return _once_per_shipment(hits, PRIME_SLA, F.concat_ws(
+    return _once_per_shipment(events.where(is_prime_sla()), PRIME_SLA, F.concat_ws(
         " ", F.col("shipment_status"), F.lit("delay"), F.col("delay_minutes").cast("string")))
 
 
 def delay(events: DataFrame) -> DataFrame:
-    minutes = F.coalesce("delay_minutes", F.lit(0))
-    hits = events.where(
-        F.col("is_delayed") & (minutes > _limit_minutes(domain.DELAY_ALERT_MINUTES)))
-    return _once_per_shipment(hits, DELAY, F.concat_ws(
+    return _once_per_shipment(events.where(is_delay()), DELAY, F.concat_ws(
         " ", F.col("shipment_status"), F.lit("delay"), F.col("delay_minutes").cast("string")))
 
 
@@ -81,7 +96,7 @@ def eta_change(events: DataFrame, stored: DataFrame) -> DataFrame:
     worst = (
         latest.join(before, "shipment_id")
         .withColumn("_minutes", minutes)
-        .where(F.col("_minutes") > _limit_minutes(domain.ETA_CHANGE_ALERT_MINUTES))
+        .where(F.col("_minutes") > eta_change_limit())
         .groupBy("shipment_id").agg(F.max(F.struct(
             "_minutes", "delivery_type", F.col("_eta").alias("estimated_delivery_time"),
             F.col("_was").alias("previous_estimated_time"))).alias("_worst"))
@@ -99,13 +114,18 @@ def backlogs(live: DataFrame) -> DataFrame:
              (DS_BACKLOG, domain.DS_BACKLOG_STAGES, domain.DS_BACKLOG_LIMIT)]
     kind = F.when(status.isin(*kinds[0][1]), kinds[0][0]).when(
         status.isin(*kinds[1][1]), kinds[1][0])
-    limit = by_code("_kind", {name: limit for name, _, limit in kinds})
+    limit = by_code("kind", {name: limit for name, _, limit in kinds})
     over = (
         live.where(status.isin(*kinds[0][1], *kinds[1][1]))
-        .groupBy("facility_id", kind.alias("_kind")).agg(F.count("*").alias("backlog"))
+        .groupBy("facility_id", kind.alias("kind")).agg(F.count("*").alias("backlog"))
         .where(F.col("backlog") > limit)
     )
-    return _as_alerts(over, F.col("_kind"), "facility_id", F.col("backlog").cast("string"))
+    return backlog_alerts(over)
+
+
+def backlog_alerts(over: DataFrame) -> DataFrame:
+    """Alerts of the facilities in `over` (facility_id, kind, backlog)."""
+    return _as_alerts(over, F.col("kind"), "facility_id", F.col("backlog").cast("string"))
 
 
 def fc_backlog(live: DataFrame) -> DataFrame:
@@ -121,10 +141,23 @@ def stale(live: DataFrame, as_of: Column) -> DataFrame:
         live.where(F.col("shipment_status") != domain.DELIVERED)    # implied; prunes partitions
         .where(is_stale(domain.FC, as_of) | is_stale(domain.DS, as_of))
     )
-    return _as_alerts(both, STALE, "shipment_id", F.concat_ws(
+    return stale_alerts(both)
+
+
+def stale_alerts(stuck: DataFrame) -> DataFrame:
+    return _as_alerts(stuck, STALE, "shipment_id", F.concat_ws(
         " ", F.col("facility_id"), F.col("shipment_status")), ("shipment_status", "stage_entered_at"))
 
 
+def struct_of(alert_type: str, detail: Column, about: Mapping[str, Column]) -> Column:
+    """An alert about the shipment of a row as a struct, for rows that may call for several."""
+    return F.struct(
+        F.concat_ws(":", F.col("shipment_id"), F.lit(alert_type)).alias("alert_key"),
+        F.lit(alert_type).alias("alert_type"), F.col("shipment_id").alias("subject_id"),
+        detail.alias("detail"),
+        *[about.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ALERT_SUBJECT.fields])
+
+
 def batch_alerts(events: DataFrame, stored: DataFrame) -> DataFrame:
     """Alerts of single events; `stored` holds the live rows from before the batch."""
     return prime_sla(events).unionByName(delay(events)).unionByName(eta_change(events, stored))

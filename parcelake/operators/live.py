@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelake import domain
@@ -27,14 +29,19 @@ def to_live_rows(events: DataFrame, centers: DataFrame, stations: DataFrame) ->
     Names and flags are added to the newest events only, after the others are gone.
     """
     carried = [c for c in SHIPMENT_LIVE.fieldNames() if c not in _ADDED]
-    newest = latest_state(events.select("event_id", *carried))
+    return live_columns(latest_state(events.select("event_id", *carried)), centers, stations)
+
+
+def live_columns(newest: DataFrame, centers: DataFrame, stations: DataFrame,
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """The columns of the live table, for one event per shipment, and the columns in `keep`."""
     full = add_flags(with_facilities(newest, centers, stations))
-    return full.select(*[
+    return full.select(*keep, *[
         F.col(f.name).cast(f.dataType).alias(f.name)
         for f in SHIPMENT_LIVE.fields if f.name in full.columns])
 
 
-def _later_or_same(new: str, old: str) -> Column:
+def later_or_same(new: str, old: str) -> Column:
     """True when the event in struct `new` is not older than the state in struct `old`."""
     def rank(side: str) -> Column:
         return F.struct(F.col(f"{side}.event_timestamp"), stage_number(f"{side}.shipment_status"))
@@ -42,7 +49,7 @@ def _later_or_same(new: str, old: str) -> Column:
     return F.col(old).isNull() | (rank(new) >= rank(old))
 
 
-def _stamped(new: str, old: str, now: Column | None) -> Column:
+def stamped(new: str, old: str, now: Column | None) -> Column:
     """The live row for the event in `new` that replaces the state in `old`.
 
     `stage_entered_at` moves for a new shipment and when the status changes, and is kept
@@ -72,8 +79,8 @@ def changed_rows(incoming: DataFrame, stored: DataFrame, now: Column | None = No
     """
     return (
         _as_struct(incoming, "new").join(_as_struct(stored, "old"), "shipment_id", "left")
-        .where(_later_or_same("new", "old"))
-        .select(_stamped("new", "old", now).alias("_row"))
+        .where(later_or_same("new", "old"))
+        .select(stamped("new", "old", now).alias("_row"))
         .select("_row.*")
     )
 

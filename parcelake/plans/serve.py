@@ -26,7 +26,7 @@ def bi_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 def refresh_panels(spark: SparkSession, layout: Layout, serving, as_of: Column) -> None:
     """The 22 panels with the colours of their bands, each as a table panel_<dashboard>_<name>."""
     shown = {
-        "realtime": panels.realtime(live_table(spark, layout.live()).read(), as_of),
+        "realtime": panels.realtime(live_table(spark, layout).read(), as_of),
         "bi": panels.bi(bi_tables(spark, layout))}
     for dashboard, tables in shown.items():
         for title, df in tables.items():

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Settings that may be changed on a running session. UTC is a correctness setting:
-# dates are derived from event times. The rest lets Spark re-plan joins on real sizes,
-# merge small shuffle partitions and split skewed ones.
+# dates are derived from event times. Streaming state lies on local disk, with a log of changes
+# in the checkpoint, so a batch uploads what it changed. The rest lets Spark re-plan joins on
+# real sizes, merge small shuffle partitions and split skewed ones.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

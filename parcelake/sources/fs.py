@@ -41,3 +41,8 @@ def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
 def remove(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _open(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _open(spark, path)
+    fs.mkdirs(hadoop_path)

@@ -24,7 +24,7 @@ def test_all_jobs(spark, tmp_path):
         "avg_lead_time_hrs"] == 6.75
     main(["live", *log, "--once"], spark)
     layout = Layout(root)
-    assert live_table(spark, layout.live()).read().first()["shipment_status"] == "DELIVERED"
+    assert live_table(spark, layout).read().first()["shipment_status"] == "DELIVERED"
     main(["panels", "--root", root], spark)
     shown = ParquetServing(spark, root + "/serving")
     assert len(list((tmp_path / "lake" / "serving").glob("panel_*"))) == 22
