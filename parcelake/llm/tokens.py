@@ -8,6 +8,9 @@ A text of ASCII and Latin-1 letters without odd spacing is cut at every end of l
 text is cut only at blanks that a printable ASCII character follows (or at white space, if the
 vocabulary drops it), which holds for every script.
 
+A text that may hold the name of a special token, such as <|endoftext|>, is given to the library
+whole: it looks for those names before it cuts, and takes each as one id.
+
 Ids are little-endian unsigned 32-bit integers.
 """
 
@@ -41,7 +44,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # how a special name begins, in either case, so that no text is folded to look for it
+        self.marks = {m for name in added if name for m in (name[:2], name[:2].lower(), name[:2].upper())}
         self.kind = kind
         self.cache: dict[bytes, bytes] = {}
         names = self.tokenizer.get_vocab()
@@ -60,6 +65,8 @@ class Encoder:
         return self.kind == "word" or not any(s in text for s in _ODD_SPACES)
 
     def pieces(self, text: bytes) -> list[bytes]:
+        if any(mark in text for mark in self.marks):
+            return [text]
         if self.regular(text):
             return _LETTERS_OR_REST[self.kind].findall(text.lower() if self.kind == "word" else text)
         return text.split() if self.kind == "word" else _SURE_CUT.split(text)

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from parcelake.llm import packing, tables, token_files, tokens
 
@@ -18,7 +19,26 @@ def encoder(request):
     return tokens.Encoder(tokens.vocabulary(KINDS[request.param]), request.param)
 
 
+def by_library(kind):
+    """The contract's plain call on a fresh tokenizer, which shares nothing with the module's."""
+    tokenizer = Tokenizer.from_file(tokens.vocabulary(KINDS[kind]))
+    return lambda text: np.array(tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_special_names_are_one_id(encoder):
+    library = by_library(encoder.kind)
+    names = [t.content for t in encoder.tokenizer.get_added_tokens_decoder().values()]
+    assert names
+    texts = ["hi <|endoftext|> there", "<|endoftext|>", "a<|endoftext|>b", "x <| endoftext |>", "<|", "a <|endoftex",
+             *names, *[n.upper() for n in names], *[f"one {n}{n} two\n{n}" for n in names], "plain text",
+             "中文 <|startoftext|> été", " <|endoftext|>  <|endoftext|> "]
+    texts = [t.encode() for t in texts]
+    assert encoder.encode(texts) == [library(t) for t in texts]
+    assert encoder.encode(texts) == [library(t) for t in texts]         # from the cache
+
+
 def test_cache_gives_the_ids_of_whole_texts(encoder, docs):
+    library = by_library(encoder.kind)
     texts = [(r["text"] or "").encode() for r in docs.select("text").collect()]
     rng = random.Random(5)
     parts = ["a", "b", "the", " ", "  ", "\n", "\n\n", " \n", "\t", "\r\n", "é", "É", "ß", "×",
@@ -26,23 +46,24 @@ def test_cache_gives_the_ids_of_whole_texts(encoder, docs):
              "<|endoftext|>", ".", "A", "\x1c", "\x00", "\U0001f642", "ﬁ", "İ", "x" * 90]
     texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(25))).encode() for _ in range(3000)]
     for at in range(0, len(texts), 500):
-        assert encoder.encode(texts[at:at + 500]) == encoder.plain(texts[at:at + 500])
+        assert encoder.encode(texts[at:at + 500]) == list(map(library, texts[at:at + 500]))
 
 
 def test_small_cache_is_emptied_not_wrong(encoder, monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_PIECES", 5)
+    library = by_library(encoder.kind)
     texts = [f"word{chr(97 + k % 26)} alpha beta {k}, gamma".encode() for k in range(40)]
     for at in range(0, 40, 3):
-        assert encoder.encode(texts[at:at + 3]) == encoder.plain(texts[at:at + 3])
+        assert encoder.encode(texts[at:at + 3]) == list(map(library, texts[at:at + 3]))
     assert len(encoder.cache) <= 40
 
 
 def expected(rows, kind, end):
     """doc_id -> start, ids by the library alone, documents in order."""
-    encode = tokens.Encoder(tokens.vocabulary(KINDS[kind]), kind)
+    encode = by_library(kind)
     at, out = 0, []
     for doc, text in rows:
-        ids = np.append(np.frombuffer(encode.plain([(text or "").encode()])[0], "<u4"), end).astype("<u4")
+        ids = np.append(np.frombuffer(encode((text or "").encode()), "<u4"), end).astype("<u4")
         out.append((doc, at, ids))
         at += len(ids)
     return out
