@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from parcelake.schemas import flat
-from parcelake.sources import fs
+from parcelake.sources import replay
 
 LOG_ROWS = flat(
     "key string, value string, topic string, partition int, offset bigint, timestamp timestamp")
@@ -37,12 +37,9 @@ class KafkaLog:
             .option("startingOffsets", since).option("endingOffsets", until).load()
         )
 
-    def stream(self, spark: SparkSession, topic: str, since: str = "earliest",
-               start: str | None = None) -> DataFrame:
-        """The topic as a stream: from its start ("earliest") or new rows only ("latest").
-
-        The checkpoint of the query keeps its offsets, so `start` is not used.
-        """
+    def stream(self, spark: SparkSession, topic: str, since: str = "earliest") -> DataFrame:
+        """The topic as a stream: from its start ("earliest") or new rows only ("latest"). The
+        checkpoint of the query keeps its offsets."""
         return self._source(spark.readStream, topic).option("startingOffsets", since).load()
 
 
@@ -56,20 +53,12 @@ class ReplayLog:
     def scan(self, spark: SparkSession, topic: str) -> DataFrame:
         return spark.read.schema(LOG_ROWS).json(f"{self.path}/{topic}")
 
-    def stream(self, spark: SparkSession, topic: str, since: str = "earliest",
-               start: str | None = None) -> DataFrame:
-        """As above. For "latest", `start` is a path beside the checkpoint where the first start
-        of the query is kept: a restart reads what was logged while the query was down."""
+    def stream(self, spark: SparkSession, topic: str, since: str = "earliest") -> DataFrame:
+        """As above. From the start, Spark's file source keeps which files were read; for new rows
+        only, `sources.replay` knows where the log ended when the query first started."""
+        if since != "earliest":
+            return replay.stream(spark, f"{self.path}/{topic}", since, self.files_per_trigger)
         reader = spark.readStream.schema(LOG_ROWS)
         if self.files_per_trigger is not None:
             reader = reader.option("maxFilesPerTrigger", self.files_per_trigger)
-        rows = reader.json(f"{self.path}/{topic}")
-        if since == "earliest":
-            return rows
-        if start is None:
-            raise ValueError("a replay from the latest row needs a path for its start")
-        if not fs.is_complete(spark, start):
-            spark.range(1).select(F.current_timestamp().alias("started")).write.mode(
-                "overwrite").parquet(start)
-        started = spark.read.parquet(start).first()["started"]
-        return rows.where(F.col("timestamp") > F.lit(started))
+        return reader.json(f"{self.path}/{topic}")

@@ -253,8 +253,7 @@ def start_live(spark: SparkSession, log, layout: Layout, *, since: str = "latest
                trigger: dict | None = None, once: bool = False,
                clock: Callable[[int], datetime] = wall_clock) -> StreamingQuery:
     """Start the live query; with `once`, return when it has caught up and was stopped."""
-    events = parse_events(log.stream(
-        spark, domain.TOPIC_SHIPMENT_EVENTS, since, layout.checkpoint("live_start")))
+    events = parse_events(log.stream(spark, domain.TOPIC_SHIPMENT_EVENTS, since))
     states = shipment_state(events, written_rows(spark, live_table(spark, layout)))
     query = (
         states.writeStream.outputMode("update")

@@ -102,32 +102,82 @@ def test_kafka_scan_is_bounded_and_stream_is_not():
         **common, "subscribe": "shipment_events", "startingOffsets": "latest"}
 
 
-def test_replay_from_latest_reads_on_after_a_restart(spark, tmp_path):
-    """Rows 1, 2, 3 are logged before the first start, while down, and after the second start."""
-    from datetime import datetime, timedelta, timezone
+def test_replay_from_latest_goes_by_offsets(spark, tmp_path):
+    """Row 1 is logged before the first start, 2 while down, 3 after the second start; row 4 is logged
+    last by a producer whose clock is years behind."""
     import json
 
-    def add(n, when):
+    def add(n, when="2026-07-01T08:00:00Z"):
         folder = tmp_path / "log" / "t"
         folder.mkdir(parents=True, exist_ok=True)
-        (folder / f"{n}.json").write_text(json.dumps({"offset": n, "timestamp": when.isoformat()}))
+        (folder / f"{n:04d}.json").write_text(json.dumps({"offset": n, "value": "é", "timestamp": when}))
 
     def run():
-        stream = log.stream(spark, "t", "latest", str(tmp_path / "start"))
-        query = (stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        query = (log.stream(spark, "t", "latest").writeStream.format("parquet")
+                 .option("path", str(tmp_path / "out"))
                  .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
         query.awaitTermination()
 
-    log, now = ReplayLog(str(tmp_path / "log")), datetime.now(timezone.utc)
-    add(1, now - timedelta(minutes=5))
+    log = ReplayLog(str(tmp_path / "log"))
+    add(1, "2999-01-01T00:00:00Z")
     run()
-    add(2, datetime.now(timezone.utc))
+    add(2)
     run()
-    add(3, datetime.now(timezone.utc))
+    add(3)
+    add(4, "1999-01-01T00:00:00Z")
     run()
-    assert sorted(r["offset"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [2, 3]
-    with pytest.raises(ValueError, match="path for its start"):
-        log.stream(spark, "t", "latest")
+    run()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r["offset"], r["value"], r["timestamp"].year) for r in rows) == [
+        (2, "é", 2026), (3, "é", 2026), (4, "é", 1999)]
+    with pytest.raises(ValueError, match="earliest or latest"):
+        log.stream(spark, "t", "yesterday")
+
+
+def test_replay_offsets_of_batches(tmp_path):
+    from parcelake.sources.replay import NOTHING, ReplayReader, names
+
+    for n in range(5):
+        (tmp_path / f"{n}.json").write_text("{}")
+    (tmp_path / ".hidden.json").write_text("{}")
+    (tmp_path / "9.json").touch()                       # still being written
+    assert names(str(tmp_path)) == [f"{n}.json" for n in range(5)] and names(str(tmp_path / "none")) == []
+    reader = ReplayReader(str(tmp_path), "earliest", 2)
+    start, taken = reader.initialOffset(), []
+    assert start == {"after": NOTHING}
+    for _ in range(4):
+        end = reader.latestOffset()
+        taken.append([p.path.rsplit("/", 1)[1] for p in reader.partitions(start, end)])
+        start = end
+    assert taken == [["0.json", "1.json"], ["2.json", "3.json"], ["4.json"], []]
+    assert ReplayReader(str(tmp_path), "latest", None).initialOffset() == {"after": "4.json"}
+    again = ReplayReader(str(tmp_path), "earliest", 2)          # after a restart: the checkpoint's offsets
+    assert len(again.partitions({"after": "1.json"}, {"after": "3.json"})) == 2
+    with pytest.raises(ValueError, match="has lost 7.json"):
+        again.partitions({"after": "1.json"}, {"after": "7.json"})
+
+
+def test_bounded_ingest_appends_every_message_once(spark, tmp_path):
+    from parcelake import domain
+    from parcelake.layout import Layout
+    from parcelake.plans import layers
+    from tests.replay import Replay
+
+    def ingest(ts=F.lit("2026-07-01 00:00:00").cast("timestamp")):
+        return layers.ingest_batch(spark, log, entity, layout, ts)["rows"]
+
+    replay, layout = Replay(tmp_path / "log"), Layout(str(tmp_path / "lake"))
+    entity, log = schemas.ENTITIES[domain.TOPIC_FULFILLMENT_CENTERS], ReplayLog(str(tmp_path / "log"))
+    replay.add_master()
+    first = ingest()
+    assert first and ingest() == 0
+    replay.add_master(city="Pune")
+    with pytest.raises(Exception, match="store is down"):
+        ingest(F.raise_error(F.lit("store is down")).cast("timestamp"))
+    assert ingest() == first and ingest() == 0
+    stored = raw.read(spark, layout.raw(entity.kind, entity.name))
+    offsets = [r["kafka_offset"] for r in stored.collect()]
+    assert sorted(offsets) == list(range(2 * first))
 
 
 def test_jdbc_refresh_truncates_instead_of_dropping():
