@@ -89,7 +89,7 @@ class _Run:
 
 def _ingest_master(run: _Run) -> None:
     for topic in domain.MASTER_TOPICS:
-        layers.ingest_batch(run.spark, run.log, ENTITIES[topic], run.layout, run.run_ts)
+        layers.ingest_new(run.spark, run.log, ENTITIES[topic], run.layout, run.run_ts)
 
 
 def _ingest_events(run: _Run) -> None:

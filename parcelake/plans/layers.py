@@ -27,10 +27,21 @@ def row_count() -> Column:
 
 def ingest_batch(spark: SparkSession, log, entity: Entity, layout: Layout,
                  run_ts: Column) -> dict:
+    """Append the whole topic to the raw layer, whatever is there: for a one-time load or a replay of
+    another log. Repeated, it appends again; the job that runs daily is `ingest_new`."""
+    seen = Observation(f"ingest {entity.name}")
+    envelopes = to_envelope(log.scan(spark, entity.name), run_ts).observe(seen, row_count())
+    raw.append(envelopes, layout.raw(entity.kind, entity.name))
+    return seen.get
+
+
+def ingest_new(spark: SparkSession, log, entity: Entity, layout: Layout, run_ts: Column) -> dict:
     """Append what the topic holds beyond the last run to the raw layer, and stop.
 
     The offsets of the runs are in the checkpoint of the topic, and the sink's own log says which
-    files count: a run that is repeated, or that follows one that failed, appends every message once.
+    files count: a run that is repeated, or that follows one that failed, appends every message
+    once. A raw layer is filled by this or by `ingest_batch`, not by both, since readers go by the
+    sink's log where there is one.
     """
     query = raw.start_append(
         to_envelope(log.stream(spark, entity.name, "earliest"), run_ts),

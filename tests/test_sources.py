@@ -164,7 +164,7 @@ def test_bounded_ingest_appends_every_message_once(spark, tmp_path):
     from tests.replay import Replay
 
     def ingest(ts=F.lit("2026-07-01 00:00:00").cast("timestamp")):
-        return layers.ingest_batch(spark, log, entity, layout, ts)["rows"]
+        return layers.ingest_new(spark, log, entity, layout, ts)["rows"]
 
     replay, layout = Replay(tmp_path / "log"), Layout(str(tmp_path / "lake"))
     entity, log = schemas.ENTITIES[domain.TOPIC_FULFILLMENT_CENTERS], ReplayLog(str(tmp_path / "log"))
