@@ -57,7 +57,7 @@ def encoded(docs: DataFrame, vocabulary: str, kind: str, end_id: int) -> DataFra
 
 def write(encoded_docs: DataFrame, path: str) -> None:
     """Write encoded documents to `path` in the layout above, each task its own file."""
-    writer = (encoded_docs.write.option("compression", "zstd")
+    writer = (encoded_docs.write.option("compression", "snappy")
               .option("parquet.writer.version", "PARQUET_2_0")
               .option("parquet.block.size", ROW_GROUP_BYTES)
               .option("parquet.page.size", PAGE_BYTES)
