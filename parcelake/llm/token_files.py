@@ -26,6 +26,7 @@ from parcelake.llm import tables, tokens
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 64 << 10
 SLICE_BYTES = 2 << 20       # text encoded at a time: its pieces take some twenty times as much
+CACHE_PIECES = 600_000      # nothing else needs the worker's memory here
 SCHEMA = "shard int, doc_id long, before long, n_tokens long, tokens array<int>"
 _NUMBERS = ("shard", "doc_id", "before", "n_tokens")
 
@@ -36,7 +37,7 @@ def encoded(docs: DataFrame, vocabulary: str, kind: str, end_id: int) -> DataFra
     end = end_id.to_bytes(4, sys.byteorder)
 
     def run(batches):
-        encode = tokens.encoder(vocabulary, kind).encode
+        encode = tokens.encoder(vocabulary, kind, CACHE_PIECES).encode
         shard, before = TaskContext.get().partitionId(), 0
         for part in tables.slices(batches, SLICE_BYTES):
             ids = [i + end for i in encode(tables.raw(part.column("text")))]

@@ -39,7 +39,8 @@ class Encoder:
     """Encoder of one vocabulary file. `kind` says how the file treats blanks: "word" drops white
     space and marks ends of words, "byte" glues a blank to what follows it."""
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, pieces: int | None = None):
+        """`pieces`: how many the cache may hold (default: CACHE_PIECES)."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -47,7 +48,7 @@ class Encoder:
         added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # how a special name begins, in either case, so that no text is folded to look for it
         self.marks = {m for name in added if name for m in (name[:2], name[:2].lower(), name[:2].upper())}
-        self.kind = kind
+        self.kind, self.most = kind, pieces
         self.cache: dict[bytes, bytes] = {}
         names = self.tokenizer.get_vocab()
         self.size = np.zeros(max(names.values()) + 1, np.int64)     # bytes of an id
@@ -75,12 +76,12 @@ class Encoder:
         """Ids of every text."""
         cut = [self.pieces(t) for t in texts]
         found = set().union(*cut)
-        known = self.cache
+        known, most = self.cache, self.most or CACHE_PIECES
         missing = found.difference(known)
-        if len(known) + len(missing) > CACHE_PIECES:
+        if len(known) + len(missing) > most:
             known = self.cache = {p: known[p] for p in found.difference(missing)}
         fresh = self.encode_pieces(missing)
-        if len(missing) <= CACHE_PIECES:
+        if len(missing) <= most:
             known.update(fresh)
         else:
             known = known | fresh
@@ -134,14 +135,14 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in found]
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+_encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, kind: str) -> Encoder:
+def encoder(path: str, kind: str, pieces: int | None = None) -> Encoder:
     """The encoder of this worker."""
-    if (path, kind) not in _encoders:
-        _encoders[path, kind] = Encoder(path, kind)
-    return _encoders[path, kind]
+    if (path, kind, pieces) not in _encoders:
+        _encoders[path, kind, pieces] = Encoder(path, kind, pieces)
+    return _encoders[path, kind, pieces]
 
 
 def vocabulary(name: str) -> str:
