@@ -33,11 +33,12 @@ def padding(total: int, length: int = LENGTH) -> int:
 
 
 def pack(docs: DataFrame, vocabulary: str, kind: str, end_id: int, length: int = LENGTH,
-         with_ids: bool = False) -> DataFrame:
+         with_ids: bool = False,
+         cache_pieces: int | None = None) -> DataFrame:
     """Boundary records of all pieces, with ids_crc32 and, if wished, the ids of each piece."""
     spark = docs.sparkSession
     path = tables.scratch_path(spark, "packing")
-    token_files.write(token_files.encoded(docs, vocabulary, kind, end_id), path)
+    token_files.write(token_files.encoded(docs, vocabulary, kind, end_id, cache_pieces), path)
     numbers = token_files.read(spark, path, "shard", "n_tokens")
     starts = token_files.shard_starts(numbers)
     total = numbers.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).first()["n"]

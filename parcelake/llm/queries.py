@@ -41,7 +41,8 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(tables.read(spark, sf_dir, "documents"),
-                        tokens.vocabulary("byte_bpe_50k.json"), "byte", 1)
+                        tokens.vocabulary("byte_bpe_50k.json"), "byte", 1,
+                        cache_pieces=token_files.CACHE_PIECES)
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,13 +31,14 @@ SCHEMA = "shard int, doc_id long, before long, n_tokens long, tokens array<int>"
 _NUMBERS = ("shard", "doc_id", "before", "n_tokens")
 
 
-def encoded(docs: DataFrame, vocabulary: str, kind: str, end_id: int) -> DataFrame:
+def encoded(docs: DataFrame, vocabulary: str, kind: str, end_id: int,
+            cache_pieces: int | None = None) -> DataFrame:
     """Ids of doc_id, text in the order of the rows; `shard` is the task, `before` counts in it."""
     target = tables.arrow_schema(SCHEMA)
     end = end_id.to_bytes(4, sys.byteorder)
 
     def run(batches):
-        encode = tokens.encoder(vocabulary, kind, CACHE_PIECES).encode
+        encode = tokens.encoder(vocabulary, kind, cache_pieces).encode
         shard, before = TaskContext.get().partitionId(), 0
         for part in tables.slices(batches, SLICE_BYTES):
             ids = [i + end for i in encode(tables.raw(part.column("text")))]
@@ -72,7 +73,7 @@ def write_ordered(docs: DataFrame, path: str, vocabulary: str, kind: str, end_id
     """Encode all documents and write them in ascending doc_id order."""
     chosen = docs.select("doc_id", "text").withColumn("tie", F.xxhash64("text"))
     ordered = chosen.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    write(encoded(ordered, vocabulary, kind, end_id), path)
+    write(encoded(ordered, vocabulary, kind, end_id, CACHE_PIECES), path)
 
 
 def read(spark: SparkSession, path: str, *columns: str) -> DataFrame:
