@@ -34,7 +34,12 @@ EPOCHS = 8
 CHUNK = 64              # windows computed at a time, so that activations stay in cache
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """A character of a Unicode category L; fractions, superscripts and number forms are none."""
+    return any(m[0].isalpha() for m in _MAYBE_LETTER.finditer(text))
 
 
 @dataclass
@@ -159,7 +164,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None:
                   *[F.substring("text", s, F.lit(WINDOW)) for s in starts])).alias("parts"))
               .limit(2 * sample_docs * len(counts)))
     return train([(row["lang"], part.encode()) for row in sample.collect()
-                  for part in row["parts"] if _LETTER.search(part)])
+                  for part in row["parts"] if has_letter(part)])
 
 
 def judge(net: Network | None, column: pa.Array) -> tuple[list[str], list[float]]:
@@ -167,7 +172,7 @@ def judge(net: Network | None, column: pa.Array) -> tuple[list[str], list[float]
     labels, scores = [UNKNOWN] * len(column), [0.0] * len(column)
     if net is None:
         return labels, scores
-    known = [i for i, t in enumerate(column.to_pylist()) if t and _LETTER.search(t)]
+    known = [i for i, t in enumerate(column.to_pylist()) if t and has_letter(t)]
     texts = tables.raw(column)
     span = WINDOW * 4096
 

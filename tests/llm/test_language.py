@@ -60,3 +60,14 @@ def test_special_cases(odd, nothing):
     kept = language.keep_known(odd, net, 0.0)
     assert kept.columns == odd.columns and kept.filter("doc_id in (1, 2, 4)").count() == 0
     assert kept.filter("doc_id = 6").count() == 2
+
+
+def test_letters_are_of_category_l():
+    import unicodedata
+
+    for text in ("½ ²", "Ⅷ", "", "123 _ !", "٣", "①"):
+        assert not language.has_letter(text)
+    for text in ("½ a", "é", "中", "² ß", "ª"):
+        assert language.has_letter(text)
+    for number in range(0x3000):
+        assert language.has_letter(chr(number)) == unicodedata.category(chr(number)).startswith("L")
