@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -16,7 +18,7 @@ from parcelake.llm.html_text import visible_text
     ("<ol start=3><li>a</li><li>b</li></ol>", "3. a\n4. b"),
     ("<ul><li>a<ul><li>b</ul><li>c</ul>", "- a\n  - b\n- c"),
     ("<p>a<script>var x='</p>'</script>b<style>p{}</style></p>", "ab"),
-    ("a<!-- b --><span hidden>c</span><i style='DISPLAY : none'>d</i><b aria-hidden=true>e</b>f", "af"),
+    ("a<!-- b --><span hidden>c</span><i style='DISPLAY : none'>d</i><b aria-hidden=true>e</b>f", "aef"),
     ("<table><tr><td>a<td>b<tr><td>long<td>c</table>", "a     b\nlong  c"),
     ("<table><thead><tr><th>h</thead><tbody><tr><td>x<br>y<td>z</table>", "h\nx  z\ny"),
     ("<table><tr><td colspan=2>ab<td>c<tr><td>a<td>b<td>d</table>", "ab     c\na   b  d"),
@@ -58,12 +60,83 @@ def test_all_of_a_row_is_kept(row, text):
      "</text></svg>end", "see A B end"),
     ("<svg><foreignObject><p>in</p></foreignObject></svg>", "in"), ("<svg hidden><text>A</text></svg>x", "x"),
     ("<desc>shown</desc><text>as</text>is", "shownasis"),
-    ("<span class=katex><math><mi>y</mi></math><span aria-hidden=true>y</span></span>", "y"),
+    ("<span class=katex><math><mi>y</mi></math><span aria-hidden=true>y</span></span>", "yy"),
 ])
 def test_formulas_and_labels_are_shown(source, text):
     assert visible_text(source) == text
 
 
+@pytest.mark.parametrize("source, text", [
+    ("<table><tr><td rowspan=2>A<td>B<td>C<tr><td>D<td>E</table>", "A  B  C\n   D  E"),
+    ("<table><tr><td>A<td rowspan=9 colspan=2>B<tr><td>C<td>D</table>", "A  B\nC     D"),
+    ("<div style='visibility:hidden'>a<b style='visibility: visible !important'>b</b>c</div>", "b"),
+    ("<table><tr><td style=visibility:collapse>a<td>b<tr><td>c<td>d</table>", "   b\nc  d"),
+    ("<i style='display:none;display:inline'>a</i>", "a"), ("<i style='x-display:none'>a</i>", "a"),
+    ("a<textarea>b &amp; <i></textarea>c", "a b & <i> c"), ("<select><option>a<option selected>b</select>c", "b c"),
+    ("<select><optgroup label=x><option>a<option>b</optgroup></select>", "a"),
+    ("<select multiple><option>a<option>b</select>", "a b"), ("<p class=it's>a</p>'b", "a\n\n'b"),
+    ("<a title='x > y' href=\"z>\">t</a>", "t"), ("a<!-->b<!--->c", "abc"), ("<p>a <b", "a <b"),
+    ("<a b=\"c>d<i>e", "de"), ("a <! b", "a <! b"), ("<a b=\"c> d=\"<i>e", "e"),
+])
+def test_grid_visibility_fields_and_quotes(source, text):
+    assert visible_text(source) == text
+
+
+def test_cells_by_a_matrix_of_covered_places():
+    rng = random.Random(9)
+    for _ in range(300):
+        covered, begins, source, number = set(), {}, "<table>", 0
+        height = rng.randint(1, 6)
+        for y in range(height):
+            source += "<tr>"
+            for _ in range(rng.randint(1 if y else 2, 5)):
+                wide, high, word = rng.choice([1, 1, 2, 3]), rng.choice([1, 1, 2, 3]), f"{'w' * rng.randint(1, 9)}{number}"
+                number += 1
+                x = next(x for x in range(100) if (y, x) not in covered)
+                # a cell may run into columns that are taken from above, as in browsers
+                covered |= {(y + j, x + i) for j in range(high) for i in range(wide)}
+                begins[y, x] = word
+                source += f"<td colspan={wide} rowspan={high}>{word}"
+        columns = sorted({x for _, x in begins})
+        at = {}
+        for x in columns:
+            at[x] = sum(2 + max(len(w) for (_, c), w in begins.items() if c == b) for b in columns if b < x)
+        want = []
+        for y in range(height):
+            line = ""
+            for x in columns:
+                if (y, x) in begins:
+                    line = line.ljust(at[x]) + begins[y, x]
+            want.append(line)
+        assert visible_text(source + "</table>") == "\n".join(want).strip("\n"), source
+
+
+GROWING = {
+    "open quotes": lambda n: "<a \"" * n, "open tags": lambda n: "<a b='c" * n, "declarations": lambda n: "<! " * n,
+    "values over tags": lambda n: "<a b=\"> c=\"" * n, "late value": lambda n: "<a " * n + "b=\">\"",
+    "long cell": lambda n: "<table><tr><td>" + "x" * 6 * n + "<td>y" + "<tr><td>a<td>b" * n,
+    "many columns": lambda n: "<table><tr>" + "<td>a" * n + "<tr><td colspan=1000><td>b" * n,
+    "many lines": lambda n: "<table><tr>" + "<td>a" * n + "<td>" + "b<br>" * n,
+    "reaching down": lambda n: "<table><tr><td>a<td rowspan=65534 colspan=1000>b" + "<tr><td>c<td>d" * n,
+    "tables": lambda n: "<table><tr><td>" * n + "x", "columns in columns": lambda n: "<table><tr><td>a<td>" * n + "<p>x" * n,
+    "walled end tags": lambda n: "<b><table><tr><td>" + "<i>" * n + "</b>" * n,
+    "walled paragraphs": lambda n: "<p><button>" + "<i>" * n + "<div></div>" * n,
+    "rows that reach down": lambda n: "<table>" + "<tr><td rowspan=65534>a<td>b" * n,
+}
+
+
+@pytest.mark.parametrize("name", GROWING)
+def test_time_and_text_grow_with_the_page(name):
+    took, size = [], []
+    for n in (1000, 4000):
+        source = GROWING[name](n)
+        started = time.process_time()
+        text = visible_text(source)
+        took.append(time.process_time() - started)
+        size.append(len(text) / len(source))
+    assert took[1] < 10 * max(took[0], 0.05) and size[1] < 1.2 * size[0] + 1
+
+
 class Words(HTMLParser):
     """All text outside script, style, head title and comments, without layout."""
 
