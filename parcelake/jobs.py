@@ -24,7 +24,7 @@ from parcelake.plans import batch, gold, layers, quality, serve
 from parcelake.schemas import ENTITIES
 from parcelake.session import build_session
 from parcelake.sources.log import KafkaLog, ReplayLog
-from parcelake.sources.serving import JdbcServing, ParquetServing
+from parcelake.sources.serving import JdbcTwoPhaseServing, ParquetServing, database_connection
 from parcelake.streaming.ingest import await_any, start_ingest
 from parcelake.streaming.live import start_live
 
@@ -83,7 +83,9 @@ class _Run:
     @property
     def serving(self):
         if self.args.jdbc_url:
-            return JdbcServing(self.args.jdbc_url, _options(self.args.jdbc_option))
+            url, options = self.args.jdbc_url, _options(self.args.jdbc_option)
+            return JdbcTwoPhaseServing(
+                url, options, lambda: database_connection(self.spark, url, options))
         return ParquetServing(self.spark, self.args.root.rstrip("/") + "/serving")
 
 

@@ -28,9 +28,9 @@ def refresh_panels(spark: SparkSession, layout: Layout, serving, as_of: Column)
     shown = {
         "realtime": panels.realtime(live_table(spark, layout).read(), as_of),
         "bi": panels.bi(bi_tables(spark, layout))}
-    for dashboard, tables in shown.items():
-        for title, df in tables.items():
-            serving.refresh(panels.table_name(dashboard, title), panels.banded(title, df))
+    serving.refresh_all({
+        panels.table_name(dashboard, title): panels.banded(title, df)
+        for dashboard, tables in shown.items() for title, df in tables.items()})
 
 
 def refresh_bi(spark: SparkSession, layout: Layout, serving, run_ts: Column) -> None:
@@ -40,6 +40,6 @@ def refresh_bi(spark: SparkSession, layout: Layout, serving, run_ts: Column) ->
     fact = Table(spark, layout.gold("fact_shipment")).read()
     with shuffles_sized_for(spark, fact):
         rolled.overwrite(bi.rollup(fact))
-    for name, df in bi_tables(spark, layout).items():
-        serving.refresh(
-            name, to_contract(df.withColumn("refreshed_at", run_ts), BI_TABLES[name]))
+    serving.refresh_all({
+        name: to_contract(df.withColumn("refreshed_at", run_ts), BI_TABLES[name])
+        for name, df in bi_tables(spark, layout).items()})

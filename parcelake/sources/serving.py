@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -30,6 +30,11 @@ class ParquetServing:
     def refresh(self, name: str, df: DataFrame) -> None:
         Table(self.spark, f"{self.root}/{name}").overwrite(df)
 
+    def refresh_all(self, tables: Mapping[str, DataFrame]) -> None:
+        """Each table appears as a whole; the tables appear one after the other."""
+        for name, df in tables.items():
+            self.refresh(name, df)
+
     def read(self, name: str) -> DataFrame:
         return Table(self.spark, f"{self.root}/{name}").read()
 
@@ -47,3 +52,64 @@ class JdbcServing:
             .option("url", self.url).option("dbtable", name).option("truncate", "true")
             .options(**self.options).save()
         )
+
+
+def database_connection(spark: SparkSession, url: str, options: Mapping[str, str]):
+    """A connection of the driver, for statements that move no rows through it."""
+    jvm = spark._jvm
+    if "driver" in options:
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(options["driver"])
+    properties = jvm.java.util.Properties()
+    for key, value in options.items():
+        properties.setProperty(key, value)
+    return jvm.java.sql.DriverManager.getConnection(url, properties)
+
+
+@dataclass(frozen=True)
+class JdbcTwoPhaseServing(JdbcServing):
+    """Tables that change in one transaction.
+
+    First the executors fill `<name>__next` of every table; a task or job that fails there leaves
+    what is served as it was, and the next refresh empties the rest of it. Then the driver replaces the
+    rows of all tables from their `__next` in one transaction inside the database. A reader sees
+    all of a refresh or nothing of it; if a statement or the commit fails, it is rolled back and raised.
+    A refresh that is repeated ends in the same rows. One refresh at a time.
+    """
+
+    connect: Callable[[], object] = None
+
+    def refresh(self, name: str, df: DataFrame) -> None:
+        self.refresh_all({name: df})
+
+    def refresh_all(self, tables: Mapping[str, DataFrame]) -> None:
+        for name, df in tables.items():
+            super().refresh(f"{name}__next", df)
+            # no row: only makes the served table if it is missing
+            (
+                df.limit(0).write.format("jdbc").mode("append")
+                .option("url", self.url).option("dbtable", name).options(**self.options).save()
+            )
+        connection = self.connect()
+        try:
+            connection.setAutoCommit(False)
+            try:
+                self._replace(connection, tables)
+                connection.commit()
+            except Exception:
+                connection.rollback()
+                raise
+        finally:
+            connection.close()
+
+    @staticmethod
+    def _replace(connection, tables: Mapping[str, DataFrame]) -> None:
+        quote = connection.getMetaData().getIdentifierQuoteString().strip()
+        statement = connection.createStatement()
+        try:
+            for name, df in tables.items():
+                columns = ", ".join(f"{quote}{c}{quote}" for c in df.columns)
+                statement.executeUpdate(f"DELETE FROM {name}")
+                statement.executeUpdate(
+                    f"INSERT INTO {name} ({columns}) SELECT {columns} FROM {name}__next")
+        finally:
+            statement.close()

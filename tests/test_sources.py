@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from parcelake import schemas
 from parcelake.sources import fs, raw
 from parcelake.sources.log import KafkaLog, ReplayLog
-from parcelake.sources.serving import JdbcServing, ParquetServing
+from parcelake.sources.serving import JdbcServing, JdbcTwoPhaseServing, ParquetServing
 from parcelake.sources.tables import Table
 
 
@@ -190,6 +190,136 @@ def test_jdbc_refresh_truncates_instead_of_dropping():
         "truncate": "true", "user": "u", "save": True}
 
 
+class Database:
+    """Tables as lists of rows, with the calls of a connection that the swap needs. Statements count when
+    committed."""
+
+    def __init__(self, fail_at=None):
+        self.tables, self.open, self.log, self.fail_at = {}, None, [], fail_at
+
+    def frame(self, rows, broken=False):
+        database = self
+
+        class Writer:
+            def __init__(self, kept):
+                self.kept, self.how = kept, {}
+
+            def format(self, name):
+                assert name == "jdbc"
+                return self
+
+            def mode(self, mode):
+                self.how["mode"] = mode
+                return self
+
+            def option(self, key, value):
+                self.how[key] = value
+                return self
+
+            def options(self, **more):
+                self.how.update(more)
+                return self
+
+            def save(self):
+                name = self.how["dbtable"]
+                before = [] if self.how["mode"] == "overwrite" else database.tables.get(name, [])
+                if broken and self.kept:        # a task fails after others have written
+                    database.tables[name] = before + self.kept[:1]
+                    raise RuntimeError("task failed")
+                database.tables[name] = before + self.kept
+
+        class Frame:
+            columns = ["a"]
+
+            def __init__(self, kept):
+                self.write, self.kept = Writer(kept), kept
+
+            def limit(self, n):
+                return Frame(self.kept[:n])
+
+        return Frame(rows)
+
+    def connect(self):
+        self.open = None
+        return self
+
+    getMetaData = createStatement = lambda self: self
+
+    def getIdentifierQuoteString(self):
+        return '"'
+
+    def setAutoCommit(self, on):
+        self.open = None if on else {name: list(rows) for name, rows in self.tables.items()}
+
+    def executeUpdate(self, text):
+        assert self.open is not None, "outside a transaction"
+        self.log.append(text)
+        if len(self.log) == self.fail_at:
+            raise RuntimeError("statement failed")
+        words = text.split()
+        if words[0] == "DELETE":
+            self.open[words[2]] = []
+        else:
+            self.open[words[2]] += self.open[words[-1]]
+
+    def commit(self):
+        self.tables, self.open = self.open, None
+
+    def rollback(self):
+        self.open = None
+        self.log.append("rollback")
+
+    def close(self):
+        pass
+
+
+def served(database, *names):
+    return [database.tables.get(name) for name in names]
+
+
+def test_jdbc_tables_change_in_one_transaction():
+    database = Database()
+    serving = JdbcTwoPhaseServing("jdbc:x", {"user": "u"}, database.connect)
+    serving.refresh_all({"t": database.frame([1, 2]), "s": database.frame([5])})
+    assert served(database, "t", "s") == [[1, 2], [5]]
+    assert database.log[:2] == ['DELETE FROM t', 'INSERT INTO t ("a") SELECT "a" FROM t__next']
+    for _ in range(2):
+        serving.refresh_all({"t": database.frame([3]), "s": database.frame([])})
+        assert served(database, "t", "s") == [[3], []]
+
+
+def test_jdbc_tables_stay_when_a_task_fails():
+    database = Database()
+    serving = JdbcTwoPhaseServing("jdbc:x", {}, database.connect)
+    serving.refresh_all({"t": database.frame([1]), "s": database.frame([2])})
+    with pytest.raises(RuntimeError, match="task failed"):
+        serving.refresh_all({"t": database.frame([3]), "s": database.frame([4, 5], broken=True)})
+    assert served(database, "t", "s") == [[1], [2]]
+    serving.refresh_all({"t": database.frame([3]), "s": database.frame([4, 5])})
+    assert served(database, "t", "s") == [[3], [4, 5]]
+
+
+@pytest.mark.parametrize("statement", [1, 2, 3, 4])
+def test_jdbc_tables_stay_when_the_swap_fails(statement):
+    database = Database()
+    serving = JdbcTwoPhaseServing("jdbc:x", {}, database.connect)
+    serving.refresh_all({"t": database.frame([1]), "s": database.frame([2])})
+    database.fail_at = len(database.log) + statement
+    with pytest.raises(RuntimeError, match="statement failed"):
+        serving.refresh_all({"t": database.frame([3]), "s": database.frame([4])})
+    assert served(database, "t", "s") == [[1], [2]] and database.log[-1] == "rollback"
+
+
+def test_a_failed_refresh_of_files_is_not_seen(spark, make, tmp_path):
+    serving = ParquetServing(spark, str(tmp_path))
+    serving.refresh("bi", make("a int", (1,), (2,)))
+    broken = spark.range(100, numPartitions=4).selectExpr(
+        "cast(if(id = 99, raise_error('task failed'), id) as int) AS a")
+    with pytest.raises(Exception, match="task failed"):
+        serving.refresh("bi", broken)
+    assert sorted(r.a for r in serving.read("bi").collect()) == [1, 2]
+
+
 def test_serving_refresh_replaces(spark, make, tmp_path):
     serving = ParquetServing(spark, str(tmp_path))
     for n in (1, 2):
