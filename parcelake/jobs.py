@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 import os
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession, functions as F
@@ -25,6 +26,7 @@ from parcelake.schemas import ENTITIES
 from parcelake.session import build_session
 from parcelake.sources.log import KafkaLog, ReplayLog
 from parcelake.sources.serving import JdbcTwoPhaseServing, ParquetServing, database_connection
+from parcelake.streaming.audit import BatchAudit
 from parcelake.streaming.ingest import await_any, start_ingest
 from parcelake.streaming.live import start_live
 
@@ -80,6 +82,16 @@ class _Run:
             return ReplayLog(self.args.replay)
         raise SystemExit("this job reads the message log: give --kafka or --replay")
 
+    @contextmanager
+    def audited(self):
+        """Counts of the streams' batches are kept while this lasts."""
+        audit = BatchAudit(self.spark, self.layout)
+        self.spark.streams.addListener(audit)
+        try:
+            yield audit
+        finally:
+            self.spark.streams.removeListener(audit)
+
     @property
     def serving(self):
         if self.args.jdbc_url:
@@ -95,12 +107,14 @@ def _ingest_master(run: _Run) -> None:
 
 
 def _ingest_events(run: _Run) -> None:
-    queries = start_ingest(run.spark, run.log, run.layout, trigger=run.trigger)
-    if run.args.once:
-        for query in queries:
-            query.awaitTermination()
-    else:
-        await_any(run.spark)
+    with run.audited() as audit:
+        queries = start_ingest(run.spark, run.log, run.layout, trigger=run.trigger)
+        if run.args.once:
+            for query in queries:
+                query.awaitTermination()
+                audit.finish(query)
+        else:
+            await_any(run.spark)
 
 
 def _bronze(run: _Run) -> None:
@@ -138,8 +152,11 @@ def _checks(run: _Run) -> None:
 
 
 def _live(run: _Run) -> None:
-    start_live(run.spark, run.log, run.layout, once=run.args.once,
-               since="earliest" if run.args.once else "latest").awaitTermination()
+    with run.audited() as audit:
+        query = start_live(run.spark, run.log, run.layout, once=run.args.once,
+                           since="earliest" if run.args.once else "latest", audit=audit)
+        query.awaitTermination()
+        audit.finish(query)
 
 
 JOBS: dict[str, Callable[[_Run], None]] = {

@@ -42,5 +42,8 @@ class Layout:
     def alerts(self) -> str:
         return self._at("live", "alerts")
 
+    def audit(self) -> str:
+        return self._at("audit", "batches")
+
     def checkpoint(self, query: str) -> str:
         return self._at("checkpoints", query)

@@ -43,6 +43,18 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def write_text(spark: SparkSession, directory: str, name: str, text: str) -> None:
+    """A small file that readers see as a whole or not at all; one of that name is replaced."""
+    fs, target = _open(spark, f"{directory}/{name}")
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(f"{directory}/_{name}")
+    out = fs.create(hidden, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(target, False)
+    if not fs.rename(hidden, target):
+        raise OSError(f"could not write {directory}/{name}")
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _open(spark, path)
     fs.mkdirs(hadoop_path)

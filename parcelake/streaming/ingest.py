@@ -12,6 +12,7 @@ from parcelake.layout import Layout
 from parcelake.operators.parse import to_envelope
 from parcelake.schemas import ENTITIES
 from parcelake.sources import raw
+from parcelake.streaming.audit import observed
 
 
 def start_ingest(spark: SparkSession, log, layout: Layout,
@@ -20,7 +21,7 @@ def start_ingest(spark: SparkSession, log, layout: Layout,
     """One query per topic, all running at once."""
     return [
         raw.start_append(
-            to_envelope(log.stream(spark, topic, "earliest"), F.current_date()),
+            observed(to_envelope(log.stream(spark, topic, "earliest"), F.current_date()), f"ingest {topic}"),
             layout.raw(ENTITIES[topic].kind, topic),
             layout.checkpoint(f"ingest_{topic}"), trigger)
         for topic in topics

@@ -15,10 +15,10 @@ is left.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelake import domain
@@ -31,11 +31,14 @@ from parcelake.operators.parse import cast_times, parse_payload
 from parcelake.plans.gold import silver_of
 from parcelake.schemas import ENTITIES, SHIPMENT_LIVE
 from parcelake.sources import fs
+from parcelake.streaming.audit import BatchAudit, observed
 from parcelake.streaming.state import (
     CHANGED, AlertLog, Batches, LiveTable, due_index, live_table, views)
 
 EVENTS = ENTITIES[domain.TOPIC_SHIPMENT_EVENTS]
 
+AUDIT = "live events"
+
 Lookups = Callable[[], tuple[DataFrame, DataFrame]]
 
 
@@ -50,15 +53,16 @@ def micros(at: datetime) -> int:
 def parse_events(log_rows: DataFrame) -> DataFrame:
     """Log rows -> typed events that have a shipment id and readable times.
 
-    What is left out here is still in the raw layer, and bronze and silver quarantine it.
+    What is left out here is still in the raw layer, and bronze and silver quarantine it. As a
+    stream, rows and left out rows are counted under the name AUDIT.
     """
     parsed = parse_payload(
         log_rows.select(F.col("value").cast("string").alias("json_payload")), EVENTS.payload)
-    good = parsed.where("NOT quarantined").where(F.col(EVENTS.key).isNotNull())
-    return (
-        cast_times(good.drop("quarantined", "json_payload"), EVENTS.times, "_bad")
-        .where("NOT _bad").drop("_bad")
-    )
+    typed = cast_times(parsed.drop("json_payload"), EVENTS.times, "_bad")
+    left_out = F.col("quarantined") | F.col(EVENTS.key).isNull() | F.col("_bad")
+    if typed.isStreaming:
+        typed = observed(typed, AUDIT, left_out)
+    return typed.where(~left_out).drop("quarantined", "_bad")
 
 
 def silver_lookups(spark: SparkSession, layout: Layout) -> Lookups:
@@ -189,6 +193,7 @@ class LiveBatch:
     layout: Layout
     lookups: Lookups
     clock: Callable[[int], datetime] = wall_clock
+    changed: dict[int, int] = field(default_factory=dict)       # batch -> rows written, of the last few
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # Used by the upsert, the views and the alerts. A lost cached piece is computed again.
@@ -203,7 +208,11 @@ class LiveBatch:
         now = F.lit(at).cast("timestamp")
         results = after_events(states, *self.lookups(), now).persist()
         try:
-            live_table(self.spark, self.layout).write_changes(batch_id, written(results, batch_id))
+            seen = Observation("changed rows")
+            live_table(self.spark, self.layout).write_changes(
+                batch_id, written(results, batch_id).observe(seen, F.count(F.lit(1)).alias("rows")))
+            self.changed[batch_id] = seen.get["rows"]
+            self.changed.pop(batch_id - 100, None)
             kept = self._maintain(results.where("new IS NOT NULL"), batch_id, now)
             sent = results.select(F.explode("found").alias("_alert")).select("_alert.*").unionByName(
                 maintained.fired_now(kept.read("backlog", batch_id), kept.read("overdue", batch_id), now))
@@ -251,13 +260,17 @@ def written_rows(spark: SparkSession, live: LiveTable) -> DataFrame:
 
 def start_live(spark: SparkSession, log, layout: Layout, *, since: str = "latest",
                trigger: dict | None = None, once: bool = False,
-               clock: Callable[[int], datetime] = wall_clock) -> StreamingQuery:
+               clock: Callable[[int], datetime] = wall_clock,
+               audit: BatchAudit | None = None) -> StreamingQuery:
     """Start the live query; with `once`, return when it has caught up and was stopped."""
     events = parse_events(log.stream(spark, domain.TOPIC_SHIPMENT_EVENTS, since))
     states = shipment_state(events, written_rows(spark, live_table(spark, layout)))
+    handler = LiveBatch(spark, layout, silver_lookups(spark, layout), clock)
+    if audit is not None:
+        audit.written[AUDIT] = lambda batch_id: handler.changed.get(batch_id, 0)
     query = (
         states.writeStream.outputMode("update")
-        .foreachBatch(LiveBatch(spark, layout, silver_lookups(spark, layout), clock))
+        .foreachBatch(handler)
         .option("checkpointLocation", layout.checkpoint("live"))
         .trigger(**({"processingTime": "0 seconds"} if once else trigger or {"processingTime": "10 seconds"}))
         .start()
