@@ -3,7 +3,10 @@
 FP-growth (Spark ML, in the JVM) finds token combinations of labelled URLs that go with a verdict.
 Rules below `MIN_SUPPORT` or `MIN_CONFIDENCE`, or no surer than a rule of some of their own tokens
 are pruned; a rule may have any number of tokens. Each mined rule is posted under its rarest token; the
-distinct URLs that no listed rule decides look their tokens up there. The rule of the greatest
+distinct URLs that no listed rule decides look their tokens up there. Tokens that stand in exactly the same
+labelled URLs (the parameters of one template) are mined as one, and a URL with any of them has it: rules that
+differ only in such tokens say the same equally surely, so verdicts are those of mining every token, without the
+2^n combinations of n such tokens. The rule of the greatest
 confidence wins, then of the greatest support, then block, then the first by tokens.
 
 Tokens: host labels (h:), path segments (p:) and query keys (q:), runs of digits as #.
@@ -102,6 +105,29 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     return posted.join(beaten, ["antecedent", "says"], "left_anti")
 
 
+def folds(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> Column:
+    """A map from each token of enough labelled rows to the first of those in exactly the same rows.
+
+    Rows of tokens are told apart by two 64-bit hashes, summed exactly. The map has at most
+    (mean tokens of a row) / min_support entries, however many rows there are.
+    """
+    least = F.ceil(F.lit(min_support) * labelled.agg(F.count(F.lit(1))).scalar())
+    sums = [F.sum(F.xxhash64(F.lit(seed), "tokens").cast("decimal(20,0)")).alias(f"in_{seed}") for seed in (1, 2)]
+    alike = (labelled.select("tokens", F.explode("tokens").alias("token")).groupBy("token")
+             .agg(F.count(F.lit(1)).alias("freq"), *sums).filter(F.col("freq") >= least)
+             .groupBy("freq", "in_1", "in_2")
+             .agg(F.min("token").alias("first"), F.collect_list("token").alias("same")))
+    pairs = alike.select(F.explode("same").alias("token"), "first")
+    return pairs.agg(F.map_from_entries(F.collect_list(F.struct("token", "first")))).scalar()
+
+
+def folded(rows: DataFrame, firsts: Column) -> DataFrame:
+    """`rows` with each of `tokens` replaced by what stands for it; tokens without it are in no rule."""
+    named = F.transform("tokens", lambda t: F.element_at(F.col("_firsts"), t))
+    return (rows.withColumn("_firsts", firsts)
+            .withColumn("tokens", F.array_distinct(F.array_compact(named))).drop("_firsts"))
+
+
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """url and mined verdict of the urls (distinct, with tokens) that some rule fits."""
     candidates = (urls.withColumn("post", F.explode("tokens")).join(rules, "post")
@@ -115,12 +141,14 @@ def judge(pages: DataFrame, listed: list[tuple[str, str]] | None = None, min_sup
           min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """page_id, host, path, rule, verdict of every page."""
     known = with_listed(pages, LISTED if listed is None else listed)
-    rules = mine(known.filter(F.col("listed").isNotNull()).select(
-        tokens().alias("tokens"), F.col("listed").alias("says")), min_support, min_confidence)
+    labelled = known.filter(F.col("listed").isNotNull()).select(
+        tokens().alias("tokens"), F.col("listed").alias("says"))
+    firsts = folds(labelled, min_support)
+    rules = mine(folded(labelled, firsts), min_support, min_confidence)
     open_urls = (known.filter(F.col("listed").isNull() & F.col("url").isNotNull())
                  .select("url", "host", "path", "query").distinct()
                  .select("url", tokens().alias("tokens")))
-    return (known.join(match(open_urls, rules), "url", "left")
+    return (known.join(match(folded(open_urls, firsts), rules), "url", "left")
             .select("page_id", "host", "path", "rule",
                     F.coalesce("listed", "mined", F.lit(DEFAULT)).alias("verdict")))
 

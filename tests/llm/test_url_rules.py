@@ -81,6 +81,40 @@ def test_rules_of_any_size_by_brute_force(spark):
     assert [r["mined"] for r in url_rules.match(urls, url_rules.mine(frame)).collect()] == ["block"]
 
 
+def brute_verdict(rules, tokens):
+    fits = [(-q[0], -q[1], says != "block", own, says) for (own, says), q in rules.items() if set(own) <= set(tokens)]
+    return min(fits)[-1] if fits else None
+
+
+def test_folded_tokens_give_the_verdicts_of_all_tokens(spark):
+    rng = random.Random(5)
+    # tokens that share their rows: a with b and c, d with e, g with h
+    labelled = []
+    for _ in range(300):
+        own = rng.choice([["a", "b", "c"], []]) + rng.choice([["d", "e"], ["g", "h"], []]) + rng.sample("uvwx", 2)
+        rng.shuffle(own)
+        sure = {"a", "d"} <= set(own) or "u" in own and not {"a", "g"} & set(own)
+        labelled.append((own, "block" if sure ^ (rng.random() < 0.1) else "allow"))
+    frame = spark.createDataFrame(labelled, "tokens array<string>, says string")
+    every = [[t for t in "abcdeghuvwx" if rng.random() < 0.4] for _ in range(200)]
+    urls = spark.createDataFrame([(str(k), t) for k, t in enumerate(every)], "url string, tokens array<string>")
+    firsts = url_rules.folds(frame)
+    rules = url_rules.mine(url_rules.folded(frame, firsts))
+    found = {r["url"]: r["mined"] for r in url_rules.match(url_rules.folded(urls, firsts), rules).collect()}
+    brute = brute_rules(labelled, url_rules.MIN_SUPPORT, url_rules.MIN_CONFIDENCE)
+    assert {str(k): v for k, t in enumerate(every) if (v := brute_verdict(brute, t))} == found
+    assert len(set(found.values())) == 2
+
+
+def test_templates_with_many_parameters(spark):
+    query = "&".join(f"key{k}={k}" for k in range(40))
+    pages = spark.createDataFrame(
+        [(k, f"http://a.net/{k}?{query}") for k in range(40)] + [(k, f"http://b.org/fr/{k}") for k in range(40, 80)]
+        + [(80, "http://c.com/?key7=1"), (81, "http://c.com/?key41=1")], "page_id long, url string")
+    verdicts = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages).collect()}
+    assert verdicts[80] == "block" and verdicts[81] == "allow"
+
+
 def test_special_cases(spark):
     long = "http://x.com/" + "/".join(f"s{k}" for k in range(3000))
     pages = spark.createDataFrame(
