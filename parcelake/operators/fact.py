@@ -132,6 +132,20 @@ def with_measures(shipments: DataFrame) -> DataFrame:
     )
 
 
+# Partitions of shipments that have no date key of their own.
+UNRECEIVED, OFF_CALENDAR = 0, -1
+
+
+def receipt_part(received: Column | str = "fc_received_at") -> Column:
+    """Partition of a shipment: the date key of its receipt at the center."""
+    day = (F.col(received) if isinstance(received, str) else received).cast("date")
+    known = day.between(F.lit(domain.CALENDAR_START).cast("date"), F.lit(domain.CALENDAR_END).cast("date"))
+    return (
+        F.when(day.isNull(), UNRECEIVED)
+        .when(known, F.date_format(day, "yyyyMMdd").cast("int"))
+        .otherwise(OFF_CALENDAR))
+
+
 def with_date_key(shipments: DataFrame, calendar: DataFrame, as_of: Column) -> DataFrame:
     """date_key of the day the shipment reached its center, else of `as_of`; null off-calendar."""
     days = calendar.select(F.col("full_date").alias("_day"), "date_key")

@@ -1,4 +1,4 @@
-"""Tables that are replaced as a whole: each overwrite is a new version directory.
+"""Tables that are replaced as a whole (each overwrite is a new version directory) or by partition.
 
 Parquet cannot overwrite what the same job reads, and a half-written table must never be
 seen. So an overwrite writes `v=<n+1>` and readers take the highest version with a commit
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from parcelake.sources import fs
 
@@ -62,3 +62,28 @@ class Table:
         writer.save(f"{self.path}/v={max(taken, default=0) + 1}")
         for old in self.versions()[:-self.keep]:
             fs.remove(self.spark, f"{self.path}/v={old}")
+
+    def replace(self, rows: DataFrame, by: str, parts: Sequence[int]) -> None:
+        """Replace the partitions `parts` of a table partitioned by `by`; the others are not touched.
+
+        `rows` may be read from these partitions, and hold rows of no others. It happens in place in
+        the newest version: until it has ended, readers may see some partitions replaced and others
+        not, and a run that failed has to be repeated.
+        """
+        if not parts:
+            return
+        writer = rows.write.mode("overwrite").format(self.fmt)
+        if not self._versioned:
+            listed = ", ".join(str(p) for p in parts)
+            writer.option("replaceWhere", f"{by} IN ({listed})").save(self.path)
+            return
+        seen = Observation(f"partitions of {self.path}")
+        path = f"{self.path}/v={self.versions()[-1]}"
+        (
+            rows.observe(seen, F.collect_set(by).alias("written"))
+            .write.mode("overwrite").format(self.fmt).partitionBy(by)
+            .option("partitionOverwriteMode", "dynamic").save(path)
+        )
+        # What was replaced by nothing is still there.
+        for emptied in set(parts) - set(seen.get.get("written", [])):
+            fs.remove(self.spark, f"{path}/{by}={emptied}")
