@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parcelake import domain
 from parcelake.functions import by_code, elapsed, round_to, stage_number
 from parcelake.operators.keyed import greatest_row, hot_hashes, latest_per_key, lookup
-from parcelake.operators.scd2 import current
+from parcelake.operators.scd2 import as_of_version, current
 
 # output column: (first or last time the stage was seen, stage)
 STAGE_TIMES = {
@@ -146,10 +146,14 @@ def receipt_part(received: Column | str = "fc_received_at") -> Column:
         .otherwise(OFF_CALENDAR))
 
 
+def _business_day(as_of: Column) -> Column:
+    return F.coalesce(F.col("fc_received_at").cast("date"), as_of.cast("date"))
+
+
 def with_date_key(shipments: DataFrame, calendar: DataFrame, as_of: Column) -> DataFrame:
     """date_key of the day the shipment reached its center, else of `as_of`; null off-calendar."""
     days = calendar.select(F.col("full_date").alias("_day"), "date_key")
-    day = F.coalesce(F.col("fc_received_at").cast("date"), as_of.cast("date"))
+    day = _business_day(as_of)
     # The calendar is a fixed 2557 rows, whatever the size of the data.
     return (
         shipments.withColumn("_day", day)
@@ -162,6 +166,11 @@ def _surrogate(dim: DataFrame, natural: str, row_key: str, alias: str) -> DataFr
     return current(dim).select(F.col(natural).alias(row_key), F.col("surrogate_key").alias(alias))
 
 
+def _versions(dim: DataFrame, natural: str, row_key: str, alias: str) -> DataFrame:
+    return dim.select(F.col(natural).alias(row_key), F.col("surrogate_key").alias(alias),
+                      "effective_from", "effective_to")
+
+
 def fact_shipment(
     states: DataFrame,
     orders: DataFrame,
@@ -172,9 +181,13 @@ def fact_shipment(
     dim_customer: DataFrame,
     calendar: DataFrame,
     as_of: Column,
+    at_receipt: bool = False,
 ) -> DataFrame:
     """The fact from `shipment_states`, with the keys of the current dimension versions.
 
+    `at_receipt` takes the versions valid on the day of receipt at the center instead (without
+    receipt: on `as_of`), null where there was none; later versions then leave old rows alone.
+
     A dimension that is too large to broadcast is looked up by shuffle; its hot keys are then
     counted on the states or the orders, so these should be tables, not unfinished plans.
     """
@@ -191,12 +204,19 @@ def fact_shipment(
 
     shipments = add(shipments, vehicles.select("vehicle_id", "vehicle_type"), "vehicle_id")
     shipments = with_measures(shipments)
-    shipments = add(shipments, _surrogate(
-        dim_fc, "fulfillment_center_id", "fc_id", "fc_sk"), "fc_id")
-    shipments = add(shipments, _surrogate(
-        dim_ds, "delivery_station_id", "ds_id", "ds_sk"), "ds_id")
-    shipments = add(shipments, _surrogate(
-        dim_vehicle, "vehicle_id", "vehicle_id", "vehicle_sk"), "vehicle_id")
-    shipments = add(shipments, _surrogate(
-        dim_customer, "customer_id", "customer_id", "customer_sk"), "customer_id")
+    if at_receipt:
+        shipments = shipments.withColumn("_on", _business_day(as_of))
+        asked_of_states = flat.withColumn("_on", _business_day(as_of))
+        asked = asked_of_states.join(order_per_shipment(orders), "shipment_id", "left")
+    for dim, natural, key, sk in (
+            (dim_fc, "fulfillment_center_id", "fc_id", "fc_sk"),
+            (dim_ds, "delivery_station_id", "ds_id", "ds_sk"),
+            (dim_vehicle, "vehicle_id", "vehicle_id", "vehicle_sk"),
+            (dim_customer, "customer_id", "customer_id", "customer_sk")):
+        if at_receipt:
+            shipments = as_of_version(
+                shipments, _versions(dim, natural, key, sk), key, "_on", [sk], spread_by="shipment_id",
+                asked=asked if key == "customer_id" else asked_of_states)
+        else:
+            shipments = add(shipments, _surrogate(dim, natural, key, sk), key)
     return with_date_key(shipments, calendar, as_of).select(*FACT_COLUMNS)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelake import domain
 from parcelake.functions import fingerprint, surrogate_key
-from parcelake.operators.keyed import lookup
+from parcelake.operators.keyed import hot_hashes, lookup
+from parcelake.sizing import fits_broadcast
 
 VERSION_COLUMNS = ("row_hash", "effective_from", "effective_to", "is_current", "surrogate_key")
 
@@ -109,25 +110,78 @@ def current(table: DataFrame) -> DataFrame:
     return table.where("is_current")
 
 
+# Days of a key that are sorted together when versions are carried forward.
+SPAN_DAYS = 64
+
+
 def as_of_version(rows: DataFrame, table: DataFrame, key: str, on_date: str,
-                  columns: Sequence[str], spread_by: str) -> DataFrame:
+                  columns: Sequence[str], spread_by: str,
+                  asked: DataFrame | None = None) -> DataFrame:
     """Left lookup of the version that was valid on `on_date` (from inclusive, to exclusive).
 
     Versions that were opened and closed on one day were never valid and are left out. What
-    remains of a key covers disjoint days, so it is at most one version per calendar day: that
-    bounds the list kept per key, and makes this a lookup on a unique key.
+    remains of a key covers disjoint days, so it is at most one version per calendar day. A table
+    of checked size is broadcast with its versions as a list per key; a larger one is resolved by
+    `as_of_sorted`. Rows without key or date find nothing. `asked` is explained there.
     """
-    versions = (
-        table.where("effective_from < effective_to")
-        .groupBy(key)
-        .agg(F.collect_list(F.struct("effective_from", "effective_to", *columns))
-             .alias("_versions"))
-    )
-    valid = F.filter(
+    valid = table.where("effective_from < effective_to").where(F.col(key).isNotNull())
+    versions = valid.groupBy(key).agg(
+        F.collect_list(F.struct("effective_from", "effective_to", *columns)).alias("_versions"))
+    if not fits_broadcast(versions):
+        return as_of_sorted(rows, table, key, on_date, columns, spread_by, asked)
+    held = F.filter(
         "_versions",
         lambda v: (v["effective_from"] <= F.col(on_date)) & (F.col(on_date) < v["effective_to"]))
     return (
         lookup(rows, versions, key, spread_by=spread_by)
-        .withColumn("_found", F.try_element_at(valid, F.lit(1)))
+        .withColumn("_found", F.try_element_at(held, F.lit(1)))
         .select(*rows.columns, *[F.col(f"_found.{c}").alias(c) for c in columns])
     )
+
+
+def as_of_sorted(rows: DataFrame, table: DataFrame, key: str, on_date: str,
+                 columns: Sequence[str], spread_by: str,
+                 asked: DataFrame | None = None) -> DataFrame:
+    """`as_of_version` for tables of any size, as one pass over days in order.
+
+    The asked (key, day) pairs, each once whatever the number of their rows, are put among the days
+    on which versions start, and the last version is carried forward: within spans of SPAN_DAYS days,
+    and from span to span by the last version of each span. So a group holds at most a span's days,
+    or a key's spans, however many versions or rows the key has. Rows then look their pair up.
+
+    `asked` holds the same keys and dates as `rows` (default: `rows`) and is read twice. Where lookups
+    are chained it should be a table or a cheap plan, or each link would compute all before it again.
+    """
+    source = rows if asked is None else asked
+    opened = (
+        table.where("effective_from < effective_to").where(F.col(key).isNotNull())
+        .select(F.col(key).alias("_key"), F.col("effective_from").alias("_day"),
+                F.struct("effective_to", *columns).alias("_version"), F.lit(False).alias("_asked")))
+    date = F.col(on_date).cast("date")
+    pairs = source.where(F.col(key).isNotNull() & date.isNotNull()).select(
+        F.col(key).alias("_key"), date.alias("_day"),
+        F.lit(None).cast(opened.schema["_version"].dataType).alias("_version"),
+        F.lit(True).alias("_asked"))
+    points = (
+        opened.unionByName(pairs).groupBy("_key", "_day")
+        .agg(F.any_value("_version", True).alias("_version"), F.bool_or("_asked").alias("_asked"))
+        .withColumn("_span", F.floor(F.unix_date("_day") / F.lit(SPAN_DAYS))))
+    up_to_here = Window.partitionBy("_key", "_span").orderBy("_day").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    spans_before = Window.partitionBy("_key").orderBy("_span").rowsBetween(
+        Window.unboundedPreceding, -1)
+    starts = F.when(F.col("_version").isNotNull(), F.col("_day"))
+    carried = (
+        points.groupBy("_key", "_span").agg(F.max_by("_version", starts).alias("_last"))
+        .select("_key", "_span", F.last("_last", True).over(spans_before).alias("_before")))
+    found = (
+        points.withColumn("_inside", F.last("_version", True).over(up_to_here))
+        .join(carried, ["_key", "_span"])
+        .withColumn("_found", F.coalesce("_inside", "_before"))
+        .where(F.col("_asked") & (F.col("_day") < F.col("_found.effective_to")))
+        .select(F.struct("_key", "_day").alias("_at"), *[F.col(f"_found.{c}").alias(c) for c in columns]))
+    pair = F.when(F.col(key).isNotNull() & date.isNotNull(),
+                  F.struct(F.col(key).alias("_key"), date.alias("_day")))
+    hot = hot_hashes(source.select(pair.alias("_at")), "_at")
+    return lookup(rows.withColumn("_at", pair), found, "_at", spread_by=spread_by, hot=hot).select(
+        *rows.columns, *columns)

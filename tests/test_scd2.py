@@ -1,8 +1,10 @@
 import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from parcelake import sizing
 from parcelake.operators import scd2
 from parcelake.operators.scd2 import Dimension
 
@@ -129,3 +131,42 @@ def test_as_of_picks_the_version_of_the_day(make, rows):
     out = rows(scd2.as_of_version(facts, df, "k", "d", ["a"], spread_by="id"), "id")
     assert {i: r["a"] for i, r in out.items()} == {
         1: None, 2: "x", 3: "x", 4: "z", 5: None, 6: None, 7: None}
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_as_of_by_sorted_days_equals_a_search_of_every_version(make, rows, monkeypatch, limit):
+    """Keys with gaps, versions that were never valid, days before, between and after, nulls, repeats,
+    a key with a version for each of 300 days, and one key with most rows."""
+    if limit is not None:
+        monkeypatch.setattr(sizing, "BROADCAST_BYTES", limit)
+    rng = random.Random(5)
+    day = lambda n: str(date(2024, 1, 1) + timedelta(days=n))
+    versions = [("busy", day(n), day(n + 1), f"v{n}") for n in range(300)]
+    for key in ("a", "b", "c"):
+        cuts = sorted(rng.sample(range(400), 6))
+        versions += [(key, day(x), day(y), f"{key}{x}") for x, y in zip(cuts[::2], cuts[1::2])]
+        versions.append((key, day(cuts[1]), day(cuts[1]), "never"))
+    versions += [("a", day(500), "9999-12-31", "last"), (None, day(0), day(900), "no key")]
+    facts = [(i, rng.choice(["a", "b", "c", "busy", "busy", "busy", "none", None]),
+              rng.choice([None, *map(day, range(-5, 600, 3))])) for i in range(400)]
+    table = make("k string, effective_from date, effective_to date, v string", *versions)
+    asked = make("id int, k string, d date", *facts)
+    want = {i: next((v for key, start, end, v in versions
+                     if key == k and None not in (k, d) and start <= d < end), None)
+            for i, k, d in facts}
+    for resolve in (scd2.as_of_sorted, scd2.as_of_version):
+        out = rows(resolve(asked, table, "k", "d", ["v"], spread_by="id"))
+        assert len(out) == 400 and {r["id"]: r["v"] for r in out} == want
+
+
+def test_no_group_of_the_sorted_pass_grows_with_versions_or_rows(spark, make):
+    """100 000 versions of one key, asked for by 100 000 rows of one day."""
+    days = spark.range(100_000).select(
+        F.lit("k").alias("k"), F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int")).alias("effective_from"),
+        F.date_add(F.lit("1800-01-02").cast("date"), F.col("id").cast("int")).alias("effective_to"),
+        F.col("id").alias("v"))
+    asked = spark.range(100_000).select("id", F.lit("k").alias("k"), F.lit("1800-01-11").cast("date").alias("d"))
+    out = scd2.as_of_sorted(asked, days, "k", "d", ["v"], spread_by="id")
+    assert out.groupBy("v").count().collect() == [(10, 100_000)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan

@@ -325,13 +325,45 @@ def replaced(columns: tuple[str, ...], source: str) -> str:
     return f"SELECT * REPLACE ({changes}) FROM {source}"
 
 
-def facility_history(source: str, dim: str, key: str, tracked: tuple[str, ...]) -> str:
+def facility_versions(source: str, dim: str, key: str, tracked: tuple[str, ...]) -> str:
     columns = ", ".join((key, *tracked))
     grown = f"""(SELECT * REPLACE (CASE WHEN daily_capacity > 5000
       THEN CAST(floor(daily_capacity + daily_capacity / 10.0) AS INTEGER)
       ELSE daily_capacity END AS daily_capacity) FROM {source})"""
-    merged = second_load(dim, grown, key, tracked, "2024-02-01", columns)
-    return replaced(VERSION_TEXT, f"({merged})")
+    return second_load(dim, grown, key, tracked, "2024-02-01", columns)
+
+
+def facility_history(source: str, dim: str, key: str, tracked: tuple[str, ...]) -> str:
+    return replaced(VERSION_TEXT, f"({facility_versions(source, dim, key, tracked)})")
+
+
+VEHICLE_VERSIONS = second_load(
+    "dim_veh", "(SELECT * REPLACE (CASE status WHEN 'IN_USE' THEN 'AVAILABLE' ELSE status END"
+    " AS status) FROM vehicle)", "vehicle_id", VEH_TRACKED, "2024-02-01",
+    ", ".join(("vehicle_id", *VEH_TRACKED)))
+
+
+def fact_keys(held: str) -> str:
+    """Shipments with the keys of the versions for which `held` is true."""
+    return f"""
+    , fc2 AS ({facility_versions("fc", "dim_fc", "fulfillment_center_id", FC_TRACKED)}),
+    ds2 AS ({facility_versions("ds", "dim_ds", "delivery_station_id", DS_TRACKED)}),
+    veh2 AS ({VEHICLE_VERSIONS}),
+    shipment AS (SELECT shipment_id, fc_id, ds_id, vehicle_id, customer_id, date_key,
+      CAST(coalesce(fc_received_at, TIMESTAMP '2027-06-30 00:00:00') AS DATE) AS day FROM fact)
+    SELECT shipment_id, date_key, f.surrogate_key AS fc_sk, d.surrogate_key AS ds_sk,
+      v.surrogate_key AS vehicle_sk, c.surrogate_key AS customer_sk
+    FROM shipment s
+    LEFT JOIN fc2 f ON f.fulfillment_center_id = s.fc_id AND {held.format("f")}
+    LEFT JOIN ds2 d ON d.delivery_station_id = s.ds_id AND {held.format("d")}
+    LEFT JOIN veh2 v ON v.vehicle_id = s.vehicle_id AND {held.format("v")}
+    LEFT JOIN dim_cust c ON c.customer_id = s.customer_id AND {held.format("c")}"""
+
+
+def colour(value: str, first: float, second: float | None, colours: str) -> str:
+    low, *middle, high = colours.split()
+    between = f"WHEN {value} < {second} THEN '{middle[0]}'" if middle else ""
+    return f"CASE WHEN {value} IS NULL THEN NULL WHEN {value} < {first} THEN '{low}' {between} ELSE '{high}' END"
 
 
 def backlog(stages: str, name: str) -> str:
@@ -432,12 +464,15 @@ ORACLES = {
         FROM trade t LEFT JOIN history h ON h.customer_id = t.customer_id
           AND CAST(t.event_timestamp AS DATE) >= h.effective_from
           AND CAST(t.event_timestamp AS DATE) < h.effective_to"""),
+    "q_scd2_asof_sorted": over_views("""
+        SELECT t.order_id, t.customer_id, CAST(CAST(t.event_timestamp AS DATE) AS VARCHAR)
+            AS order_date, h.customer_tier, h.row_hash
+        FROM trade t LEFT JOIN history h ON h.customer_id = t.customer_id
+          AND CAST(t.event_timestamp AS DATE) >= h.effective_from
+          AND CAST(t.event_timestamp AS DATE) < h.effective_to"""),
     "q_dim_fc": over_views(facility_history("fc", "dim_fc", "fulfillment_center_id", FC_TRACKED)),
     "q_dim_ds": over_views(facility_history("ds", "dim_ds", "delivery_station_id", DS_TRACKED)),
-    "q_dim_vehicle": over_views(replaced(VERSION_TEXT, "(" + second_load(
-        "dim_veh", "(SELECT * REPLACE (CASE status WHEN 'IN_USE' THEN 'AVAILABLE' ELSE status END"
-        " AS status) FROM vehicle)", "vehicle_id", VEH_TRACKED, "2024-02-01",
-        ", ".join(("vehicle_id", *VEH_TRACKED))) + ")")),
+    "q_dim_vehicle": over_views(replaced(VERSION_TEXT, f"({VEHICLE_VERSIONS})")),
     "q_dim_customer": over_views(replaced(VERSION_TEXT, "(" + first_load(
         "(SELECT customer_id, arg_max(customer_tier, (event_timestamp, order_id)) AS customer_tier"
         " FROM trade GROUP BY 1)", "customer_id", ("customer_tier",), "2024-01-01") + ")")),
@@ -452,6 +487,8 @@ ORACLES = {
         SELECT shipment_id, event_id, {text("event_timestamp")}, shipment_status, delay_minutes
         FROM latest"""),
     "q_fact_shipment": over_views(replaced(FACT_TEXT, "fact")),
+    "q_fact_versions": over_views(fact_keys("{}.is_current")),
+    "q_fact_asof": over_views(fact_keys("day >= {0}.effective_from AND day < {0}.effective_to")),
     "q_fact_date_key": over_views(
         f"SELECT shipment_id, {text('fc_received_at')}, date_key FROM fact"),
     "q_bi_warehouse": over_views("SELECT * FROM warehouse"),
@@ -482,11 +519,23 @@ ORACLES = {
         SELECT delivery_type AS "Delivery Type", shipment_count AS "Shipments",
           avg_lead_time_hrs AS "Avg (hrs)", min_lead_time_hrs AS "Min (hrs)",
           max_lead_time_hrs AS "Max (hrs)" FROM lead"""),
-    "q_bands": over_views("""
-        SELECT fc_id, CASE WHEN delayed_pct >= 25 THEN 'red' WHEN delayed_pct >= 10 THEN 'yellow'
-            WHEN delayed_pct < 10 THEN 'green' END AS delayed_band,
-          CASE WHEN avg_fc_time_min >= 120 THEN 'red' WHEN avg_fc_time_min >= 60 THEN 'yellow'
-            WHEN avg_fc_time_min < 60 THEN 'green' END AS dispatch_band FROM warehouse"""),
+    "q_bands": over_views("SELECT fc_id, " + ", ".join([
+        colour("delayed_count", 10, 30, "green yellow red") + " AS delayed_shipments_band",
+        colour("delayed_count", 5, 15, "green yellow red") + " AS sla_at_risk_band",
+        colour("avg_fc_time_min", 30, 60, "green yellow red") + " AS avg_delay_min_band",
+        colour("shipment_volume", 7, 10, "green yellow red") + " AS fc_backlog_band",
+        colour("shipment_volume", 5, 8, "green yellow red") + " AS ds_backlog_band",
+        colour("(100 - delayed_pct)", 85, 95, "red yellow green") + " AS on_time_pct_band",
+        colour("delayed_pct", 5, 15, "green yellow red") + " AS sla_breach_pct_band",
+        colour("delayed_pct", 10, 25, "green yellow red") + " AS delayed_pct_band",
+        colour("avg_fc_time_min", 60, 120, "green yellow red") + " AS avg_fc_time_min_band",
+        colour("avg_fc_time_min", 30, 60, "green yellow red") + " AS avg_ds_time_min_band",
+        colour("avg_fc_time_min", 1000, 5000, "green yellow red") + " AS total_sla_penalty_band",
+        colour("avg_fc_time_min", 500, 2000, "green yellow red") + " AS total_refunds_band",
+        colour("avg_fc_time_min", 24, 48, "green yellow red") + " AS avg_lead_time_hrs_band",
+        colour("delayed_count", 8, None, "yellow red") + " AS fc_hours_stuck_band",
+        colour("delayed_count", 3, None, "yellow red") + " AS ds_hours_stuck_band",
+    ]) + " FROM warehouse"),
     "q_live_upsert": over_views(f"""
         , parts AS (SELECT *, (hour(event_timestamp) < 12) = is_priority AS old FROM enr),
         newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY shipment_id, old

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from parcelake import domain, schemas
 from parcelake.functions import band
 from parcelake.operators import alerts, bi, checks, clean, live, panels, parse, scd2
-from parcelake.operators.fact import latest_state, stage_pivot, with_date_key
+from parcelake.operators.fact import (
+    fact_shipment as fact_shipment_of, latest_state, shipment_states, stage_pivot, with_date_key)
 from parcelake.operators.keyed import latest_per_key
 from parcelake.plans.gold import customers
 from verification.sample import Sample, as_of
@@ -165,32 +166,29 @@ def scd2_asof(s: Sample) -> DataFrame:
         spread_by="order_id")
 
 
-def _facility_history(s: Sample, dim: scd2.Dimension, rows: DataFrame) -> DataFrame:
-    """Second load: facilities above capacity 5000 grow by a tenth."""
-    grown = rows.withColumn(
-        "daily_capacity", F.when(F.col("daily_capacity") > 5000, F.floor(
-            F.col("daily_capacity") + F.col("daily_capacity") / 10)).otherwise(
-            F.col("daily_capacity")).cast("int"))
-    merged = scd2.merge(s.first_load(dim, rows), grown, dim, F.lit("2024-02-01"))
-    return merged.drop("latitude", "longitude")
+@registered
+def scd2_asof_sorted(s: Sample) -> DataFrame:
+    """The same by the pass over days in order, which is for tables of any size."""
+    orders = s.trade_orders.select(
+        "order_id", "customer_id", F.col("event_timestamp").cast("date").alias("order_date"))
+    return scd2.as_of_sorted(
+        orders, s.tier_history, "customer_id", "order_date", ["customer_tier", "row_hash"],
+        spread_by="order_id")
 
 
 @registered
 def dim_fc(s: Sample) -> DataFrame:
-    return _facility_history(s, scd2.DIM_FULFILLMENT_CENTER, s.centers)
+    return s.fc_history.drop("latitude", "longitude")
 
 
 @registered
 def dim_ds(s: Sample) -> DataFrame:
-    return _facility_history(s, scd2.DIM_DELIVERY_STATION, s.stations)
+    return s.ds_history.drop("latitude", "longitude")
 
 
 @registered
 def dim_vehicle(s: Sample) -> DataFrame:
-    """Second load: vehicles in use become available."""
-    freed = s.vehicles.withColumn("status", F.when(
-        F.col("status") == "IN_USE", "AVAILABLE").otherwise(F.col("status")))
-    return scd2.merge(s.dim_vehicle, freed, scd2.DIM_VEHICLE, F.lit("2024-02-01"))
+    return s.vehicle_history
 
 
 @registered
@@ -225,6 +223,25 @@ def fact_shipment(s: Sample) -> DataFrame:
     return s.fact
 
 
+def _fact_over_histories(s: Sample, at_receipt: bool) -> DataFrame:
+    return fact_shipment_of(
+        shipment_states(s.events), s.orders, s.vehicles, s.fc_history, s.ds_history, s.vehicle_history,
+        s.dim_customer, s.calendar, as_of(), at_receipt).select(
+        "shipment_id", "date_key", "fc_sk", "ds_sk", "vehicle_sk", "customer_sk")
+
+
+@registered
+def fact_versions(s: Sample) -> DataFrame:
+    """Keys of the current versions, over dimensions after two loads."""
+    return _fact_over_histories(s, at_receipt=False)
+
+
+@registered
+def fact_asof(s: Sample) -> DataFrame:
+    """Keys of the versions valid on the day of receipt, over dimensions after two loads."""
+    return _fact_over_histories(s, at_receipt=True)
+
+
 @registered
 def fact_date_key(s: Sample) -> DataFrame:
     return with_date_key(stage_pivot(s.events), s.calendar, as_of()).select(
@@ -295,9 +312,19 @@ def panel_lead_time(s: Sample) -> DataFrame:
 
 @registered
 def bands(s: Sample) -> DataFrame:
-    return s.bi["bi_warehouse_performance"].select(
-        "fc_id", band("delayed_pct", "delayed_pct").alias("delayed_band"),
-        band("avg_fc_time_min", "avg_fc_time_min").alias("dispatch_band"))
+    """The colours of all panels over the values that the centers have."""
+    values = s.bi["bi_warehouse_performance"].select("fc_id", *[
+        F.col(c).cast("double").alias(c) for c in (
+            "shipment_volume", "avg_fc_time_min", "delayed_count", "delayed_pct")])
+    value = {
+        "delayed_shipments": "delayed_count", "sla_at_risk": "delayed_count",
+        "fc_backlog": "shipment_volume", "ds_backlog": "shipment_volume",
+        "on_time_pct": 100 - F.col("delayed_pct"), "sla_breach_pct": "delayed_pct",
+        "delayed_pct": "delayed_pct", "fc_hours_stuck": "delayed_count",
+        "ds_hours_stuck": "delayed_count"}
+    return values.select("fc_id", *[
+        band(value.get(panel, "avg_fc_time_min"), panel).alias(f"{panel}_band")
+        for panel in domain.PANEL_BANDS])
 
 
 # --- live table -------------------------------------------------------------------------------

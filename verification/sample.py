@@ -217,6 +217,31 @@ class Sample:
     def dim_customer(self) -> DataFrame:
         return self.first_load(scd2.DIM_CUSTOMER, customers(self.orders))
 
+    # second loads
+
+    def _grown(self, dim: scd2.Dimension, rows: DataFrame) -> DataFrame:
+        """Facilities above capacity 5000 grow by a tenth."""
+        grown = rows.withColumn(
+            "daily_capacity", F.when(F.col("daily_capacity") > 5000, F.floor(
+                F.col("daily_capacity") + F.col("daily_capacity") / 10)).otherwise(
+                F.col("daily_capacity")).cast("int"))
+        return scd2.merge(self.first_load(dim, rows), grown, dim, F.lit("2024-02-01"))
+
+    @cached_property
+    def fc_history(self) -> DataFrame:
+        return self._grown(scd2.DIM_FULFILLMENT_CENTER, self.centers)
+
+    @cached_property
+    def ds_history(self) -> DataFrame:
+        return self._grown(scd2.DIM_DELIVERY_STATION, self.stations)
+
+    @cached_property
+    def vehicle_history(self) -> DataFrame:
+        """Vehicles in use become available."""
+        freed = self.vehicles.withColumn("status", F.when(
+            F.col("status") == "IN_USE", "AVAILABLE").otherwise(F.col("status")))
+        return scd2.merge(self.dim_vehicle, freed, scd2.DIM_VEHICLE, F.lit("2024-02-01"))
+
     @cached_property
     def calendar(self) -> DataFrame:
         return dim_date(self.spark)
