@@ -536,6 +536,21 @@ ORACLES = {
         colour("delayed_count", 8, None, "yellow red") + " AS fc_hours_stuck_band",
         colour("delayed_count", 3, None, "yellow red") + " AS ds_hours_stuck_band",
     ]) + " FROM warehouse"),
+    "q_sql_warehouse": over_views(f"""
+        SELECT fc_name AS "FC Name", region AS "Region", shipment_volume AS "Volume",
+          avg_fc_time_min AS "Avg Dispatch (min)", delayed_count AS "Delayed",
+          delayed_pct AS "Delayed %",
+          {colour("delayed_pct", 10, 25, "green yellow red")} AS "Delayed % Band",
+          {colour("avg_fc_time_min", 60, 120, "green yellow red")} AS "Avg Dispatch (min) Band"
+        FROM warehouse"""),
+    "q_sql_delayed": over_views(f"""
+        SELECT value, {colour("value", 10, 30, "green yellow red")} AS "value Band"
+        FROM (SELECT count(*) AS value FROM live WHERE {ACTIVE} AND is_delayed)"""),
+    "q_sql_stale_ds": over_views(f"""
+        SELECT shipment_id AS "Shipment", shipment_status AS "Status",
+          coalesce(name, facility_id) AS "DS", CAST(stage_entered_at AS VARCHAR) AS "Stuck Since",
+          {rnd("hours", 1)} AS "Hours Stuck", {colour(rnd("hours", 1), 3, None, "yellow red")}
+          AS "Hours Stuck Band" FROM stale WHERE facility_type = 'DELIVERY_STATION'"""),
     "q_live_upsert": over_views(f"""
         , parts AS (SELECT *, (hour(event_timestamp) < 12) = is_priority AS old FROM enr),
         newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY shipment_id, old

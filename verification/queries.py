@@ -13,6 +13,7 @@ from parcelake.operators import alerts, bi, checks, clean, live, panels, parse,
 from parcelake.operators.fact import (
     fact_shipment as fact_shipment_of, latest_state, shipment_states, stage_pivot, with_date_key)
 from parcelake.operators.keyed import latest_per_key
+from parcelake.plans import panel_sql
 from parcelake.plans.gold import customers
 from verification.sample import Sample, as_of
 
@@ -327,6 +328,28 @@ def bands(s: Sample) -> DataFrame:
         for panel in domain.PANEL_BANDS])
 
 
+# --- panels as SQL ----------------------------------------------------------------------------
+
+def _through_sql(s: Sample, dashboard: str, title: str) -> DataFrame:
+    panel_sql.register(s.spark, s.live, s.bi)
+    return panel_sql.panel(s.spark, dashboard, title, "2027-06-30 00:00:00")
+
+
+@registered
+def sql_warehouse(s: Sample) -> DataFrame:
+    return _through_sql(s, panel_sql.BI, "Warehouse Performance")
+
+
+@registered
+def sql_delayed(s: Sample) -> DataFrame:
+    return _through_sql(s, panel_sql.REALTIME, "Delayed Shipments")
+
+
+@registered
+def sql_stale_ds(s: Sample) -> DataFrame:
+    return _through_sql(s, panel_sql.REALTIME, "Stale at Delivery Station")
+
+
 # --- live table -------------------------------------------------------------------------------
 
 @registered
