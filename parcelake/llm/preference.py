@@ -2,12 +2,15 @@
 
 A document labelled 1 is preferred to one labelled 0 with probability sigmoid(u(good) - u(bad)), where
 u is linear in features of the text (shares of bytes, shape of words and lines, repetition). The
-weights minimise the logistic loss of feature differences over drawn pairs, so the balance of the
-labels does not matter. The cut is the quantile of the scores that leaves out as large a share as
+weights minimise the mean logistic loss of all pairs of a good and a bad document, so the balance of
+the labels does not matter. The cut is the quantile of the scores that leaves out as large a share as
 the labels do; scores are then put on the scale from 0 to 1 so that the cut falls on `THRESHOLD`.
 
-Learned on the driver from at most `SAMPLE_DOCS` documents per label (of those not held out), drawn by
-hash; every document is scored from its whole text.
+Learned from every labelled document that is not held out: their features are written once, and a
+Newton step sums over them in two passes. How often a document meets one of the other label at which
+distance of u follows from the counts of u per label, so pairs are neither listed nor drawn. All sums
+are of whole numbers: the result does not depend on the order or the partitions of the rows. The
+driver gets sums only, of a size that does not grow with the rows.
 
 Results in special cases: null text is scored like an empty one; a null doc_id is neither learned
 from nor held out; labels other than 0 and 1 and documents labelled both ways teach nothing; without
@@ -17,6 +20,7 @@ one, and equal texts get equal scores; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from operator import eq
 
@@ -27,9 +31,9 @@ from pyspark.sql import DataFrame, functions as F
 from parcelake.llm import tables
 from parcelake.llm.language import held_out
 
-SAMPLE_DOCS = 4000
 PIECE_BYTES = 1 << 20       # bytes of a text split into words at once
-STEPS, PAIRS = 1500, 256    # steps of the descent, pairs per step
+LABEL_BYTES = 64            # of a label in a broadcast
+STEPS, LEAST_FALL = 40, 1e-3        # Newton steps at most; the last lowers the loss by less than this part
 DECAY = 1e-3
 THRESHOLD = 0.3
 
@@ -102,84 +106,253 @@ def _logit(p: float) -> float:
     return float(np.log(p / (1 - p)))
 
 
-def rank(good: np.ndarray, bad: np.ndarray, bad_share: float, seed: int = 11) -> Ranking:
-    """Weights from pairs of a good and a bad document (rows of features)."""
-    both = np.concatenate([good, bad])
-    mean, spread = both.mean(axis=0), both.std(axis=0)
-    spread[spread < 1e-9] = 1
-    good_scaled, bad_scaled = (np.clip((x - mean) / spread, -8, 8) for x in (good, bad))
-    rng = np.random.default_rng(seed)
-    weights, first, second = np.zeros((3, WIDTH))
-    for step in range(1, STEPS + 1):
-        difference = (good_scaled[rng.integers(0, len(good), PAIRS)]
-                      - bad_scaled[rng.integers(0, len(bad), PAIRS)])
-        # gradient of -log sigmoid(difference . weights), and of the decay
-        gradient = -(1 - _sigmoid(difference @ weights)) @ difference / PAIRS + DECAY * weights
-        first += .1 * (gradient - first)
-        second += .01 * (gradient * gradient - second)
-        rate = .02 * (1 - (step - 1) / STEPS)
-        weights -= rate * (first / (1 - .9 ** step)) / (np.sqrt(second / (1 - .99 ** step)) + 1e-8)
+# Sums over documents. A pass takes the labels and features of some rows and returns whole numbers,
+# which `Total` adds up over all rows.
+Pass = Callable[[np.ndarray, np.ndarray], np.ndarray]
+Total = Callable[[Pass, int], np.ndarray]
+
+ROWS = 2048                 # rows of a pass at a time; keeps its products of whole numbers exact
+_UNIT = np.full(WIDTH, 2.0 ** 24)       # a feature's sums are counted in parts of 1 / _UNIT
+_UNIT[:256] = 2.0 ** 30
+_UNIT[256 + 3] = 2.0 ** 16              # the mean length of words, which has no bound
+_MOST = 1024                # a larger feature counts as this in mean and spread
+_Z, _W = 2.0 ** 12, 2.0 ** 20           # parts of scaled features and weights
+_BINS, _PER_UNIT, _COARSE = 4096, 64, 64        # of u: number, per unit, and how many make a coarse one
+_FINE_BINS, _FINE_PER_UNIT = 1 << 18, 1024      # of u for the cut
+_TRIANGLE = np.triu_indices(WIDTH)
+
+
+def _bins(u: np.ndarray, bins: int, per_unit: int) -> np.ndarray:
+    return np.clip(np.floor(u * per_unit) + bins // 2, 0, bins - 1).astype(np.int64)
+
+
+def _centres(bins: int, per_unit: int) -> np.ndarray:
+    return (np.arange(bins) - bins // 2 + .5) / per_unit
+
+
+def _over(other: np.ndarray, function, per_unit: int) -> np.ndarray:
+    """For u in every bin, the mean of function(u - v) over the v counted in `other`."""
+    apart = np.arange(1 - len(other), len(other)) / per_unit
+    return np.convolve(other / other.sum(), function(apart), "valid")
+
+
+def _bell(x: np.ndarray) -> np.ndarray:
+    return _sigmoid(x) * _sigmoid(-x)
+
+
+def _moments(quality: np.ndarray, found: np.ndarray) -> np.ndarray:
+    x = np.minimum(found, _MOST)
+    sums = np.rint(np.hstack([x * _UNIT, x * x * _UNIT])).astype(np.int64).sum(axis=0)
+    return np.concatenate([sums, np.bincount(quality, minlength=2)])
+
+
+@dataclass
+class _Scaled:
+    """Features and u as whole numbers, so that products and sums are exact in any order."""
+
+    mean: np.ndarray
+    spread: np.ndarray
+    weights: np.ndarray
+
+    def __call__(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        z = np.rint(np.clip((found - self.mean) / self.spread, -8, 8) * _Z)
+        return z, z @ np.rint(self.weights * _W) / (_Z * _W)
+
+
+def _counts_of(scaled: _Scaled) -> Pass:
+    """How many documents of each label have u in each bin."""
+    def counts(quality, found):
+        return np.bincount(quality * _BINS + _bins(scaled(found)[1], _BINS, _PER_UNIT), minlength=2 * _BINS)
+
+    return counts
+
+
+def _loss(counts: np.ndarray, weights: np.ndarray) -> float:
+    """The mean loss of all pairs, and the decay."""
+    bad, good = counts
+    mean = _over(good, lambda x: np.logaddexp(0, x), _PER_UNIT) @ bad / bad.sum()
+    return float(mean + DECAY / 2 * weights @ weights)
+
+
+def _slopes_of(scaled: _Scaled, counts: np.ndarray) -> Pass:
+    """Per label: the sum of scaled features times the chance of losing to (good) or winning over (bad)
+    a document of the other label; their products times the curvature; their sums per coarse bin."""
+    bad, good = counts
+    chance = [_over(good, _sigmoid, _PER_UNIT), _over(bad, lambda x: _sigmoid(-x), _PER_UNIT)]
+    coarse = counts.reshape(2, -1, _COARSE).sum(axis=2)
+    bell = [_over(coarse[1 - label], _bell, _PER_UNIT / _COARSE) for label in (0, 1)]
+    at = _centres(_BINS, _PER_UNIT)
+
+    def slopes(quality, found):
+        z, u = scaled(found)
+        rough, place = np.rint(z / 16), _bins(u, _BINS, _PER_UNIT) // _COARSE
+        out = []
+        for label in (0, 1):
+            own = quality == label
+            r = np.rint(np.interp(u[own], at, chance[label]) * 2.0 ** 24)
+            out.append(r @ z[own])
+            a = np.rint(bell[label][place[own]] * 2.0 ** 20)
+            out.append(((rough[own] * a[:, None]).T @ rough[own])[_TRIANGLE])
+            sums = np.zeros((len(bell[label]), WIDTH))
+            np.add.at(sums, place[own], rough[own])
+            out.append(sums.ravel())
+        return np.concatenate(out).astype(np.int64)
+
+    return slopes
+
+
+_SLOPES = WIDTH + len(_TRIANGLE[0]) + _BINS // _COARSE * WIDTH      # numbers per label
+
+
+def _newton_step(sums: np.ndarray, documents: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Gradient and curvature of the loss of all pairs, solved for the step."""
+    gradient, curved, means = DECAY * weights, DECAY * np.eye(WIDTH), []
+    for label, sign in ((0, 1), (1, -1)):
+        own = sums[label * _SLOPES:(label + 1) * _SLOPES] / documents[label]
+        first, second, by_bin = np.split(own, [WIDTH, WIDTH + len(_TRIANGLE[0])])
+        gradient = gradient + sign * first / (2.0 ** 24 * _Z)
+        upper = np.zeros((WIDTH, WIDTH))
+        upper[_TRIANGLE] = second / (2.0 ** 20 * (_Z / 16) ** 2)
+        curved = curved + upper + np.triu(upper, 1).T
+        means.append(by_bin.reshape(-1, WIDTH) / (_Z / 16))
+    place = np.arange(_BINS // _COARSE) * (_COARSE / _PER_UNIT)
+    mixed = means[0].T @ _bell(place[:, None] - place) @ means[1]
+    return np.linalg.solve(curved - mixed - mixed.T, gradient)
+
+
+def learn(total: Total, bad_share: float | None = None) -> Ranking | None:
+    """The ranking that all documents summed by `total` teach; None without documents of both labels.
+    The cut leaves out `bad_share` (default: the share of bad ones among the documents)."""
+    sums = total(_moments, 2 * WIDTH + 2)
+    documents = sums[-2:]
+    if not documents.all():
+        return None
+    mean, square = (sums[:-2].reshape(2, WIDTH) / _UNIT) / documents.sum()
+    spread = np.sqrt(np.maximum(square - mean * mean, 0))
+    spread[spread < 4 / np.sqrt(_UNIT)] = 1         # as good as constant
+
+    def counted(weights):
+        return total(_counts_of(_Scaled(mean, spread, weights)), 2 * _BINS).reshape(2, _BINS)
+
+    weights = np.zeros(WIDTH)
+    counts = counted(weights)
+    loss = _loss(counts, weights)
+    for _ in range(STEPS):
+        step = _newton_step(total(_slopes_of(_Scaled(mean, spread, weights), counts), 2 * _SLOPES),
+                            documents, weights)
+        share = 1.0
+        while True:
+            tried = np.rint((weights - share * step) * _W) / _W
+            counts_tried = counted(tried)
+            loss_tried = _loss(counts_tried, tried)
+            if loss_tried < loss or share < .01:
+                break
+            share /= 2
+        if loss_tried >= loss:
+            break
+        fall = 1 - loss_tried / loss
+        weights, counts, loss = tried, counts_tried, loss_tried
+        if fall < LEAST_FALL:
+            break
+
     model = Ranking(mean, spread, weights, 0.0, 1.0)
-    u = [model.utility(x) for x in (good, bad)]
-    model.cut = _quantile(*u, bad_share)
-    model.slope = _slope(u[0] - model.cut, u[1] - model.cut, bad_share)
+    fine = total(_fine_counts_of(model), 2 * _FINE_BINS).reshape(2, _FINE_BINS)
+    level = documents[0] / documents.sum() if bad_share is None else bad_share
+    share = level * fine[0] / documents[0] + (1 - level) * fine[1] / documents[1]
+    model.cut = _quantile(share, level)
+    model.slope = _slope(fine, model.cut, level)
     return model
 
 
-def _quantile(good: np.ndarray, bad: np.ndarray, level: float) -> float:
-    """The quantile of scores when bad ones have the share `level` of all."""
-    values = np.concatenate([good, bad])
-    weight = np.concatenate([np.full(len(good), (1 - level) / len(good)), np.full(len(bad), level / len(bad))])
-    order = np.argsort(values, kind="stable")
-    above = int(np.searchsorted(np.cumsum(weight[order]), level * (1 + 1e-9)))
-    above = min(above, len(values) - 1)
-    return float((values[order[max(above - 1, 0)]] + values[order[above]]) / 2)
+def _fine_counts_of(model: Ranking) -> Pass:
+    def counts(quality, found):
+        place = _bins(model.utility(found), _FINE_BINS, _FINE_PER_UNIT)
+        return np.bincount(quality * _FINE_BINS + place, minlength=2 * _FINE_BINS)
+
+    return counts
+
+
+def _quantile(share: np.ndarray, level: float) -> float:
+    """The middle of the gap between occupied bins that has nearest to `level` of all documents below."""
+    full = np.flatnonzero(share)
+    if len(full) == 1:
+        return float(_centres(_FINE_BINS, _FINE_PER_UNIT)[full[0]])
+    below = np.cumsum(share[full])[:-1]
+    gap = int(np.argmin(np.abs(below - level)))
+    return float(_centres(_FINE_BINS, _FINE_PER_UNIT)[full[gap:gap + 2]].mean())
 
 
-def _slope(good: np.ndarray, bad: np.ndarray, level: float) -> float:
+def _slope(fine: np.ndarray, cut: float, level: float) -> float:
     """The slope between .05 and 20 under which the labels are likeliest."""
+    places = [np.flatnonzero(counts) for counts in fine]
+    bad, good = (_centres(_FINE_BINS, _FINE_PER_UNIT)[p] - cut for p in places)
+    bad_weight, good_weight = (counts[p] / counts.sum() for counts, p in zip(fine, places))
+
     def loss(slope: float) -> float:
         at = _logit(THRESHOLD)
-        return ((1 - level) * np.logaddexp(0, -(slope * good + at)).mean()
-                + level * np.logaddexp(0, slope * bad + at).mean())
+        return ((1 - level) * np.logaddexp(0, -(slope * good + at)) @ good_weight
+                + level * np.logaddexp(0, slope * bad + at) @ bad_weight)
 
     return float(min(np.geomspace(.05, 20, 60), key=loss))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Ranking | float:
-    """A ranking learned from the labelled documents that are not held out, or a constant score."""
+def rank(good: np.ndarray, bad: np.ndarray, bad_share: float) -> Ranking:
+    """Weights from all pairs of a good and a bad document (rows of features)."""
+    quality, found = np.repeat([1, 0], [len(good), len(bad)]), np.concatenate([good, bad])
+    return learn(lambda step, size: _summed(step, quality, found, size), bad_share)
+
+
+def _summed(step: Pass, quality: np.ndarray, found: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(size, np.int64)
+    for at in range(0, len(quality), ROWS):
+        out += step(quality[at:at + ROWS], found[at:at + ROWS])
+    return out
+
+
+def totals_of(stored: DataFrame) -> Total:
+    """Sums over quality, found (features as bytes): each task adds up its rows, Spark the tasks."""
+    target = tables.arrow_schema("place int, value long")
+
+    def total(step: Pass, size: int) -> np.ndarray:
+        def run(batches):
+            own = np.zeros(size, np.int64)
+            for part in tables.slices(batches):
+                found = np.frombuffer(b"".join(part.column("found").to_pylist())).reshape(-1, WIDTH)
+                own += _summed(step, part.column("quality").to_numpy(), found, size)
+            full = np.flatnonzero(own)
+            yield tables.as_batch({"place": full.astype(np.int32), "value": own[full]}, target)
+
+        sums = (tables.map_arrow(stored, run, "place int, value long")
+                .groupBy("place").agg(F.sum("value").alias("value")).toArrow())
+        out = np.zeros(size, np.int64)
+        out[sums.column("place").to_numpy()] = sums.column("value").to_numpy()
+        return out
+
+    return total
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Ranking | float:
+    """A ranking learned from all labelled documents that are not held out, or a constant score."""
     usable = (labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out(F.col("doc_id")))
               .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-              .agg(F.min("quality").alias("quality"), F.max("quality").alias("_other"))
-              .where("quality = _other"))
+              .agg(F.min("quality").cast("int").alias("quality"), F.max("quality").alias("_other"))
+              .where("quality = _other").select("doc_id", "quality"))
     counts = {r["quality"]: r["n"] for r in usable.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     bad, good = counts.get(0, 0), counts.get(1, 0)
     constant = (good + 1) / (good + bad + 2)
     if not bad or not good:
         return constant
-    grain = 1 << 30
-    share = F.when(F.col("quality") == 0, min(grain, -(-grain * sample_docs // bad))).otherwise(
-        min(grain, -(-grain * sample_docs // good)))
-    drawn = (usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(grain)) < share)
-             .select("doc_id", "quality").limit(4 * sample_docs))
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        F.broadcast(drawn), "doc_id").select("quality", "text").limit(8 * sample_docs)
+        F.broadcast(usable) if (good + bad) * LABEL_BYTES <= tables.BROADCAST_BYTES else usable, "doc_id")
 
     def step(batch):
-        found = all_features(batch)
         return {"quality": batch.column("quality"),
-                "found": pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), WIDTH).cast(
-                    pa.list_(pa.field("element", pa.float64())))}
-
-    sample = tables.mapped(known, step, "quality int, found array<double>").toArrow().combine_chunks()
-    quality = sample.column("quality").to_numpy()
-    rows = np.array(sample.column("found").to_pylist(), np.float64).reshape(-1, WIDTH)
-    # rows arrive in no fixed order; the draws of pairs go by their order
-    order = np.lexsort((rows @ np.cos(np.arange(WIDTH)), quality))
-    quality, rows = quality[order], rows[order]
-    if not (quality == 0).any() or not (quality == 1).any():
-        return constant
-    return rank(rows[quality == 1], rows[quality == 0], bad / (good + bad))
+                "found": [row.tobytes() for row in all_features(batch)]}
+
+    stored = tables.materialise(
+        tables.mapped(known.select("quality", "text"), step, "quality int, found binary"), "quality-features")
+    model = learn(totals_of(stored), bad / (good + bad))
+    return constant if model is None else model
 
 
 def score_all(docs: DataFrame, model: Ranking | float) -> DataFrame:

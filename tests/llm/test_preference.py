@@ -106,3 +106,38 @@ def test_unusable_labels(spark, docs):
     assert preference.fit(docs, labels((-5, 0, "t"), (-6, 1, "t"))) == 0.5                    # no such document
     rows = preference.score_all(docs, 0.5).collect()
     assert {(r["score"], r["predicted"]) for r in rows} == {(0.5, 1)}
+
+
+def test_every_labelled_document_is_learned_from(spark):
+    """More documents of a label than were once drawn; few partitions or many give the same numbers."""
+    docs = spark.range(1, 12_001).selectExpr(
+        "id AS doc_id", "concat(repeat(char(97 + cast(id % 23 AS int)), cast(1 + id % 7 AS int)), ' word ', id, "
+        "if(id % 6 = 0, ' #*#', '')) AS text")
+    labels = docs.selectExpr("doc_id", "if(doc_id % 6 = 0, 0, 1) AS quality")
+    model = preference.fit(docs, labels)
+    known = [r["text"].encode() for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5]
+    found = np.array([preference.features(text) for text in known])
+    assert np.allclose(model.mean, found.mean(axis=0), atol=1e-7)
+    bad = sum(b"#" in text for text in known)
+    assert np.sum(model.score(found) < preference.THRESHOLD) == bad
+    again = preference.fit(docs.repartition(13, "text"), labels)
+    assert (again.weights == model.weights).all() and (again.cut, again.slope) == (model.cut, model.slope)
+
+
+def test_the_loss_of_all_pairs_is_least():
+    rng = np.random.default_rng(8)
+    good, bad = rng.normal(.3, 1, (700, preference.WIDTH)), rng.normal(0, 1, (90, preference.WIDTH))
+    model = preference.rank(good, bad, .1)
+    good, bad = (np.clip((x - model.mean) / model.spread, -8, 8) for x in (good, bad))
+    lost = preference._sigmoid((bad @ model.weights)[None, :] - (good @ model.weights)[:, None])
+    gradient = (lost.mean(axis=0) @ bad / len(bad) - lost.mean(axis=1) @ good / len(good)
+                + preference.DECAY * model.weights)
+    assert np.abs(gradient).max() < 1e-4
+
+
+def test_large_label_tables_are_not_broadcast(spark, monkeypatch):
+    docs, labels = tables.read(spark, SF, "documents"), tables.read(spark, SF, "labels")
+    one = preference.fit(docs, labels)
+    monkeypatch.setattr(preference.tables, "BROADCAST_BYTES", 0)
+    other = preference.fit(docs, labels)
+    assert (one.weights == other.weights).all() and one.cut == other.cut
