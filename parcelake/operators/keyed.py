@@ -88,11 +88,11 @@ def lookup(
     keyed = (
         marked
         .withColumn("_key", F.when(~settled, F.col(key)))
-        .withColumn("_deal", F.when(settled, F.xxhash64(spread_by)).otherwise(F.lit(0)))
+        .withColumn("_deal", F.when(settled, F.xxhash64(spread_by)).otherwise(F.xxhash64(key)))
     )
+    # A hash on both sides: a constant on one would leave the join's keys, and the shuffle with them.
     cold_rows = table.select(
-        F.col(key).alias("_key"), F.lit(0).cast("long").alias("_deal"),
-        F.struct(*added).alias("_cold"))
+        F.col(key).alias("_key"), F.xxhash64(key).alias("_deal"), F.struct(*added).alias("_cold"))
     joined = keyed.join(cold_rows, ["_key", "_deal"], "left")
     found = F.coalesce("_hot", "_cold")
     return joined.select(*rows.columns, *[found[c].alias(c) for c in added])

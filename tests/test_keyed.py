@@ -75,6 +75,25 @@ def test_hot_and_null_keys_do_not_meet_in_one_task(spark):
     assert sum(sizes) == n and max(sizes) < 1.5 * n / 4
 
 
+def test_the_shuffle_of_a_lookup_goes_by_key_and_deal(spark):
+    """Null keys are dealt over all tasks; the table is no aggregate, so the optimiser keeps the join."""
+    facts = spark.range(60000).select(
+        "id", F.when(F.col("id") % 10 == 0, F.concat(F.lit("k"), F.col("id"))).alias("k"))
+    table = spark.range(60000).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lookup(facts, table, "k", spread_by="id", limit=0)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        found = out.where("v IS NOT NULL").count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found == 6000 and sum(sizes) == 60000
+    assert max(sizes) < 1.5 * 60000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_broadcast_is_decided_by_size(spark):
     assert fits_broadcast(spark.range(10))
     assert not fits_broadcast(spark.range(10_000_000_000))
