@@ -19,10 +19,9 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Callable
 
-import numpy as np
-
-CACHE_PIECES = 300_000      # a worker's cache is emptied beyond this many pieces
+CACHE_PIECES = 300_000      # a worker's cache holds at most this many pieces
 CACHED_LENGTH = 64          # longer pieces are encoded each time
 
 _LATIN = rb"A-Za-z\x80-\xbf\xc3"        # bytes of the letters of a regular text
@@ -33,6 +32,32 @@ _LETTERS_OR_REST = {"byte": re.compile(rb" ?[" + _LATIN + rb"]+| ?[^ " + _LATIN
 _ODD_SPACES = (b"  ", b" \n", b"\n ", b"\n\n", b"\t", b"\r")
 _SURE_CUT = re.compile(rb"(?= [!-~])")
 _LETTERS = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# The characters by which a "byte" vocabulary names bytes: printable ones of Latin-1 name themselves, the
+# others have those from 256 on, in their order.
+_UNPRINTED = [*range(33), *range(127, 161), 173]
+_NAMES = {b: chr(256 + n) for n, b in enumerate(_UNPRINTED)}
+
+
+class Cache(dict):
+    """Ids of pieces in two generations of at most `half` pieces: a full one becomes the old one, and a
+    piece that is found there moves on, so common pieces stay. An unknown piece is encoded by `encode`."""
+
+    def __init__(self, encode: Callable[[bytes], bytes]):
+        super().__init__()
+        self.encode, self.half = encode, 0
+        self.old: dict[bytes, bytes] = {}
+
+    def __missing__(self, piece: bytes) -> bytes:
+        found = self.old.pop(piece, None)
+        if found is None:
+            found = self.encode(piece)
+            if len(piece) > CACHED_LENGTH:
+                return found
+        if len(self) >= self.half:
+            self.old = dict(self) if len(self) <= self.half else {}
+            self.clear()
+        self[piece] = found
+        return found
 
 
 class Encoder:
@@ -49,13 +74,8 @@ class Encoder:
         # how a special name begins, in either case, so that no text is folded to look for it
         self.marks = {m for name in added if name for m in (name[:2], name[:2].lower(), name[:2].upper())}
         self.kind, self.most = kind, pieces
-        self.cache: dict[bytes, bytes] = {}
-        names = self.tokenizer.get_vocab()
-        self.size = np.zeros(max(names.values()) + 1, np.int64)     # bytes of an id
-        self.ends = np.zeros(len(self.size), bool)                  # an id that ends a word
-        for name, number in names.items():
-            self.size[number] = len(name)
-            self.ends[number] = name.endswith("</w>")
+        self.tokenize = self.tokenizer.model.tokenize
+        self.cache = Cache(self.encode_piece)
 
     def regular(self, text: bytes) -> bool:
         """Whether the text may be cut at every end of letters."""
@@ -73,61 +93,22 @@ class Encoder:
         return text.split() if self.kind == "word" else _SURE_CUT.split(text)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of every text."""
-        cut = [self.pieces(t) for t in texts]
-        found = set().union(*cut)
-        known, most = self.cache, self.most or CACHE_PIECES
-        missing = found.difference(known)
-        if len(known) + len(missing) > most:
-            known = self.cache = {p: known[p] for p in found.difference(missing)}
-        fresh = self.encode_pieces(missing)
-        if len(missing) <= most:
-            known.update(fresh)
-        else:
-            known = known | fresh
-        out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-        for p in missing:
-            if len(p) > CACHED_LENGTH:
-                self.cache.pop(p, None)
-        return out
-
-    def encode_pieces(self, pieces: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of pieces. Those of letters only are encoded together as one text."""
-        fresh = self.together(list(filter(_LETTERS.fullmatch, pieces)))
-        rest = list(pieces.difference(fresh))
-        fresh.update(zip(rest, self.plain(rest)))
-        return fresh
-
-    def together(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of pieces of letters, from one text that the vocabulary cuts between them."""
-        if not pieces:
-            return {}
-        if self.kind == "word":
-            ids = self.ids_of(b" ".join(pieces))
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) != len(pieces):
-                return {}
-            first = np.concatenate(([0], last[:-1]))
+        """Ids of every text. A text's pieces are looked up as soon as it is cut, while they are at hand."""
+        self.cache.half = (self.most or CACHE_PIECES) // 2
+        known = self.cache.__getitem__
+        return [b"".join(map(known, self.pieces(text))) for text in texts]
+
+    def encode_piece(self, piece: bytes) -> bytes:
+        """Ids of a piece. One of letters needs no cutting any more and goes to the library's model."""
+        if self.kind == "byte" and piece[:1] == b" " and piece[1:].isalpha():      # ASCII, the common case
+            name = _NAMES[32] + piece[1:].decode()
+        elif _LETTERS.fullmatch(piece):
+            if self.kind == "word":
+                piece = piece.decode().lower().encode()
+            name = piece.decode("latin-1").translate(_NAMES)
         else:
-            spaced = [p for p in pieces if p[0] == 32]
-            bare = [p for p in pieces if p[0] != 32]
-            pieces = spaced + bare
-            ids = self.ids_of(b"".join(spaced + [b"\n" + p for p in bare]))
-            ends = np.cumsum(self.size[ids])
-            starts = ends - self.size[ids]
-            gaps = np.array([0] * len(spaced) + [1] * len(bare))
-            after = np.cumsum(np.array(list(map(len, pieces))) + gaps)
-            before = np.concatenate(([0], after[:-1])) + gaps
-            first, last = np.searchsorted(starts, before), np.searchsorted(ends, after) + 1
-            if (starts[first] != before).any() or (ends[last - 1] != after).any():
-                return {}
-        raw = ids.tobytes()
-        places = map(slice, (4 * first).tolist(), (4 * last).tolist())
-        return dict(zip(pieces, map(raw.__getitem__, places)))
-
-    def ids_of(self, text: bytes) -> np.ndarray:
-        found = self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)
-        return np.array(found[0].ids, np.uint32)
+            return self.plain([piece])[0]
+        return array("I", [token.id for token in self.tokenize(name)]).tobytes()
 
     def plain(self, texts: list[bytes]) -> list[bytes]:
         """Ids by the library alone."""
